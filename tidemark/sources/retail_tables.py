@@ -41,12 +41,16 @@ def _text(column: str) -> Column:
 
 def raw_orders(spark: SparkSession, sf_dir: str, typed_dates: bool = False) -> DataFrame:
     """``typed_dates``: dates stored as dates, all of them valid."""
+    return orders_feed(_read(spark, sf_dir, "orders"), typed_dates)
+
+
+def orders_feed(orders: DataFrame, typed_dates: bool = False) -> DataFrame:
     price = F.col("o_totalprice")
     text_date = (F.when(price < 1300, F.date_format("o_orderdate", "yyyy"))
                  .when(price < 1500, "unknown").otherwise(_iso(F.col("o_orderdate"))))
     status = (F.when(F.col("o_orderstatus") == "F", "Completed").when(F.col("o_orderstatus") == "P", "RETURNED")
               .when(F.col("o_orderpriority") == "5-LOW", "Cancelled").otherwise("pending"))
-    return _read(spark, sf_dir, "orders").select(
+    return orders.select(
         _text("o_orderkey").alias("order_id"),
         F.when(price.between(1500, 3000), None).otherwise(_text("o_custkey")).alias("customer_id"),
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", None)

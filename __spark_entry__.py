@@ -75,15 +75,16 @@ def _enriched(spark, sf_dir):
 
 
 def _customer_360(spark, sf_dir):
-    activity = commerce.order_activity(_stg_orders(spark, sf_dir), _stg_products(spark, sf_dir))
-    return commerce.int_customer_360(_stg_customers(spark, sf_dir), activity, AS_OF)
+    orders = _stg_orders(spark, sf_dir)
+    activity = commerce.order_activity(orders, _stg_products(spark, sf_dir))
+    return commerce.int_customer_360(_stg_customers(spark, sf_dir), activity, AS_OF, texts_from=orders)
 
 
 def _customer_360_recent(spark, sf_dir):
     """Activity of one year: a good part of the customers have no orders in it."""
     orders = _stg_orders(spark, sf_dir).where(F.col("order_date") >= F.lit(THIS_YEAR))
     activity = commerce.order_activity(orders, _stg_products(spark, sf_dir))
-    return commerce.int_customer_360(_stg_customers(spark, sf_dir), activity, AS_OF)
+    return commerce.int_customer_360(_stg_customers(spark, sf_dir), activity, AS_OF, texts_from=orders)
 
 
 def _fct_orders(spark, sf_dir):

@@ -125,7 +125,7 @@ def _customer_360(orders: str, customers: str, as_of: str) -> str:
                count(*) FILTER (o.is_returned) AS returned_orders,
                count(*) FILTER (o.is_cancelled) AS cancelled_orders,
                CAST(coalesce(sum(o.recognized_revenue_usd), 0) AS DECIMAL(22,2)) AS lifetime_revenue_usd,
-               CAST(coalesce(sum(o.gross_profit_usd), 0) AS DECIMAL(23,2)) AS lifetime_gross_profit_usd,
+               CAST(coalesce(sum(o.gross_profit_usd), 0) AS DECIMAL(22,2)) AS lifetime_gross_profit_usd,
                CAST(round(avg(o.order_amount_usd) FILTER (o.is_completed), 6) AS DECIMAL(16,6)) AS avg_order_value_usd,
                min(o.order_date) AS first_order_date, max(o.order_date) AS last_order_date,
                CAST(date_diff('day', max(o.order_date), {as_of}) AS INTEGER) AS days_since_last_order,

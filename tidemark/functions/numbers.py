@@ -5,6 +5,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_LOW_BITS = 20
+
 
 def null_if_zero(value: Column) -> Column:
     return F.nullif(value, F.lit(0))
@@ -18,3 +20,17 @@ def safe_divide(numerator: Column, denominator: Column, default: float = 0) -> C
     """Quotient as a double; ``default`` where the denominator is zero or missing."""
     usable = denominator.isNotNull() & (denominator != 0)
     return F.when(usable, numerator.cast("double") / denominator).otherwise(F.lit(float(default)))
+
+
+def exact_sum(amount: Column, scale: int) -> Column:
+    """Sum of a decimal of at most 15 digits, exact, as ``decimal(22, scale)``.
+
+    A plain sum of such a decimal keeps a 22-digit total, which costs an object per row. Here each amount is counted
+    in whole units of its last digit, which a double holds exactly, and the high and low bits are added up in a long
+    each. That is good for 2^43 rows, however the rows are spread over the groups.
+    """
+    units = F.floor(amount.cast("double") * 10**scale + 0.5)
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
+    total = high * F.lit(Decimal(1 << _LOW_BITS)) + low
+    return (total.cast("decimal(30,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(22,{scale})")

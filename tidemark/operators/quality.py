@@ -9,10 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import fits_broadcast
+from tidemark.session import materialize
+
 NOT_NULL, UNIQUE, ACCEPTED = "not_null", "unique", "accepted_values"
+REPORT = "relation string, column_name string, test string, failures long"
 
 
 @dataclass(frozen=True)
@@ -24,51 +28,68 @@ class Check:
 
 def check_relations(relations: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
     """Columns: relation, column_name, test, failures."""
-    parts = [part for name, wanted in checks.items() for part in _check_one(name, relations[name], wanted)]
+    def wanted(test: str) -> list[tuple[str, Check]]:
+        return [(name, check) for name, listed in checks.items() for check in listed if check.test == test]
+
+    parts = [
+        _missing(name, relations[name], [c for c in listed if c.test == NOT_NULL])
+        for name, listed in checks.items() if any(c.test == NOT_NULL for c in listed)
+    ]
+    parts += [_outside(name, relations[name], check) for name, check in wanted(ACCEPTED)]
+    parts += _repeated(relations, wanted(UNIQUE))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _check_one(name: str, df: DataFrame, checks: list[Check]) -> list[DataFrame]:
-    missing = [c for c in checks if c.test == NOT_NULL]
-    grouped = [c for c in checks if c.test != NOT_NULL]
-    parts = []
-    if missing:
-        parts.append(_missing(df, missing))
-    if grouped:
-        parts.append(_grouped(df, grouped))
-    return [p.select(F.lit(name).alias("relation"), "column_name", "test", "failures") for p in parts]
+def _line(name: str, check: Check, failures: Column) -> list[Column]:
+    return [F.lit(name).alias("relation"), F.lit(check.column).alias("column_name"), F.lit(check.test).alias("test"),
+            failures.alias("failures")]
 
 
-def _missing(df: DataFrame, checks: list[Check]) -> DataFrame:
+def _missing(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     # All not-null checks of a relation share one scan and one map-side aggregate.
     totals = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(str(i)) for i, c in enumerate(checks)])
-    rows = F.array(*[
-        F.struct(F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"), F.col(str(i)).alias("failures"))
-        for i, c in enumerate(checks)
-    ])
-    return totals.select(F.inline(rows))
-
-
-def _grouped(df: DataFrame, checks: list[Check]) -> DataFrame:
-    # Grouped checks share one scan and one shuffle: (check, value) pairs are counted with map-side combine, so
-    # a value that fills the table costs one row per task.
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("value"))
-        for i, c in enumerate(checks)
-    ]))
-    counted = (df.select(pairs.alias("p")).select("p.check", "p.value").where(F.col("value").isNotNull())
-               .groupBy("check", "value").agg(F.count(F.lit(1)).alias("n")))
-    totals = counted.agg(*[
-        F.count_if((F.col("check") == i) & _is_failure(c)).alias(str(i)) for i, c in enumerate(checks)
-    ])
-    rows = F.array(*[
-        F.struct(F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"), F.col(str(i)).alias("failures"))
-        for i, c in enumerate(checks)
-    ])
-    return totals.select(F.inline(rows))
+    lines = [F.struct(*_line(name, c, F.col(str(i)))) for i, c in enumerate(checks)]
+    return totals.select(F.inline(F.array(*lines)))
 
 
-def _is_failure(check: Check):
-    if check.test == UNIQUE:
-        return F.col("n") > 1
-    return ~F.col("value").isin(*check.values)
+def _outside(name: str, df: DataFrame, check: Check) -> DataFrame:
+    odd = df.where(~F.col(check.column).isin(*check.values)).select(check.column).distinct()
+    return odd.agg(F.count(F.lit(1)).alias("n")).select(*_line(name, check, F.col("n")))
+
+
+def _repeated(relations: dict[str, DataFrame], checks: list[tuple[str, Check]]) -> list[DataFrame]:
+    """Equal values have equal hashes, so a column without a repeated hash is unique.
+
+    Only 8-byte hashes are shuffled for all columns at once, combined before the shuffle. Columns that do repeat a
+    hash are then counted by value, over the rows with such a hash.
+    """
+    if not checks:
+        return []
+    of_relation: dict[str, list[Column]] = {}
+    for number, (name, check) in enumerate(checks):
+        hashed = F.when(F.col(check.column).isNotNull(), F.xxhash64(check.column))
+        of_relation.setdefault(name, []).append(F.struct(F.lit(number).alias("check"), hashed.alias("hash")))
+    hashes = reduce(DataFrame.unionByName, [
+        relations[name].select(F.inline(F.array(*pairs))) for name, pairs in of_relation.items()
+    ])
+    counted = hashes.where(F.col("hash").isNotNull()).groupBy("check", "hash").agg(F.count(F.lit(1)).alias("n"))
+    suspects = materialize(counted.where("n > 1").select("check", "hash"), "repeated_hashes")
+    suspected = {row["check"] for row in suspects.select("check").distinct().collect()}
+
+    spark = suspects.sparkSession
+    clean = [(name, c.column, c.test, 0) for i, (name, c) in enumerate(checks) if i not in suspected]
+    parts = [spark.createDataFrame(clean, REPORT)] if clean else []
+    for i in sorted(suspected):
+        name, check = checks[i]
+        parts.append(_count_repeated(name, relations[name], check, suspects.where(F.col("check") == i)))
+    return parts
+
+
+def _count_repeated(name: str, df: DataFrame, check: Check, suspects: DataFrame) -> DataFrame:
+    values = df.where(F.col(check.column).isNotNull()).select(F.col(check.column).alias("value"))
+    hashes = suspects.select("hash")
+    if fits_broadcast(hashes):
+        values = (values.withColumn("hash", F.xxhash64("value"))
+                  .join(F.broadcast(hashes), "hash", "left_semi").drop("hash"))
+    counted = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.count_if(F.col("n") > 1).alias("n")).select(*_line(name, check, F.col("n")))

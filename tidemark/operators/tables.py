@@ -58,19 +58,22 @@ class Table:
 
     def max_of(self, column: str, latest_partition_only: bool = False):
         """Largest value of a column; from the latest partition alone where partitions follow the column."""
-        latest = [p for p in self.partitions() if p != NULL_PARTITION][-1:] if latest_partition_only else None
-        return self.read(latest or None).agg(F.max(column)).first()[0]
+        snapshot = self._snapshot()
+        latest = None
+        if latest_partition_only:
+            latest = sorted(p for p in snapshot["loads"] if p != NULL_PARTITION)[-1:]
+        return self._rows(snapshot, latest).agg(F.max(column)).first()[0]
 
     # -- writing ---------------------------------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame) -> None:
-        self._publish(self._write(df), df.schema)
+        self._publish(self._snapshot(), self._write(df), df.schema)
 
     def upsert(self, delta: DataFrame, key: str) -> None:
         """Replace rows with a key in ``delta``, add the others; columns new in ``delta`` are appended."""
         snapshot = self._snapshot()
         if snapshot is None:
-            self.overwrite(delta)
+            self._publish(None, self._write(delta), delta.schema)
             return
         schema = _schema(snapshot)
         delta = materialize(_as_stored(delta, schema), "delta")
@@ -86,7 +89,7 @@ class Table:
         kept = lookup(old, delta.select(key), [key], spread=key, how="left_anti")
         merged = kept.unionByName(delta, allowMissingColumns=True)
         loads = {p: load for p, load in snapshot["loads"].items() if p not in touched}
-        self._publish(loads | self._write(merged), merged.schema)
+        self._publish(snapshot, loads | self._write(merged), merged.schema)
 
     # -- parts -----------------------------------------------------------------------------------------------
 
@@ -101,12 +104,11 @@ class Table:
             return None
         return json.loads(self.spark.read.text(max(files), wholetext=True).first()[0])
 
-    def _publish(self, loads: dict[str, str], schema: T.StructType) -> None:
-        last = self._snapshot()
+    def _publish(self, last: dict | None, loads: dict[str, str], schema: T.StructType) -> None:
         number = last["number"] + 1 if last else 1
         text = json.dumps({"number": number, "loads": loads, "schema": schema.jsonValue()})
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(
-            f"{self.path}/snapshots/number={number:08d}")
+        (self.spark.range(1, numPartitions=1).select(F.lit(text).alias("value"))
+         .write.text(f"{self.path}/snapshots/number={number:08d}"))
 
     def _rows(self, snapshot: dict, partitions: list[str] | None, keep_partition: bool = False) -> DataFrame:
         schema = _schema(snapshot)

@@ -1,0 +1,32 @@
+"""Largest text per group without sorting the input.
+
+Spark's hash aggregate keeps only fixed-width values, so one ``max`` over a text column turns the whole aggregation
+into a sort. Where a column has few distinct values, each is replaced by its place in alphabetical order, the places
+are compared, and the winner is turned back into text. A column with more values is aggregated as it is.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_DISTINCT = 64
+
+
+def few_values(df: DataFrame, *columns: str) -> dict[str, list[str]]:
+    """The sorted distinct values of each column that has at most MAX_DISTINCT of them (and at least one)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns]))
+    found = (df.select(pairs.alias("p")).select("p.name", "p.value").where(F.col("value").isNotNull()).distinct()
+             .groupBy("name").agg(F.count(F.lit(1)).alias("n"),
+                                  F.slice(F.array_sort(F.collect_list("value")), 1, MAX_DISTINCT).alias("values")))
+    return {row["name"]: row["values"] for row in found.collect() if row["n"] <= MAX_DISTINCT}
+
+
+def max_text(column: str, values: list[str] | None) -> Column:
+    """``values``: all values the column can take, sorted, or None if they are too many to list."""
+    if not values:
+        return F.max(column)
+    place = F.array_position(F.lit(values), F.col(column))
+    unlisted = F.raise_error(F.concat(F.lit(f"{column} changed while it was read: "), F.col(column))).cast("long")
+    place = F.when(place == 0, unlisted).otherwise(place)
+    return F.element_at(F.lit(values), F.max(place).cast("int"))

@@ -8,8 +8,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import days_between, now_or, null_if_zero, surrogate_key, today_or
+from tidemark.functions import days_between, exact_sum, now_or, null_if_zero, surrogate_key, today_or
 from tidemark.operators.joins import fits_broadcast, lookup
+from tidemark.operators.texts import few_values, max_text
 
 # Order states with a meaning of their own.
 COMPLETED, RETURNED, CANCELLED = "completed", "returned", "cancelled"
@@ -103,27 +104,37 @@ def order_activity(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def customer_order_totals(orders: DataFrame) -> DataFrame:
-    """One row per customer. Channel and region are the alphabetically largest, not the most frequent."""
+def customer_order_totals(orders: DataFrame, texts_from: DataFrame | None = None) -> DataFrame:
+    """One row per customer. Channel and region are the alphabetically largest, not the most frequent.
+
+    Only fixed-width values are aggregated, so rows are combined in a hash map before the shuffle and a customer with
+    very many orders costs one row per task. ``texts_from`` is a cheaper relation with the same channels and regions.
+    """
+    texts = few_values(orders if texts_from is None else texts_from, "order_channel", "region")
+    # What a completed order recognizes is its amount, so the average needs no sum of its own.
+    completed_amounts = F.count(F.when(F.col("is_completed"), F.col("order_amount_usd")))
     return orders.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
         F.count(F.when(F.col("is_completed"), F.col("order_id"))).alias("completed_orders"),
         F.count(F.when(F.col("is_returned"), F.col("order_id"))).alias("returned_orders"),
         F.count(F.when(F.col("is_cancelled"), F.col("order_id"))).alias("cancelled_orders"),
-        F.sum("recognized_revenue_usd").alias("lifetime_revenue_usd"),
-        F.sum("gross_profit_usd").alias("lifetime_gross_profit_usd"),
-        F.avg(F.when(F.col("is_completed"), F.col("order_amount_usd"))).alias("avg_order_value_usd"),
+        exact_sum(F.col("recognized_revenue_usd"), 2).alias("lifetime_revenue_usd"),
+        exact_sum(F.col("gross_profit_usd"), 2).alias("lifetime_gross_profit_usd"),
+        completed_amounts.alias("completed_amounts"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        F.max("order_channel").alias("preferred_channel"),
-        F.max("region").alias("primary_region"),
-    )
+        max_text("order_channel", texts.get("order_channel")).alias("preferred_channel"),
+        max_text("region", texts.get("region")).alias("primary_region"),
+    ).withColumn(
+        "avg_order_value_usd",
+        (F.col("lifetime_revenue_usd") / null_if_zero(F.col("completed_amounts"))).cast("decimal(16,6)"),
+    ).drop("completed_amounts")
 
 
 def int_customer_360(customers: DataFrame, orders: DataFrame, as_of: dt.date | None = None,
-                     run_ts: dt.datetime | None = None) -> DataFrame:
+                     run_ts: dt.datetime | None = None, texts_from: DataFrame | None = None) -> DataFrame:
     """One row per customer, with or without orders; no personal data."""
-    totals = customer_order_totals(orders)
+    totals = customer_order_totals(orders, texts_from)
     recency = days_between(F.col("last_order_date"), today_or(as_of))
     revenue = F.coalesce(F.col("lifetime_revenue_usd"), F.lit(0))
 
@@ -156,9 +167,9 @@ def customer_360_of(touched: DataFrame, customers: DataFrame, orders: DataFrame,
     aggregated, which combines before the shuffle and so does not mind a customer with very many orders.
     """
     if fits_broadcast(touched):
-        orders = orders.join(F.broadcast(touched), "customer_id", "left_semi")
-        return int_customer_360(
-            customers.join(F.broadcast(touched), "customer_id", "left_semi"), orders, as_of, run_ts)
+        theirs = orders.join(F.broadcast(touched), "customer_id", "left_semi")
+        profiles = customers.join(F.broadcast(touched), "customer_id", "left_semi")
+        return int_customer_360(profiles, theirs, as_of, run_ts, texts_from=orders)
     # An inner join with distinct ids, as a semi join would be pushed back below the aggregate.
     return int_customer_360(customers, orders, as_of, run_ts).join(touched, "customer_id")
 

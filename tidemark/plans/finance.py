@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import now_or, surrogate_key
+from tidemark.functions import exact_sum, now_or, surrogate_key
 from tidemark.operators.joins import lookup
 
 
@@ -21,9 +21,9 @@ def int_finance_daily(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy(F.col("transaction_date").alias("rate_date"), "currency_code").agg(
         F.avg("fx_rate").alias("fx_rate"),
         count.alias("transaction_count"),
-        F.sum(_amount_of("sale")).alias("total_sales_usd"),
-        F.sum(_amount_of("refund")).alias("total_refunds_usd"),
-        F.sum("amount_usd").alias("net_revenue_usd"),
+        exact_sum(_amount_of("sale"), 4).alias("total_sales_usd"),
+        exact_sum(_amount_of("refund"), 4).alias("total_refunds_usd"),
+        exact_sum(F.col("amount_usd"), 4).alias("net_revenue_usd"),
         reconciled.alias("reconciled_count"),
         (count - reconciled).alias("unreconciled_count"),
     )

@@ -17,6 +17,7 @@ from tidemark.functions import cents_to_dollars, fiscal_quarter, safe_divide, su
 from tidemark.operators import Partitioning, Table, drop_pii
 from tidemark.plans import commerce, finance, semantic, staging
 from tidemark.plans.checks import DEFAULT_CHECKS, VALUE_CHECKS
+from tidemark.plans.warehouse import ORDER_MONTH
 from tidemark.session import materialize, work_path
 from tidemark.sources import load_seed, read_feed_csv, retail_tables
 from tidemark.streaming import stream_orders
@@ -208,7 +209,7 @@ def _schema_evolution(spark, sf_dir):
     history = staging.stg_orders(_history_feeds(spark, sf_dir)["raw_orders"])
     orders = staging.stg_orders(retail_tables.raw_orders(spark, sf_dir, typed_dates=True))
     table = Table(spark, work_path(spark, "orders"),
-                  Partitioning("order_month", F.date_format("order_date", "yyyy-MM")))
+                  Partitioning("order_month", ORDER_MONTH))
     table.overwrite(history.select("order_id", "order_date", "order_status", "region"))
     table.upsert(orders.where(F.col("order_date") >= F.lit(OVERLAP))
                  .select("order_id", "order_date", "order_status", "currency_code"), "order_id")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,10 @@ _WHOLE = ""
 
 @dataclass(frozen=True)
 class Partitioning:
-    """``fixed`` says that the partition follows from the key alone, so a key can never change partition."""
+    """``value`` is a SQL expression over the table's columns. ``fixed`` says that the partition follows from the key alone, so a key can never change partition."""
 
     name: str
-    value: Column
+    value: str
     fixed: bool = False
 
 
@@ -137,7 +137,7 @@ class Table:
             return {_WHOLE: f"l{load}"}
         name = self.partitioning.name
         # REBALANCE gathers each partition into few files and lets AQE split a partition that is much larger.
-        (df.withColumn(name, self.partitioning.value.cast("string")).hint("rebalance", F.col(name))
+        (df.withColumn(name, F.expr(self.partitioning.value).cast("string")).hint("rebalance", F.col(name))
          .write.partitionBy(name).parquet(folder))
         files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
         found = {unquote(part.split("=", 1)[1]) for f in files for part in f.split("/") if part.startswith(f"{name}=")}
@@ -148,7 +148,7 @@ class Table:
         if not self.partitioning:
             return {_WHOLE} if not delta.isEmpty() else set()
         name = self.partitioning.name
-        found = delta.select(self.partitioning.value.cast("string").alias(name)).distinct()
+        found = delta.select(F.expr(self.partitioning.value).cast("string").alias(name)).distinct()
         if not self.partitioning.fixed:
             held = self._rows(snapshot, None, keep_partition=True).select(key, name)
             moved = lookup(held, delta.select(key), [key], spread=key, how="left_semi")

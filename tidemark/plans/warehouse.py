@@ -31,6 +31,7 @@ VIEWS = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "sem
          "sem_customer_kpis", "sem_finance_summary")
 
 CUSTOMER_BUCKETS = 16
+ORDER_MONTH = "date_format(order_date, 'yyyy-MM')"
 
 
 class Warehouse:
@@ -46,10 +47,9 @@ class Warehouse:
         self.root = root
         self.feeds = feeds
         self.as_of = as_of
-        bucket = F.pmod(F.xxhash64("customer_id"), F.lit(customer_buckets))
         self._partitioning = {
-            "int_orders_enriched": Partitioning("order_month", F.date_format("order_date", "yyyy-MM")),
-            "int_customer_360": Partitioning("bucket", bucket, fixed=True),
+            "int_orders_enriched": Partitioning("order_month", ORDER_MONTH),
+            "int_customer_360": Partitioning("bucket", f"pmod(xxhash64(customer_id), {customer_buckets})", fixed=True),
         }
 
     @classmethod
@@ -161,8 +161,8 @@ class Warehouse:
             .select(F.col("rate_date").alias("order_date"), "currency_code"), "changed_rates")
 
         orders = self.table("int_orders_enriched")
-        month = self._partitioning["int_orders_enriched"].value
-        months = [row[0] for row in changed.select(month).where(F.col("order_date").isNotNull()).distinct().collect()]
+        dated = changed.where(F.col("order_date").isNotNull())
+        months = [row[0] for row in dated.select(F.expr(ORDER_MONTH)).distinct().collect()]
         held = orders.read(months).select("order_id", "order_date", "currency_code")
         affected = materialize(
             lookup(held, changed, ["order_date", "currency_code"], spread="order_id", how="left_semi")

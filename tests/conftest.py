@@ -12,6 +12,7 @@ def make_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.log.level", "ERROR")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins
-from tidemark.operators.joins import BROADCAST_SETTING, fits_broadcast, hot_keys, lookup, payload_bytes
+from tidemark.operators.joins import BROADCAST_SETTING, fits_broadcast, hot_keys, lookup, lookup_all, payload_bytes
 
 
 @pytest.fixture
@@ -33,7 +33,7 @@ def small(spark):
 
 def test_payload_counts_rows_and_text(spark):
     df = spark.createDataFrame([("ab",), ("é",), (None,)], "s string")
-    assert payload_bytes(df) == 3 * (joins.ROW_OVERHEAD + 16) + 4
+    assert payload_bytes(df, df.where("false")) == [3 * (joins.ROW_OVERHEAD + 16) + 4, 0]
 
 
 def test_limit_decides(spark):
@@ -58,12 +58,25 @@ def test_salted_join_gives_the_same_rows(spark, no_broadcast, on, how):
 
 
 def test_hot_keys_finds_the_shares(spark):
-    hashes = {r[0]: r[1] for r in spark.sql("SELECT xxhash64('hot'), 1 UNION ALL SELECT xxhash64(cast(null as string)), 1")
-              .collect()}
-    found = dict(hot_keys(big(spark), ["key"]))
-    assert set(found) == set(hashes) and all(pieces >= 2 * 8 / 3 for pieces in found.values())
-    assert hot_keys(big(spark).where("false"), ["key"]) == []
-    assert hot_keys(spark.range(10000).selectExpr("cast(id as string) key"), ["key"]) == []
+    hashes = {r[0] for r in spark.sql(
+        "SELECT xxhash64('hot') UNION ALL SELECT xxhash64(cast(null as string))").collect()}
+    by_key, by_row = hot_keys(big(spark), ["key"], ["row"])
+    assert {h for h, _ in by_key} == hashes and all(pieces >= 2 * 8 / 3 for _, pieces in by_key)
+    assert by_row == []
+    assert hot_keys(big(spark).where("false"), ["key"]) == [[]]
+
+
+def test_several_lookups_with_and_without_broadcast(spark):
+    left, by_key = big(spark), small(spark).drop("other")
+    by_other = spark.createDataFrame([("x", 1), ("y", 2)], "other string, seen int")
+    expected = left.join(by_key, "key", "left").join(by_other, "other", "left")
+    for limit in ("0", "1000", "100000000"):
+        spark.conf.set(BROADCAST_SETTING, limit)
+        try:
+            got = lookup_all(left, [(by_key, ["key"]), (by_other, ["other"])], spread="row").select(*expected.columns)
+            assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+        finally:
+            spark.conf.unset(BROADCAST_SETTING)
 
 
 def test_salt_spreads_a_hot_key_over_partitions(spark, no_broadcast):

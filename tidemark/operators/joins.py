@@ -8,66 +8,87 @@ partitions, with the lookup rows of just those keys repeated. No row is dropped
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_SETTING = "tidemark.broadcast.maxBytes"
 BROADCAST_DEFAULT = 256 << 20
 ROW_OVERHEAD = 32      # row header and hash-table slot
-SKETCH_ITEMS = 8192    # counters kept per task by the heavy-hitter sketch
+SKETCH_ITEMS = 4096    # counters kept per task by the heavy-hitter sketch
 MAX_HOT = 256          # so a key is hot only if it may hold more than 1/256 of the rows
 
 _HASH, _SALT, _COPIES = "__key_hash", "__salt", "__copies"
 
 
-def payload_bytes(df: DataFrame) -> int:
-    """In-memory size of ``df``, from its exact row count and text lengths (one map-side aggregate)."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+def payload_bytes(*dfs: DataFrame) -> list[int]:
+    """In-memory size of each relation, from exact row counts and text lengths (one job, map-side aggregates)."""
+    sizes = [_size(df).select(F.lit(i).alias("number"), "bytes") for i, df in enumerate(dfs)]
+    return [row["bytes"] for row in sorted(reduce(DataFrame.unionByName, sizes).collect())]
+
+
+def _size(df: DataFrame) -> DataFrame:
     fixed = ROW_OVERHEAD + 16 * len(df.columns)
-    lengths = [F.sum(F.octet_length(F.col(c)).cast("long")).alias(c) for c in texts]
-    row = df.agg(F.count(F.lit(1)).alias("__rows"), *lengths).first()
-    return row["__rows"] * fixed + sum(row[c] or 0 for c in texts)
+    total = F.count(F.lit(1)) * fixed
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.sum(F.octet_length(F.col(field.name)).cast("long")), F.lit(0))
+    return df.agg(total.alias("bytes"))
+
 
+def fits_broadcast(*dfs: DataFrame) -> bool:
+    limit = _limit(dfs[0].sparkSession)
+    return limit > 0 and all(size <= limit for size in payload_bytes(*dfs))
 
-def fits_broadcast(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_DEFAULT)))
-    return limit > 0 and payload_bytes(df) <= limit
 
+def _limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_DEFAULT)))
 
-def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: str, how: str = "left",
-           keys_from: DataFrame | None = None) -> DataFrame:
+
+def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: str, how: str = "left") -> DataFrame:
     """Join ``small`` to ``big`` on equally named columns.
 
-    ``spread`` is a column of ``big`` with many values, used to spread the rows of a hot key. ``keys_from`` is a
-    cheaper relation with the same key distribution as ``big``, for finding the hot keys.
+    ``spread`` is a column of ``big`` with many values, used to spread the rows of a hot key.
     """
-    if fits_broadcast(small):
-        return big.join(F.broadcast(small), on, how)
-    hot = hot_keys(big if keys_from is None else keys_from, on)
-    if not hot:
-        return big.join(small, on, how)
-    return _salted(big, small, on, spread, how, hot)
+    return lookup_all(big, [(small, on)], spread, how)
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> list[tuple[int, int]]:
-    """(key hash, number of pieces) for each key with a large share of the rows; at most MAX_HOT of them.
+def lookup_all(big: DataFrame, lookups: list[tuple[DataFrame, list[str]]], spread: str,
+               how: str = "left") -> DataFrame:
+    """Join several lookup sides; all are measured in one job, and one more finds the hot keys where needed.
+
+    Sides that need a shuffle are joined first, while the rows of ``big`` are still narrow.
+    """
+    limit = _limit(big.sparkSession)
+    sizes = payload_bytes(*[small for small, _ in lookups]) if limit > 0 else [1] * len(lookups)
+    large = [pair for pair, size in zip(lookups, sizes) if size > limit]
+    fitting = [pair for pair, size in zip(lookups, sizes) if size <= limit]
+    joined = big
+    for (small, on), hot in zip(large, hot_keys(big, *[on for _, on in large]) if large else []):
+        joined = _salted(joined, small, on, spread, how, hot) if hot else joined.join(small, on, how)
+    for small, on in fitting:
+        joined = joined.join(F.broadcast(small), on, how)
+    return joined
+
+
+def hot_keys(df: DataFrame, *keys: list[str]) -> list[list[tuple[int, int]]]:
+    """For each key: (key hash, number of pieces) of the values with a large share of the rows, at most MAX_HOT.
 
     A mergeable frequent-items sketch finds them in one pass without shuffling keys. It only steers the physical
     layout, never the result.
     """
-    key = ", ".join(f"`{c}`" for c in on)
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(xxhash64({key}), {MAX_HOT}, {SKETCH_ITEMS})").alias("top"),
-    ).first()
-    if not row["rows"]:
-        return []
+    def sketch(key: list[str]) -> Column:
+        columns = ", ".join(f"`{c}`" for c in key)
+        return F.expr(f"approx_top_k(xxhash64({columns}), {MAX_HOT}, {SKETCH_ITEMS})")
+
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[sketch(key).alias(f"top{i}") for i, key in enumerate(keys)]).first()
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return [
-        (item["item"], max(2, math.ceil(2 * partitions * item["count"] / row["rows"])))
-        for item in row["top"] if item["count"] * MAX_HOT > row["rows"]
+        [(item["item"], max(2, math.ceil(2 * partitions * item["count"] / row["rows"])))
+         for item in row[f"top{i}"] or [] if item["count"] * MAX_HOT > row["rows"]]
+        for i in range(len(keys))
     ]
 
 

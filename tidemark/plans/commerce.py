@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import days_between, exact_sum, now_or, null_if_zero, surrogate_key, today_or
-from tidemark.operators.joins import fits_broadcast, lookup
+from tidemark.operators.joins import fits_broadcast, lookup, lookup_all
 from tidemark.operators.texts import few_values, max_text
 
 # Order states with a meaning of their own.
@@ -55,7 +55,7 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
                         run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per order, with its customer, its product and the daily rate of its currency.
 
-    The largest lookup side comes first, while the order rows are still narrow. ``daily`` should be a stored table.
+    ``daily`` should be a stored table: it is measured first, then joined.
     """
     customer_part = customers.select(
         "customer_id", "customer_segment", F.col("country_code").alias("customer_country"), "days_since_signup")
@@ -64,10 +64,8 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
         "gross_margin_pct")
     rates = daily.select(F.col("rate_date").alias("order_date"), "currency_code", "fx_rate")
 
-    joined = lookup(orders, customer_part, ["customer_id"], spread="order_id")
-    joined = lookup(joined, product_part, ["product_id"], spread="order_id", keys_from=orders)
-    joined = lookup(joined, rates, ["order_date", "currency_code"], spread="order_id", keys_from=orders)
-
+    joined = lookup_all(orders, [(customer_part, ["customer_id"]), (product_part, ["product_id"]),
+                                 (rates, ["order_date", "currency_code"])], spread="order_id")
     rate = F.coalesce(F.col("fx_rate"), F.lit(NO_RATE))
     return joined.select(
         "order_id",

@@ -33,6 +33,13 @@ def _key(expr: str) -> str:
     return f"md5(coalesce({expr}, '_dbt_utils_surrogate_key_null_'))"
 
 
+def _mean(expr: str, scale: int, digits: int, result: str) -> str:
+    """Exact mean of non-negative decimals, rounded half up, in integers (a plain avg is a double)."""
+    units = f"CAST(sum({expr}) * {10**scale} AS HUGEINT) * {10 ** (digits - scale)}"
+    return (f"CAST(CAST((2 * {units} + count({expr})) // nullif(2 * count({expr}), 0) AS DECIMAL(28,0)) "
+            f"* CAST({10.0 ** -digits:.{digits}f} AS DECIMAL({digits},{digits})) AS {result})")
+
+
 def _raw_orders(day: str) -> str:
     return f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
@@ -77,7 +84,7 @@ def _stg_transactions(source: str) -> str:
 def _daily(source: str) -> str:
     return f"""
         SELECT transaction_date AS rate_date, currency_code,
-               CAST(round(avg(fx_rate), 10) AS DECIMAL(14,10)) AS fx_rate,
+               {_mean("fx_rate", 6, 10, "DECIMAL(14,10)")} AS fx_rate,
                count(*) AS transaction_count,
                CAST(coalesce(sum(amount_usd) FILTER (transaction_type = 'sale'), 0) AS DECIMAL(22,4)) AS total_sales_usd,
                CAST(coalesce(sum(amount_usd) FILTER (transaction_type = 'refund'), 0) AS DECIMAL(22,4))
@@ -126,7 +133,7 @@ def _customer_360(orders: str, customers: str, as_of: str) -> str:
                count(*) FILTER (o.is_cancelled) AS cancelled_orders,
                CAST(coalesce(sum(o.recognized_revenue_usd), 0) AS DECIMAL(22,2)) AS lifetime_revenue_usd,
                CAST(coalesce(sum(o.gross_profit_usd), 0) AS DECIMAL(22,2)) AS lifetime_gross_profit_usd,
-               CAST(round(avg(o.order_amount_usd) FILTER (o.is_completed), 6) AS DECIMAL(16,6)) AS avg_order_value_usd,
+               {_mean("if(o.is_completed, o.order_amount_usd, NULL)", 2, 6, "DECIMAL(16,6)")} AS avg_order_value_usd,
                min(o.order_date) AS first_order_date, max(o.order_date) AS last_order_date,
                CAST(date_diff('day', max(o.order_date), {as_of}) AS INTEGER) AS days_since_last_order,
                max(o.order_channel) AS preferred_channel, max(o.region) AS primary_region,

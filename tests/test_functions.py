@@ -9,8 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import (cents_to_dollars, days_between, exact_sum, fiscal_quarter, null_if_zero, safe_divide,
-                                strict_date, surrogate_key, text_flag, title_case)
+from tidemark.functions import (cents_to_dollars, days_between, exact_avg, exact_sum, fiscal_quarter, null_if_zero,
+                                safe_divide, strict_date, surrogate_key, text_flag, title_case)
 
 
 def evaluate(spark, values, schema, *columns):
@@ -85,3 +85,9 @@ def test_exact_sum_equals_decimal_sum(spark):
     fine = spark.range(20000).selectExpr("cast(id % 7 as int) g", "cast(hash(id) / 10000 as decimal(12,4)) x")
     assert all(r.a == r.b for r in fine.groupBy("g").agg(exact_sum(F.col("x"), 4).alias("a"),
                                                           F.sum("x").alias("b")).collect())
+
+
+def test_exact_avg_rounds_ties_up(spark):
+    df = spark.range(512).selectExpr("cast(if(id = 0, 1.01, 1.00) as decimal(10,6)) x")
+    assert df.agg(exact_avg(F.col("x"), 6, 10)).first()[0] == Decimal("1.0000195313")
+    assert df.where("false").agg(exact_avg(F.col("x"), 6, 10)).first()[0] is None

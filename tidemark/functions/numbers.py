@@ -22,6 +22,12 @@ def safe_divide(numerator: Column, denominator: Column, default: float = 0) -> C
     return F.when(usable, numerator.cast("double") / denominator).otherwise(F.lit(float(default)))
 
 
+def exact_avg(amount: Column, scale: int, digits: int) -> Column:
+    """Average of a decimal of at most 15 digits, rounded half up to ``digits``; the same however rows are split."""
+    mean = exact_sum(amount, scale) / null_if_zero(F.count(amount))
+    return mean.cast(f"decimal({digits + 10},{digits})")
+
+
 def exact_sum(amount: Column, scale: int) -> Column:
     """Sum of a decimal of at most 15 digits, exact, as ``decimal(22, scale)``.
 

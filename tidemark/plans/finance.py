@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import exact_sum, now_or, surrogate_key
+from tidemark.functions import exact_avg, exact_sum, now_or, surrogate_key
 from tidemark.operators.joins import lookup
 
 
@@ -19,7 +19,7 @@ def int_finance_daily(transactions: DataFrame) -> DataFrame:
     """One row per day and currency. Refund amounts are positive, and ``net_revenue_usd`` adds them as they are."""
     count, reconciled = F.count("transaction_id"), F.count_if(F.col("is_reconciled"))
     return transactions.groupBy(F.col("transaction_date").alias("rate_date"), "currency_code").agg(
-        F.avg("fx_rate").alias("fx_rate"),
+        exact_avg(F.col("fx_rate"), 6, 10).cast("decimal(14,10)").alias("fx_rate"),
         count.alias("transaction_count"),
         exact_sum(_amount_of("sale"), 4).alias("total_sales_usd"),
         exact_sum(_amount_of("refund"), 4).alias("total_refunds_usd"),

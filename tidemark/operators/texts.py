@@ -7,6 +7,8 @@ are compared, and the winner is turned back into text. A column with more values
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,15 @@ MAX_DISTINCT = 64
 
 def few_values(df: DataFrame, *columns: str) -> dict[str, list[str]]:
     """The sorted distinct values of each column that has at most MAX_DISTINCT of them (and at least one)."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns]))
-    found = (df.select(pairs.alias("p")).select("p.name", "p.value").where(F.col("value").isNotNull()).distinct()
-             .groupBy("name").agg(F.count(F.lit(1)).alias("n"),
-                                  F.slice(F.array_sort(F.collect_list("value")), 1, MAX_DISTINCT).alias("values")))
-    return {row["name"]: row["values"] for row in found.collect() if row["n"] <= MAX_DISTINCT}
+    listed = [
+        df.select(F.lit(c).alias("name"), F.col(c).alias("value")).where(F.col("value").isNotNull())
+        .distinct().limit(MAX_DISTINCT + 1)
+        for c in columns
+    ]
+    found: dict[str, list[str]] = {}
+    for row in reduce(DataFrame.unionByName, listed).collect():
+        found.setdefault(row["name"], []).append(row["value"])
+    return {name: sorted(values) for name, values in found.items() if len(values) <= MAX_DISTINCT}
 
 
 def max_text(column: str, values: list[str] | None) -> Column:

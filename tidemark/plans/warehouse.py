@@ -120,9 +120,9 @@ class Warehouse:
         if latest is not None:
             self.upsert_orders(self.stg_orders().where(F.col("order_date") >= F.lit(latest)))
 
-    def upsert_orders(self, orders: DataFrame) -> None:
-        """Enrich staged orders and replace or add them by order id."""
-        self.table("int_orders_enriched").upsert(self._enriched(orders), "order_id")
+    def upsert_orders(self, orders: DataFrame, daily: DataFrame | None = None) -> None:
+        """Enrich staged orders, with the stored daily rates or others, and replace or add them by order id."""
+        self.table("int_orders_enriched").upsert(self._enriched(orders, daily), "order_id")
 
     def refresh_customers(self, full_refresh: bool = False) -> None:
         """Customers with an order written since the table's last run; all of them on the first run or a full refresh.
@@ -152,9 +152,9 @@ class Warehouse:
         """Rebuild the daily rates and enrich again the stored orders whose rate changed, appeared or went away."""
         table = self.table("int_finance_daily")
         day_and_currency = ["rate_date", "currency_code"]
+        daily = materialize(finance.int_finance_daily(self.stg_transactions()), "int_finance_daily")
         before = table.read().select(*day_and_currency, F.col("fx_rate").alias("rate_before"))
-        table.overwrite(finance.int_finance_daily(self.stg_transactions()))
-        after = table.read().select(*day_and_currency, F.col("fx_rate").alias("rate_after"))
+        after = daily.select(*day_and_currency, F.col("fx_rate").alias("rate_after"))
         changed = materialize(
             before.join(after, day_and_currency, "full_outer")
             .where(~F.col("rate_before").eqNullSafe(F.col("rate_after")))
@@ -167,11 +167,14 @@ class Warehouse:
         affected = materialize(
             lookup(held, changed, ["order_date", "currency_code"], spread="order_id", how="left_semi")
             .select("order_id"), "affected_orders")
-        self.upsert_orders(lookup(self.stg_orders(), affected, ["order_id"], spread="order_id", how="left_semi"))
-
-    def _enriched(self, orders: DataFrame) -> DataFrame:
-        return commerce.int_orders_enriched(
-            orders, self.stg_customers(), self.stg_products(), self.relation("int_finance_daily"))
+        restated = lookup(self.stg_orders(), affected, ["order_id"], spread="order_id", how="left_semi")
+        self.upsert_orders(restated, daily)
+        # The new rates are stored last, so that a run that fails before can simply be repeated.
+        table.overwrite(daily)
+
+    def _enriched(self, orders: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+        daily = self.relation("int_finance_daily") if daily is None else daily
+        return commerce.int_orders_enriched(orders, self.stg_customers(), self.stg_products(), daily)
 
     # -- checks ----------------------------------------------------------------------------------------------
 

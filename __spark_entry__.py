@@ -155,7 +155,6 @@ def _with_history(spark, sf_dir) -> tuple[Warehouse, Warehouse]:
     """A warehouse run up to CUT, and the same one with the feeds as they are now."""
     root = work_path(spark, "warehouse")
     then = Warehouse(spark, root, _history_feeds(spark, sf_dir), CUT)
-    # Only today's view of customers matters to orders; the customer table of the past is built where it is needed.
     now = Warehouse(spark, root, retail_tables.feeds(spark, sf_dir, typed_dates=True), AS_OF)
     now.refresh_finance_daily()
     return then, now

@@ -10,7 +10,6 @@ import re
 AS_OF = "DATE '2001-08-15'"
 CUT = "DATE '2001-06-15'"
 OVERLAP = "DATE '2001-05-01'"
-RESTATED_FROM = "DATE '2000-01-01'"
 
 _BREAKS = r'[!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>\s]'
 _NOT_BREAKS = r'[^!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>\s]'
@@ -86,7 +85,8 @@ def _daily(source: str) -> str:
         SELECT transaction_date AS rate_date, currency_code,
                {_mean("fx_rate", 6, 10, "DECIMAL(14,10)")} AS fx_rate,
                count(*) AS transaction_count,
-               CAST(coalesce(sum(amount_usd) FILTER (transaction_type = 'sale'), 0) AS DECIMAL(22,4)) AS total_sales_usd,
+               CAST(coalesce(sum(amount_usd) FILTER (transaction_type = 'sale'), 0) AS DECIMAL(22,4))
+                   AS total_sales_usd,
                CAST(coalesce(sum(amount_usd) FILTER (transaction_type = 'refund'), 0) AS DECIMAL(22,4))
                    AS total_refunds_usd,
                CAST(sum(amount_usd) AS DECIMAL(22,4)) AS net_revenue_usd,

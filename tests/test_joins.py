@@ -28,7 +28,8 @@ def big(spark, n=30000):
 def small(spark):
     named = spark.range(4000).select(F.col("id").cast("string").alias("key"), F.lit("x").alias("other"),
                                      (F.col("id") * 2).alias("value"))
-    return named.union(spark.createDataFrame([("hot", "x", -1), (None, "x", -2)], "key string, other string, value long"))
+    odd = [("hot", "x", -1), (None, "x", -2)]
+    return named.union(spark.createDataFrame(odd, "key string, other string, value long"))
 
 
 def test_payload_counts_rows_and_text(spark):

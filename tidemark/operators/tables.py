@@ -27,7 +27,10 @@ _WHOLE = ""
 
 @dataclass(frozen=True)
 class Partitioning:
-    """``value`` is a SQL expression over the table's columns. ``fixed`` says that the partition follows from the key alone, so a key can never change partition."""
+    """``value`` is a SQL expression over the table's columns.
+
+    ``fixed`` says that the partition follows from the key alone, so a key can never change partition.
+    """
 
     name: str
     value: str

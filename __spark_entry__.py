@@ -6,6 +6,7 @@ Run stamps (``_dbt_loaded_at`` and the like) are left out of the results, as the
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -268,8 +269,41 @@ def queries() -> dict[str, Query]:
         "schema_evolution_append": _schema_evolution,
         "orders_stream_upsert": _orders_stream,
     }
-    return {name: _unstamped(query) for name, query in plain.items()}
+    return {**{name: _unstamped(query) for name, query in plain.items()}, **_corpus_queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: statement(name) for name in queries()}
+    corpus = _corpus_queries()
+    return {**{name: statement(name) for name in queries() if name not in corpus}, **_corpus_sql()}
+
+
+# -- the corpus subpackage, where it is there ----------------------------------------------------------------------
+
+def _present(module: str) -> bool:
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+def _corpus_queries() -> dict[str, Query]:
+    found: dict[str, Query] = {}
+    if _present("tidemark.llm.queries"):
+        from tidemark.llm import queries as corpus
+        found.update(corpus.queries())
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
+            found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def _corpus_sql() -> dict[str, str]:
+    found: dict[str, str] = {}
+    if _present("tidemark.llm.queries"):
+        from tidemark.llm import queries as corpus
+        found.update(corpus.oracle_sql())
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
+            if corpus_pipeline.ORACLE_SQL:
+                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

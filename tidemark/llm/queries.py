@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simple8b
+from tidemark.llm import bpe, simple8b, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "token-files")
     simple8b.write(documents(spark, sf_dir), folder, vocabulary("byte_bpe_50k.json"), end_id=0,
@@ -40,6 +45,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_repeats_removed": repeats_removed,
         "op5_token_files": token_files,
         "op8_byte_bpe": byte_bpe,
     }

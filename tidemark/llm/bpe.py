@@ -26,7 +26,10 @@ from pyspark.sql import types as T
 
 from tidemark.llm import spans
 
-UNITS_KEPT = 1_000_000    # units kept by a worker (about 60 MB) before it starts afresh
+UNITS_KEPT = 400_000     # units kept by a worker (about 30 MB) before it starts afresh
+TEXT_BYTES = 1 << 20     # texts encoded at once
+RUN_BYTES = 1 << 17      # new units encoded as one text, as the library needs over 100 bytes a token
+IDS_AT_ONCE = 1 << 18    # ids decoded at once
 
 _codecs: dict[str, Codec] = {}
 
@@ -130,11 +133,16 @@ class Codec:
         joinable = _opens(data)[starts] & _closes(data)[ends - 1]
         order = np.concatenate([np.flatnonzero(joinable), np.flatnonzero(~joinable)])
         held = data[spans.ragged(starts[order], lengths[order])]
-        run = int(lengths[joinable].sum())
-        alone = np.concatenate([[0], np.cumsum(lengths[~joinable])]) + run
-        texts = [held[:run].tobytes().decode()] + [
-            held[a:b].tobytes().decode() for a, b in zip(alone[:-1], alone[1:])]
-        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends_held = np.cumsum(lengths[order])
+        # texts of whole units: runs of joinable ones, then the others one by one
+        together = ends_held[:int(joinable.sum())]
+        cuts = [int(together[np.searchsorted(together, x, side="right") - 1])
+                for x in range(RUN_BYTES, int(together[-1]) if len(together) else 0, RUN_BYTES)]
+        borders = np.unique([0, *(c for c in cuts if c > 0), *together[-1:], *ends_held[len(together):]])
+        found = []
+        for a, b in zip(borders[:-1], borders[1:]):
+            text = held[a:b].tobytes().decode()
+            found.append(np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32))
         ids = np.concatenate(found)
         through = np.concatenate([[0], np.cumsum(self.token_lengths[ids])])      # bytes before each id
         borders = np.concatenate([[0], np.cumsum(lengths[order])])
@@ -201,24 +209,29 @@ def codec(path: str, shipped: bool = False) -> Codec:
     return _codecs[key]
 
 
-def encode(df: DataFrame, path: str, text: str = "text", places: bool = True) -> DataFrame:
-    """``df`` with ``ids`` and, if asked for, ``byte_starts`` and ``char_starts``, in place of the text.
+def encode(df: DataFrame, path: str, text: str = "text", places: bool = True, decoded: bool = False) -> DataFrame:
+    """``df`` with ``ids`` in place of the text and, if asked for, ``byte_starts`` and ``char_starts``, and ``decoded``.
 
-    A null or empty text has no ids. Columns of these names are replaced; other columns stay, rows keep their number.
+    ``decoded`` holds the bytes that the ids stand for, made in the same pass. A null or empty text has no ids. Columns
+    of these names are replaced; other columns stay, rows keep their number.
     """
-    added = ["ids", "byte_starts", "char_starts"][:3 if places else 1]
-    kept = [f for f in df.schema.fields if f.name not in (text, *added)]
-    schema = T.StructType([*kept, *(T.StructField(name, T.ArrayType(T.IntegerType(), False)) for name in added)])
+    lists = ["ids", "byte_starts", "char_starts"][:3 if places else 1]
+    added = [T.StructField(name, T.ArrayType(T.IntegerType(), False)) for name in lists]
+    added += [T.StructField("decoded", T.BinaryType())] * decoded
+    kept = [f for f in df.schema.fields if f.name not in (text, *(f.name for f in added))]
+    schema = T.StructType([*kept, *added])
     _ship(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, True)
-        for batch in spans.pieces(batches, text):
+        for batch in spans.pieces(batches, text, TEXT_BYTES):
             data, offsets = spans.buffers(batch.column(text))
             ids, before = own.encode(data, offsets)
-            lists = [ids, *(own.places(data, offsets, ids, before) if places else ())]
+            found = [ids, *(own.places(data, offsets, ids, before) if places else ())]
             columns = [batch.column(f.name) for f in kept]
-            columns += [pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(x, pa.int32())) for x in lists]
+            columns += [pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(x, pa.int32())) for x in found]
+            if decoded:
+                columns.append(_binary(*own.decode(ids, before)))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text)).mapInArrow(run, schema)
@@ -232,19 +245,33 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, True)
-        for batch in batches:
+        for batch, before in _id_pieces(batches, ids):
             lists = batch.column(ids)
-            before = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            data, offsets = own.decode(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-                                       before.astype(np.int64))
-            decoded = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
-            columns = [batch.column(f.name) for f in kept] + [decoded.cast(pa.binary())]
+            data, offsets = own.decode(lists.flatten().to_numpy(zero_copy_only=False), before)
+            columns = [batch.column(f.name) for f in kept] + [_binary(data, offsets)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(ids)).mapInArrow(run, schema)
 
 
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    held = [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, held)
+
+
+def _id_pieces(batches: Iterator[pa.RecordBatch], ids: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Runs of rows of about ``IDS_AT_ONCE`` ids, with the number of ids before each row."""
+    for batch in batches:
+        counts = batch.column(ids).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        through = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        row = 0
+        while row < batch.num_rows:
+            end = int(np.searchsorted(through, through[row] + IDS_AT_ONCE, side="right")) - 1
+            end = min(max(end, row + 1), batch.num_rows)
+            yield batch.slice(row, end - row), through[row:end + 1] - through[row]
+            row = end
+
+
 def characters(pieces_of_text: list[bytes]) -> list[str]:
     """The text of each token in turn, a split character given with the token that ends it."""
     import codecs
@@ -263,8 +290,7 @@ def _ship(df: DataFrame, path: str) -> None:
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Ids of each text and their bytes, with the digests by which they are compared."""
-    encoded = encode(docs.select("doc_id", "text"), path, places=False)
-    return (decode(encoded.withColumns({
-        "n_tokens": F.size("ids").cast("long"),
-        "ids_sha256": F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)}), path)
-        .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+    coded = encode(docs.select("doc_id", "text"), path, places=False, decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))

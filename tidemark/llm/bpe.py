@@ -18,6 +18,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -26,8 +27,8 @@ from pyspark.sql import types as T
 
 from tidemark.llm import spans
 
-UNITS_KEPT = 400_000     # units kept by a worker (about 30 MB) before it starts afresh
-TEXT_BYTES = 1 << 20     # texts encoded at once
+UNITS_KEPT = 1_000_000   # units kept by a worker (about 60 MB) before it starts afresh
+TEXT_BYTES = 2 << 20     # texts encoded at once
 RUN_BYTES = 1 << 17      # new units encoded as one text, as the library needs over 100 bytes a token
 IDS_AT_ONCE = 1 << 18    # ids decoded at once
 
@@ -104,7 +105,9 @@ class Codec:
         hashes = spans.hash_spans(data, starts, ends)
         if len(self.hashes) > UNITS_KEPT:
             self._forget()
-        unlike, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        inverse, unlike = pd.factorize(hashes)
+        at = np.zeros(len(unlike), np.int64)
+        at[inverse[::-1]] = np.arange(len(hashes))[::-1]      # the first unit of each hash
         place = np.searchsorted(self.hashes, unlike)
         known = np.zeros(len(unlike), bool)
         inner = place < len(self.hashes)

@@ -76,9 +76,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         places.append(here)
         at[active] = here + step[active, here]
         active = active[at[active] < sizes[active]]
-    rows, places = np.concatenate(rows), np.concatenate(places)
-    order = np.lexsort((places, rows))
-    rows, places = rows[order], places[order]
+    taken = np.zeros((blocks, BLOCK), bool)
+    taken[np.concatenate(rows), np.concatenate(places)] = True
+    rows, places = np.nonzero(taken)
     selectors = choice[rows, places]
     words = np.zeros(len(rows), np.uint64)
     for selector in range(14):
@@ -165,7 +165,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int, partitions:
             begins, held, size = begins + len(ids), [], 0
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["frame"])
 
-        for batch in spans.pieces(batches, "text", 1 << 20):
+        for batch in spans.pieces(batches, "text", bpe.TEXT_BYTES):
             data, offsets = spans.buffers(batch.column("text"))
             ids, before = own.encode(data, offsets)
             ids = np.insert(ids, before[1:], end_id)

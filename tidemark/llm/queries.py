@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, simple8b, substring
+from tidemark.llm import bpe, forest, language, simple8b, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,12 +48,17 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("lang_spans").alias("n_spans"))
 
 
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.join(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_repeats_removed": repeats_removed,
         "op5_token_files": token_files,
         "op8_byte_bpe": byte_bpe,
         "op9_languages": languages,
+        "op10_similar_documents": similar_documents,
     }
 
 

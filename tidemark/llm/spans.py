@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20    # texts worked on at once; one longer text is a piece of its own
+PIECE_BYTES = 1 << 20    # texts worked on at once; one longer text is a piece of its own
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _codes: dict[int, tuple[np.ndarray, np.uint64]] = {}
 _powers: dict[int, np.ndarray] = {}

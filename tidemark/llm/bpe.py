@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import spans
 
-UNITS_KEPT = 1_000_000   # units kept by a worker (about 60 MB) before it starts afresh
+UNITS_KEPT = 1_500_000   # units kept by a worker (about 90 MB) before it starts afresh
 TEXT_BYTES = 2 << 20     # texts encoded at once
 RUN_BYTES = 1 << 17      # new units encoded as one text, as the library needs over 100 bytes a token
 IDS_AT_ONCE = 1 << 18    # ids decoded at once
@@ -108,6 +108,8 @@ class Codec:
         inverse, unlike = pd.factorize(hashes)
         at = np.zeros(len(unlike), np.int64)
         at[inverse[::-1]] = np.arange(len(hashes))[::-1]      # the first unit of each hash
+        order = np.argsort(unlike)                            # looked up in order: near in memory
+        unlike, at = unlike[order], at[order]
         place = np.searchsorted(self.hashes, unlike)
         known = np.zeros(len(unlike), bool)
         inner = place < len(self.hashes)
@@ -115,7 +117,9 @@ class Codec:
         if not known.all():
             self._keep(data, starts[at[~known]], ends[at[~known]], unlike[~known])
             place = np.searchsorted(self.hashes, unlike)
-        unit = place[inverse]
+        unit = np.empty_like(place)
+        unit[order] = place
+        unit = unit[inverse]
         lengths = ends - starts
         if not np.array_equal(self.unit_bytes[spans.ragged(self.unit_starts[unit], lengths)], data):
             return self._encode_plainly(data, offsets)    # two units of one hash

@@ -33,6 +33,7 @@ from tidemark.llm import bpe, spans
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
+_NARROWEST = np.searchsorted(WIDTHS, np.arange(66)).clip(max=13).astype(np.uint8)     # by bit length
 BLOCK = 1024
 FRAME_IDS = 1 << 18
 FRAMES_PER_FILE = 64
@@ -50,9 +51,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     padded = np.zeros(blocks * BLOCK, np.uint64)
     padded[:len(ids)] = ids
     table[:, :BLOCK] = padded.reshape(blocks, BLOCK)
-    need = np.zeros(table.shape, np.uint8)
-    for width in WIDTHS[:-1]:
-        need += table >= np.uint64(1 << int(width))         # the narrowest width number that holds the id
+    # number of the narrowest width that holds each id; 14: none
+    need = _NARROWEST[np.frexp(table.astype(np.float64))[1]]
     need[table >= np.uint64(1 << 60)] = 14
     # the selector at each place: of those whose ids all fit, the one that takes most
     choice = np.where(need[:, :BLOCK] == 14, ESCAPE, 13).astype(np.uint8)

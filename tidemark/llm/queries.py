@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, forest, language, simple8b, substring
+from tidemark.llm import bpe, contamination, forest, language, simple8b, sql, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Python workers find this package where the driver has it, unless they are told a path of their own."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+def _ready(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        on_workers(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -52,15 +66,24 @@ def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.join(documents(spark, sf_dir))
 
 
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def queries() -> dict[str, Query]:
-    return {
+    plain: dict[str, Query] = {
         "op3_repeats_removed": repeats_removed,
         "op5_token_files": token_files,
+        "op7_contaminated": contaminated,
         "op8_byte_bpe": byte_bpe,
         "op9_languages": languages,
         "op10_similar_documents": similar_documents,
     }
+    return {name: _ready(query) for name, query in plain.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_contaminated": sql.CONTAMINATED}

@@ -45,9 +45,13 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of steps whose results are written down."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner delete the shuffle files of steps whose results are written down.
+
+    The first round tells the JVM which plans Python has dropped, the second one finds their shuffles unused.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 @dataclass
@@ -306,6 +310,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     hot_anchors, hot_passages = hot(named, hot_least)
     anchors = named.mapInArrow(_emit_anchors(n, hot_anchors, hot_passages), blocks.SCHEMA)
     places = materialize(blocks.gather(anchors, partitions).mapInArrow(_shared_anchors(n), blocks.SCHEMA), "anchor-places")
+    del anchors
     release(spark)
     smallest = np.full(len(hot_passages), np.iinfo(np.int64).max)
     for row in places.where("bucket < 0").select("bucket", "n", "payload").collect():     # at most HOT_MOST items
@@ -314,6 +319,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     passages = _with_places(named, places, partitions, n).mapInArrow(
         _emit_passages(n, hot_anchors, hot_passages), blocks.SCHEMA)
     later = materialize(blocks.gather(passages, partitions).mapInArrow(_later_passages(n), blocks.SCHEMA), "later-passages")
+    del passages
     release(spark)
     return _with_places(rows, later, partitions, n).mapInArrow(
         _shorten(hot_passages, smallest), "doc long, n_words long, n_removed long, kept string").withColumnRenamed(

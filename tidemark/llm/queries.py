@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, forest, language, simple8b, sql, substring
+from tidemark.llm import bpe, contamination, forest, language, outliers, simple8b, sql, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +73,15 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(documents(spark, sf_dir, "doc_id", "text", "lang", "source")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
         "op3_repeats_removed": repeats_removed,
+        "op4_quality": quality,
         "op5_token_files": token_files,
         "op7_contaminated": contaminated,
         "op8_byte_bpe": byte_bpe,

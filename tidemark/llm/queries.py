@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, forest, language, outliers, simple8b, sql, substring
+from tidemark.llm import bpe, contamination, forest, language, lines, outliers, simple8b, sql, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +78,14 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def lines_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_repeated(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
+        "op2_lines_removed": lines_removed,
         "op3_repeats_removed": repeats_removed,
         "op4_quality": quality,
         "op5_token_files": token_files,
@@ -92,4 +98,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_contaminated": sql.CONTAMINATED}
+    return {"op2_lines_removed": sql.LINES_REMOVED, "op7_contaminated": sql.CONTAMINATED}

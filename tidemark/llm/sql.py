@@ -33,3 +33,38 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+LINES_REMOVED = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+    SELECT r, doc_id, spot, lines[spot] AS line, row_number() OVER (PARTITION BY r ORDER BY spot) AS place,
+           len(regexp_extract_all(lines[spot], '[^\x20\x09-\x0D]+')) AS words
+    FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS spot FROM docs)
+    WHERE regexp_matches(lines[spot], '[^\x20\x09-\x0D]')
+), following AS (
+    SELECT *, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3, lead(words, 1) OVER w AS words2
+    FROM lines WINDOW w AS (PARTITION BY r ORDER BY place)
+), runs AS (
+    SELECT r, doc_id, place, 1 AS n, [line] AS run FROM following WHERE words >= 50
+    UNION ALL
+    SELECT r, doc_id, place, 2, [line, line2] FROM following WHERE line2 IS NOT NULL AND words + words2 >= 50
+    UNION ALL
+    SELECT r, doc_id, place, 3, [line, line2, line3] FROM following WHERE line3 IS NOT NULL
+), ordered AS (
+    SELECT *, first_value(r) OVER w AS first_r, first_value(place) OVER w AS first_place
+    FROM runs WINDOW w AS (PARTITION BY run ORDER BY doc_id, place)
+), gone AS (
+    SELECT DISTINCT r, unnest(range(place, place + n)) AS place FROM ordered
+    WHERE r <> first_r OR place >= first_place + n
+), stay AS (
+    SELECT r, string_agg(lines[spot], chr(10) ORDER BY spot) AS text
+    FROM (SELECT r, lines, unnest(range(1, len(lines) + 1)) AS spot FROM docs)
+    WHERE (r, spot) NOT IN (SELECT (l.r, l.spot) FROM lines l JOIN gone g ON l.r = g.r AND l.place = g.place)
+    GROUP BY r
+)
+SELECT d.doc_id, (SELECT count(*) FROM lines l WHERE l.r = d.r)::BIGINT AS n_lines,
+       (SELECT count(*) FROM gone g WHERE g.r = d.r)::BIGINT AS n_removed,
+       sha256(coalesce(s.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN stay s USING (r)
+"""

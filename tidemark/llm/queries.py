@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, forest, language, lines, outliers, simple8b, sql, substring
+from tidemark.llm import bpe, contamination, forest, language, lines, outliers, quotes, simple8b, sql, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,12 +83,17 @@ def lines_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
         "op2_lines_removed": lines_removed,
         "op3_repeats_removed": repeats_removed,
         "op4_quality": quality,
         "op5_token_files": token_files,
+        "op6_quote_links": quote_links,
         "op7_contaminated": contaminated,
         "op8_byte_bpe": byte_bpe,
         "op9_languages": languages,

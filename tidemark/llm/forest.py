@@ -31,7 +31,7 @@ from tidemark.session import materialize
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, DEPTH, SHORTEST = 24, 8, 5
 TARGET = 0.999
-BLOCK = 256
+BLOCK = 512
 SLACK = 3.0          # standard deviations that an estimate may fall short by before the pair is given up
 PAIRS_AT_ONCE = 1 << 16
 _FACTORS = (np.random.default_rng(1).integers(0, 1 << 62, TREES * DEPTH, np.uint64) << np.uint64(1)) + np.uint64(1)
@@ -106,95 +106,115 @@ def _borders(table: pa.Table, key: list[str]) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(change) + 1, [table.num_rows]]) if table.num_rows else np.zeros(1, int)
 
 
-def _candidates(depth: int):
-    """Pairs of a bucket that have no longer common prefix in any trie, in the first trie that has this one."""
+def _near_pairs(table: pa.Table, borders: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs of a bucket whose signatures agree enough, each in one bucket only: they have no longer
+    common prefix in any trie, and this trie is the first that has this one."""
+    doc, own = table.column("doc").to_numpy(), table.column("block").to_numpy()
+    cross = (table.column("low").to_numpy() != table.column("high").to_numpy())
+    tree, size = table.column("tree").to_numpy(), table.column("size").to_numpy()
+    held = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(doc), TREES, DEPTH)
+    off = math.sqrt(SIMILARITY * (1 - SIMILARITY) / (TREES * DEPTH))
+    row = np.arange(len(doc))
+    counts = np.repeat(borders[1:], np.diff(borders)) - row - 1
+    begin = 0
+    while begin < len(row):
+        end = begin + max(1, int(np.searchsorted(np.cumsum(counts[begin:]), PAIRS_AT_ONCE, side="right")))
+        left = np.repeat(row[begin:end], counts[begin:end])
+        right = spans.ragged(row[begin:end] + 1, counts[begin:end])
+        begin = end
+        apart = (~cross[left] | (own[left] != own[right])) & (doc[left] != doc[right])
+        apart &= np.minimum(size[left], size[right]) >= SIMILARITY * np.maximum(size[left], size[right])
+        left, right = left[apart], right[apart]
+        same = held[left] == held[right]
+        new = same[:, :, :depth].all(axis=2).argmax(axis=1) == tree[left]
+        if depth < DEPTH:
+            new &= ~same[:, :, :depth + 1].all(axis=2).any(axis=1)
+        share = (same.mean(axis=(1, 2)) - 1 / 256) / (1 - 1 / 256)
+        near = new & (share >= SIMILARITY - SLACK * off)
+        yield left[near], right[near]
+
+
+_GROUP = ["bucket", "low", "high"]
+_MEMBER = "bucket long, low int, high int, block int, tree int, doc long, size int, signature binary"
+
+
+def _members_of_pairs(depth: int):
+    """The members of buckets that are in at least one pair to verify."""
     def run(batches: Batches) -> Batches:
-        for table, borders in whole_groups(batches, ["bucket", "low", "high"]):
-            doc, own = table.column("doc").to_numpy(), table.column("block").to_numpy()
-            cross = (table.column("low").to_numpy() != table.column("high").to_numpy())
-            tree, size = table.column("tree").to_numpy(), table.column("size").to_numpy()
-            held = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(doc), TREES, DEPTH)
-            row = np.arange(len(doc))
-            counts = np.repeat(borders[1:], np.diff(borders)) - row - 1
-            begin = 0
-            while begin < len(row):
-                done = np.cumsum(counts[begin:])
-                end = begin + max(1, int(np.searchsorted(done, PAIRS_AT_ONCE, side="right")))
-                left = np.repeat(row[begin:end], counts[begin:end])
-                right = spans.ragged(row[begin:end] + 1, counts[begin:end])
-                begin = end
-                apart = (~cross[left] | (own[left] != own[right])) & (doc[left] != doc[right])
-                sizes = np.minimum(size[left], size[right]) >= SIMILARITY * np.maximum(size[left], size[right])
-                left, right = left[apart & sizes], right[apart & sizes]
-                same = held[left] == held[right]
-                at_depth = same[:, :, :depth].all(axis=2)
-                new = at_depth.argmax(axis=1) == tree[left]
-                if depth < DEPTH:
-                    new &= ~same[:, :, :depth + 1].all(axis=2).any(axis=1)
-                share = (same.mean(axis=(1, 2)) - 1 / 256) / (1 - 1 / 256)
-                off = math.sqrt(SIMILARITY * (1 - SIMILARITY) / (TREES * DEPTH))
-                near = new & (share >= SIMILARITY - SLACK * off)
-                a, b = doc[left[near]], doc[right[near]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        for table, borders in whole_groups(batches, _GROUP):
+            wanted = np.zeros(table.num_rows, bool)
+            for left, right in _near_pairs(table, borders, depth):
+                wanted[left] = wanted[right] = True
+            yield from table.filter(pa.array(wanted)).combine_chunks().to_batches()
     return run
 
 
-def _pairs(members: DataFrame, depth: int) -> DataFrame:
-    """Candidate pairs (a < b) whose longest common prefix has the length ``depth``."""
+def _links(depth: int):
+    """Pairs of exact similarity ``SIMILARITY`` or more, with it."""
+    def run(batches: Batches) -> Batches:
+        for table, borders in whole_groups(_with_sets(batches), _GROUP):
+            doc, sets = table.column("doc").to_numpy(), table.column("set").combine_chunks()
+            size = table.column("size").to_numpy()
+            a, b, sims = [], [], []
+            for left, right in _near_pairs(table, borders, depth):
+                for i, j in zip(left.tolist(), right.tolist()):
+                    one, two = (np.frombuffer(sets[k].as_buffer(), np.uint64) for k in (i, j))
+                    both = len(np.intersect1d(one, two, assume_unique=True))
+                    similarity = both / (size[i] + size[j] - both)
+                    if similarity >= SIMILARITY:
+                        a.append(min(doc[i], doc[j]))
+                        b.append(max(doc[i], doc[j]))
+                        sims.append(similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sims, pa.float64())],
+                                             names=["a", "b", "similarity"])
+    return run
+
+
+def _with_sets(batches: Batches) -> Batches:
+    """The sorted shingle set in place of the text."""
+    for batch in spans.pieces(batches, "text"):
+        hashes, first = shingles(*spans.buffers(batch.column("text")))
+        sets = pa.array([np.unique(hashes[x:y]).tobytes() for x, y in zip(first[:-1], first[1:])], pa.large_binary())
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), sets], names=[*names, "set"])
+
+
+def _buckets(members: DataFrame, depth: int) -> DataFrame:
+    """``doc``, ``tree`` and ``bucket`` (hash of the tree and the prefix), and the size ``n`` of shared buckets."""
     prefix = [F.xxhash64(F.lit(t), F.substring("signature", t * DEPTH + 1, depth)) for t in range(TREES)]
     rows = members.select("doc", F.posexplode(F.array(*prefix)).alias("tree", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    block = F.pmod(F.xxhash64("doc", "bucket"), blocks).cast("int")
-    spread = (rows.join(shared, "bucket").select("doc", "tree", "bucket", block.alias("block"), blocks.alias("blocks"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("doc", "tree", "bucket", "block", F.least("block", "other").alias("low"),
-                      F.greatest("block", "other").alias("high")))
-    whole = spread.join(members.select("doc", "size", "signature"), "doc")
-    return (whole.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "doc")
-            .mapInArrow(_candidates(depth), "a long, b long"))
+    return rows.join(shared, "bucket")
 
 
-def _verify(batches: Batches) -> Batches:
-    for batch in batches:
-        left, right = (shingles(*spans.buffers(batch.column(name))) for name in ("text_a", "text_b"))
-        sims = np.zeros(batch.num_rows)
-        seen, kept = None, None
-        a = batch.column("a").to_numpy()
-        for i in range(batch.num_rows):
-            if a[i] != seen:
-                seen, kept = a[i], np.unique(left[0][left[1][i]:left[1][i + 1]])
-            other = np.unique(right[0][right[1][i]:right[1][i + 1]])
-            both = len(np.intersect1d(kept, other, assume_unique=True))
-            sims[i] = both / max(1, len(kept) + len(other) - both)
-        near = sims >= SIMILARITY
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a").filter(pa.array(near)), batch.column("b").filter(pa.array(near)),
-             pa.array(sims[near])], names=["a", "b", "similarity"])
-
-
-def _pieces_of_pairs(batches: Batches) -> Batches:
-    for batch in spans.pieces(batches, "text_a", 1 << 20):
-        yield from spans.pieces(iter([batch]), "text_b", 1 << 20)
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "doc")
 
 
 def similar_pairs(docs: DataFrame, members: DataFrame, id_column: str, text: str) -> DataFrame:
     """Verified pairs of members: ``a`` < ``b`` and ``similarity``."""
-    texts, tags = _texts(docs, id_column, text), members.select("doc", "tag")
+    # only members that share a shortest prefix can be in a pair at all
+    near = materialize(_buckets(members, SHORTEST).select("doc").distinct(), "near")
+    signed = materialize(members.join(near, "doc"), "near-members")
+    texts = materialize(_texts(docs, id_column, text).join(signed.select("doc", "tag"), ["doc", "tag"])
+                        .dropDuplicates(["doc"]).select("doc", "text"), "near-texts")
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     found: DataFrame | None = None
     for depth in range(DEPTH, SHORTEST - 1, -1):
-        pairs = materialize(_pairs(members, depth), "pairs")
-        needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc").join(tags, "doc")
-        of = materialize(texts.join(needed, ["doc", "tag"]).dropDuplicates(["doc"]).select("doc", "text"), "pair-texts")
-        with_a = pairs.join(of.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-        both = with_a.join(of.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-        links = materialize(both.mapInArrow(lambda it: _verify(_pieces_of_pairs(it)),
-                                            "a long, b long, similarity double"), "links")
+        block = F.pmod(F.xxhash64("doc", "bucket"), blocks).cast("int")
+        spread = (_buckets(signed, depth).select("doc", "tree", "bucket", block.alias("block"), blocks.alias("blocks"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                  .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                          "block", "tree", "doc"))
+        rows = spread.join(signed.select("doc", "size", "signature"), "doc").select(
+            "bucket", "low", "high", "block", "tree", "doc", "size", "signature")
+        paired = materialize(_grouped(rows).mapInArrow(_members_of_pairs(depth), _MEMBER), "paired")
+        links = materialize(_grouped(paired.join(texts, "doc").select(*paired.columns, "text")).mapInArrow(
+            _links(depth), "a long, b long, similarity double"), "links")
         found = links if found is None else found.unionByName(links)
         chance = 1 - F.pow(1 - F.pow("similarity", F.lit(depth)), F.lit(TREES))
         seen = found.agg(F.count(F.lit(1)).alias("n"), F.sum(1 / chance).alias("likely")).first()
-        if not seen["n"] or seen["n"] >= TARGET * seen["likely"]:
+        if seen["n"] and seen["n"] >= TARGET * seen["likely"]:
             break
     return found
 

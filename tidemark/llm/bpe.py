@@ -295,9 +295,9 @@ def _ship(df: DataFrame, path: str) -> None:
         df.sparkSession.sparkContext.addFile(path)
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ids of each text and their bytes, with the digests by which they are compared."""
-    coded = encode(docs.select("doc_id", "text"), path, places=False, decoded=True)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    coded = encode(docs.select("doc_id", "text", *keep), path, places=False, decoded=True)
+    return coded.select("doc_id", *keep, F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

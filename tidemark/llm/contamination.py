@@ -40,6 +40,10 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def row_key(id_column: str, text: str) -> Column:
+    return F.xxhash64(F.col(id_column).cast("string"), F.col(text))
+
+
 def item_windows(items: DataFrame, id_column: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``item`` (id as text), ``window`` (its words joined by a space) and ``len``, once each."""
     words = items.select(F.col(id_column).cast("string").alias("item"), words_of(F.col(text)).alias("words"))
@@ -76,7 +80,7 @@ def find(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str
     listed = materialize(item_windows(items, item_id, item_text, window), "item-windows")
     windows = listed.select("window", "len").distinct()
     tokens = windows.select("window", "len", F.posexplode(F.split("window", " ")).alias("offset", "word"))
-    texts = docs.select(F.xxhash64(F.col(id_column).cast("string"), F.col(text)).alias("row"), words_of(F.col(text)).alias("words"))
+    texts = docs.select(row_key(id_column, text).alias("row"), words_of(F.col(text)).alias("words"))
 
     in_benchmark = _bitmap(tokens.select("word").distinct())
     counts = (texts.select(F.explode("words").alias("word")).where(in_benchmark(F.col("word")))
@@ -114,7 +118,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     measured = found.select("row", F.col("n_words").cast("long").alias("n_words"),
                             F.when(F.col("hits").isNull(), 0).otherwise(covered).cast("long").alias("n_hit"),
                             F.array_sort(F.coalesce("items", none)).alias("items"))
-    rows = docs.select(F.col(id_column), F.xxhash64(F.col(id_column).cast("string"), F.col(text)).alias("row"))
+    rows = docs.select(F.col(id_column), row_key(id_column, text).alias("row"))
     zero = F.lit(0).cast("long")
     return rows.join(measured, "row", "left").select(
         id_column, F.coalesce("n_words", zero).alias("n_words"), F.coalesce("n_hit", zero).alias("n_hit"),

@@ -1,9 +1,8 @@
 """Shuffling many small items as few binary rows.
 
 Tasks gather items (columns of numbers), deal them to buckets by a hash, and emit one row per bucket and gathering:
-``bucket``, ``n`` (items) and ``payload`` (the columns one after another). Spark shuffles and sorts these rows by bucket;
-a task then takes one whole bucket at a time. A bucket is about a quarter of a shuffle partition, so its size follows
-``spark.sql.shuffle.partitions`` as that of any partition does.
+``bucket``, ``n`` (items) and ``payload`` (the columns one after another). Spark sends each bucket to a partition of its
+own, so its size follows ``spark.sql.shuffle.partitions`` as that of any partition does.
 """
 
 from __future__ import annotations
@@ -13,18 +12,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SCHEMA = "bucket int, n int, payload binary"
-ITEMS = 1 << 19             # items gathered before they are emitted
-BUCKETS_PER_PARTITION = 4
+ITEMS = 1 << 20             # items gathered before they are emitted
 
 Items = Iterator[tuple[np.ndarray, ...]]      # bucket of each item, then the columns
 
 
-def bucket_count(df: DataFrame) -> tuple[int, int]:
-    """Shuffle partitions and buckets."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return partitions, partitions * BUCKETS_PER_PARTITION
+def bucket_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def of_hash(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -87,5 +84,6 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: list[str]) -> Iterat
         yield current, unpack(payload, counts, kinds)
 
 
-def gather(df: DataFrame, partitions: int) -> DataFrame:
-    return df.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+def gather(df: DataFrame, n: int, *then: str) -> DataFrame:
+    """Rows sent to the partition of their bucket (numbers of ``n`` and more, or below 0, go round), sorted by it."""
+    return df.repartitionById(n, F.pmod("bucket", F.lit(n))).sortWithinPartitions("bucket", *then)

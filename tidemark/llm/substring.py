@@ -188,13 +188,13 @@ def _shared_anchors(n: int):
     return lambda batches: blocks.deal(items(batches))
 
 
-def _with_places(texts: DataFrame, places: DataFrame, partitions: int, n: int) -> DataFrame:
+def _with_places(texts: DataFrame, places: DataFrame, n: int) -> DataFrame:
     """Texts and the places of their rows side by side: per bucket first the places, then the texts."""
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (("row", "long"), ("doc", "long"), ("text", "string"))]
     first = places.where("bucket >= 0").select("bucket", F.lit(0).alias("part"), "n", "payload", *none)
     then = texts.select(F.pmod("row", F.lit(n)).cast("int").alias("bucket"), F.lit(1).alias("part"),
                         F.lit(0).alias("n"), F.lit(None).cast("binary").alias("payload"), "row", "doc", "text")
-    return first.union(then).repartition(partitions, "bucket").sortWithinPartitions("bucket", "part")
+    return blocks.gather(first.union(then), n, "part")
 
 
 def _texts_with_places(batches: Batches) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray]]:
@@ -304,23 +304,23 @@ def _joined(words: Words, at: np.ndarray, n: int) -> pa.Array:
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", hot_least: int = HOT_LEAST) -> DataFrame:
     """Per row: id, ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space)."""
     spark = docs.sparkSession
-    partitions, n = blocks.bucket_count(docs)
+    n = blocks.bucket_count(docs)
     rows = _rows(docs, id_column, text)
     named = rows.where("doc IS NOT NULL")
     hot_anchors, hot_passages = hot(named, hot_least)
     anchors = named.mapInArrow(_emit_anchors(n, hot_anchors, hot_passages), blocks.SCHEMA)
-    places = materialize(blocks.gather(anchors, partitions).mapInArrow(_shared_anchors(n), blocks.SCHEMA), "anchor-places")
+    places = materialize(blocks.gather(anchors, n).mapInArrow(_shared_anchors(n), blocks.SCHEMA), "anchor-places")
     del anchors
     release(spark)
     smallest = np.full(len(hot_passages), np.iinfo(np.int64).max)
     for row in places.where("bucket < 0").select("bucket", "n", "payload").collect():     # at most HOT_MOST items
         ids = np.frombuffer(row["payload"], "<i8", row["n"])
         smallest[-1 - row["bucket"]] = min(smallest[-1 - row["bucket"]], ids.min())
-    passages = _with_places(named, places, partitions, n).mapInArrow(
+    passages = _with_places(named, places, n).mapInArrow(
         _emit_passages(n, hot_anchors, hot_passages), blocks.SCHEMA)
-    later = materialize(blocks.gather(passages, partitions).mapInArrow(_later_passages(n), blocks.SCHEMA), "later-passages")
+    later = materialize(blocks.gather(passages, n).mapInArrow(_later_passages(n), blocks.SCHEMA), "later-passages")
     del passages
     release(spark)
-    return _with_places(rows, later, partitions, n).mapInArrow(
+    return _with_places(rows, later, n).mapInArrow(
         _shorten(hot_passages, smallest), "doc long, n_words long, n_removed long, kept string").withColumnRenamed(
         "doc", id_column)

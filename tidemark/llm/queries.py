@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, forest, language, lines, outliers, quotes, simple8b, sql, substring
+from tidemark.llm import bpe, contamination, forest, language, lines, maxent, outliers, quotes, simple8b, sql, substring
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,8 +87,13 @@ def quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
+        "op1_language_model": language_model,
         "op2_lines_removed": lines_removed,
         "op3_repeats_removed": repeats_removed,
         "op4_quality": quality,

@@ -92,7 +92,7 @@ class Codec:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)                      # of the units kept, sorted
-        self.unit_starts, self.unit_ids, self.unit_counts = (np.zeros(0, np.int64) for _ in range(3))
+        self.unit_starts, self.unit_lengths, self.unit_ids, self.unit_counts = (np.zeros(0, np.int64) for _ in range(4))
         self.unit_bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.int32)
 
     # -- encoding --------------------------------------------------------------------------------------------------
@@ -121,7 +121,8 @@ class Codec:
         unit[order] = place
         unit = unit[inverse]
         lengths = ends - starts
-        if not np.array_equal(self.unit_bytes[spans.ragged(self.unit_starts[unit], lengths)], data):
+        if not np.array_equal(self.unit_lengths[unit], lengths) or not np.array_equal(
+                self.unit_bytes[spans.ragged(self.unit_starts[unit], lengths)], data):
             return self._encode_plainly(data, offsets)    # two units of one hash
         counts = self.unit_counts[unit]
         ids = self.ids[spans.ragged(self.unit_ids[unit], counts)]
@@ -162,6 +163,7 @@ class Codec:
         sort = np.argsort(merged, kind="stable")
         self.hashes = merged[sort]
         self.unit_starts = np.concatenate([self.unit_starts, new_starts])[sort]
+        self.unit_lengths = np.concatenate([self.unit_lengths, lengths[order]])[sort]
         self.unit_ids = np.concatenate([self.unit_ids, new_ids])[sort]
         self.unit_counts = np.concatenate([self.unit_counts, np.diff(cuts)])[sort]
         self.unit_bytes = np.concatenate([self.unit_bytes, held])

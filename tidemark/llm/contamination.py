@@ -4,7 +4,7 @@ A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but
 a window only if it holds every word of it, so the necessary prefix of a window, in the order of rarity over all documents,
 is its rarest word. Steps, all of them DataFrame expressions:
 
-1. occurrences in the documents of each word of the benchmark;
+1. the texts are cut into words, once, and written down; occurrences in the documents of each word of the benchmark;
 2. each window is listed under its rarest word, with the word's place in it; windows with a word that no document has go;
 3. places of listed words in the documents, with the words around them. A fixed-size bitmap of the listed words is looked
    up first, so only few places become rows;
@@ -80,7 +80,7 @@ def find(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str
     listed = materialize(item_windows(items, item_id, item_text, window), "item-windows")
     windows = listed.select("window", "len").distinct()
     tokens = windows.select("window", "len", F.posexplode(F.split("window", " ")).alias("offset", "word"))
-    texts = docs.select(row_key(id_column, text).alias("row"), words_of(F.col(text)).alias("words"))
+    texts = materialize(docs.select(row_key(id_column, text).alias("row"), words_of(F.col(text)).alias("words")), "doc-words")
 
     in_benchmark = _bitmap(tokens.select("word").distinct())
     counts = (texts.select(F.explode("words").alias("word")).where(in_benchmark(F.col("word")))

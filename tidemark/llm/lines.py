@@ -77,7 +77,8 @@ def run_names(docs: DataFrame, id_column: str, text: str, min_lines: int = MIN_L
         if length < min_lines:
             found = F.filter(found, lambda x: x["words"] >= min_words)
         windows.append(found)
-    return level.select("doc", "row", F.explode(F.concat(*windows)).alias("w")).select(
+    # the outer form, as a plain one would have the array made twice (once to see whether it is empty)
+    return level.select("doc", "row", F.explode_outer(F.concat(*windows)).alias("w")).where("w IS NOT NULL").select(
         "doc", "row", "w.place", "w.len", "w.a", "w.b")
 
 

@@ -80,7 +80,8 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.get("__dealt", F.pmod(x, F.lit(_BUCKETS)).cast("int")), x))
     marked = (hashed.withColumn("__again", again).drop("__sorted")
               .withColumn("__dealt", F.when(F.size("__again") > 0, dealt))
-              .withColumn("__flags", F.when(F.size("__again") > 0, flags)).drop("__dealt", "__triples", "__again"))
+              # named twice here: a column named once would be made again for every triple
+              .withColumn("__flags", F.when(F.col("__dealt").isNotNull(), flags)).drop("__dealt", "__triples", "__again"))
     in_flag = lambda i: F.coalesce(F.get("__flags", i), F.lit(False))
     covered = F.size(F.filter(F.transform("__words", lambda w, i: in_flag(i) | in_flag(i - 1) | in_flag(i - 2)),
                               lambda x: x))

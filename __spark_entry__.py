@@ -1,6 +1,6 @@
 """Registered queries over the driver tables, each with its DuckDB statement where SQL can say the same.
 
-Run stamps (``_dbt_loaded_at`` and the like) are left out of the results, as they differ from run to run.
+Models run with a fixed run stamp, shown as text; results of whole-warehouse runs come without stamps.
 """
 
 from __future__ import annotations
@@ -21,23 +21,35 @@ from tidemark.plans.checks import DEFAULT_CHECKS, VALUE_CHECKS
 from tidemark.plans.warehouse import ORDER_MONTH
 from tidemark.session import materialize, work_path
 from tidemark.sources import load_seed, read_feed_csv, retail_tables
-from tidemark.streaming import stream_orders
+from tidemark.streaming import SEQUENCE, stream_orders
 
 AS_OF = dt.date(2001, 8, 15)
 CUT = dt.date(2001, 6, 15)
 OVERLAP = dt.date(2001, 5, 1)
-THIS_YEAR = dt.date(2001, 1, 1)
+RUN_TS = dt.datetime(2001, 8, 15, 2, 0, 0)
 RESTATED_FROM = "2000-01-01"
 
 STAMPS = ("_dbt_loaded_at", "_dbt_updated_at", "dw_updated_at")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Queries whose models get the run stamp.
+STAMPED = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "int_orders_enriched", "int_customer_360",
+           "int_customer_360_idle", "int_customer_360_many_channels", "fct_orders", "dim_customer", "fct_transactions",
+           "dummy_test", "pii_free_customers")
+
 
 def _unstamped(query: Query) -> Query:
     return lambda spark, sf_dir: query(spark, sf_dir).drop(*STAMPS)
 
 
+def _stamped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = query(spark, sf_dir)
+        return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in STAMPS if c in df.columns})
+    return run
+
+
 # -- feeds through CSV ---------------------------------------------------------------------------------------------
 
 def _seed(feed: str) -> Query:
@@ -51,42 +63,57 @@ def _seed(feed: str) -> Query:
 # -- full-refresh models -------------------------------------------------------------------------------------------
 
 def _stg_orders(spark, sf_dir):
-    return staging.stg_orders(retail_tables.raw_orders(spark, sf_dir))
+    return staging.stg_orders(retail_tables.raw_orders(spark, sf_dir), RUN_TS)
 
 
 def _stg_customers(spark, sf_dir):
-    return staging.stg_customers(retail_tables.raw_customers(spark, sf_dir), AS_OF)
+    return staging.stg_customers(retail_tables.raw_customers(spark, sf_dir), AS_OF, RUN_TS)
 
 
 def _stg_products(spark, sf_dir):
-    return staging.stg_products(retail_tables.raw_products(spark, sf_dir))
+    return staging.stg_products(retail_tables.raw_products(spark, sf_dir), RUN_TS)
 
 
 def _stg_transactions(spark, sf_dir):
-    return staging.stg_transactions(retail_tables.raw_transactions(spark, sf_dir))
+    return staging.stg_transactions(retail_tables.raw_transactions(spark, sf_dir), RUN_TS)
 
 
 def _daily(spark, sf_dir):
     return finance.int_finance_daily(_stg_transactions(spark, sf_dir))
 
 
-def _enriched(spark, sf_dir):
+def _enriched_from(spark, sf_dir, orders: DataFrame) -> DataFrame:
     return commerce.int_orders_enriched(
-        _stg_orders(spark, sf_dir), _stg_customers(spark, sf_dir), _stg_products(spark, sf_dir),
-        materialize(_daily(spark, sf_dir), "int_finance_daily"))
+        orders, materialize(_stg_customers(spark, sf_dir), "stg_customers"),
+        materialize(_stg_products(spark, sf_dir), "stg_products"),
+        materialize(_daily(spark, sf_dir), "int_finance_daily"), RUN_TS)
+
 
+def _enriched(spark, sf_dir):
+    return _enriched_from(spark, sf_dir, _stg_orders(spark, sf_dir))
+
+
+def _customer_360_of(change: Callable[[DataFrame], DataFrame]) -> Query:
+    """The customer view over enriched orders whose staged rows were changed first."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        orders = _enriched_from(spark, sf_dir, change(_stg_orders(spark, sf_dir)))
+        return commerce.int_customer_360(_stg_customers(spark, sf_dir), orders, AS_OF, RUN_TS)
+    return query
 
-def _customer_360(spark, sf_dir):
-    orders = _stg_orders(spark, sf_dir)
-    activity = commerce.order_activity(orders, _stg_products(spark, sf_dir))
-    return commerce.int_customer_360(_stg_customers(spark, sf_dir), activity, AS_OF, texts_from=orders)
 
+def _with_idle_customers(orders: DataFrame) -> DataFrame:
+    """Every third customer's orders go to the next one, so that many customers have none."""
+    number = F.col("customer_id").cast("long")
+    return orders.withColumn("customer_id", F.when(number % 3 == 0, (number + 1).cast("string"))
+                             .otherwise(F.col("customer_id")))
 
-def _customer_360_recent(spark, sf_dir):
-    """Activity of one year: a good part of the customers have no orders in it."""
-    orders = _stg_orders(spark, sf_dir).where(F.col("order_date") >= F.lit(THIS_YEAR))
-    activity = commerce.order_activity(orders, _stg_products(spark, sf_dir))
-    return commerce.int_customer_360(_stg_customers(spark, sf_dir), activity, AS_OF, texts_from=orders)
+
+def _with_many_channels(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("order_channel", F.concat(F.lit("channel "), (F.col("order_id").cast("long") % 997)
+                                                       .cast("string")))
+
+
+_customer_360 = _customer_360_of(lambda orders: orders)
 
 
 def _fct_orders(spark, sf_dir):
@@ -94,12 +121,12 @@ def _fct_orders(spark, sf_dir):
 
 
 def _dim_customer(spark, sf_dir):
-    return commerce.dim_customer(_customer_360(spark, sf_dir))
+    return commerce.dim_customer(_customer_360(spark, sf_dir), RUN_TS)
 
 
 def _fct_transactions(spark, sf_dir):
     return finance.fct_transactions(
-        _stg_transactions(spark, sf_dir), materialize(_daily(spark, sf_dir), "int_finance_daily"))
+        _stg_transactions(spark, sf_dir), materialize(_daily(spark, sf_dir), "int_finance_daily"), RUN_TS)
 
 
 # -- expressions ---------------------------------------------------------------------------------------------------
@@ -188,12 +215,14 @@ def _customer_360_upsert(spark, sf_dir):
     return now.relation("int_customer_360")
 
 
-def _fx_restatement(spark, sf_dir):
+def _restated(spark, sf_dir) -> Warehouse:
+    """A warehouse whose rates were raised after it was built."""
     feeds = retail_tables.feeds(spark, sf_dir, typed_dates=True)
     root = work_path(spark, "warehouse")
     before = Warehouse(spark, root, feeds, AS_OF)
     before.refresh_finance_daily()
     before.refresh_orders()
+    before.table("fct_orders").overwrite(commerce.fct_orders(before.relation("int_orders_enriched")))
     day = F.col("transaction_date")
     restated = (F.col("is_reconciled") == "true") & (day >= RESTATED_FROM) & (day < "3")
     transactions = feeds["raw_transactions"].withColumn(
@@ -201,7 +230,15 @@ def _fx_restatement(spark, sf_dir):
         .otherwise(F.col("fx_rate")).cast("decimal(18,6)"))
     after = Warehouse(spark, root, {**feeds, "raw_transactions": transactions}, AS_OF)
     after.restate_rates()
-    return after.relation("int_orders_enriched")
+    return after
+
+
+def _fx_restatement(spark, sf_dir):
+    return _restated(spark, sf_dir).relation("int_orders_enriched")
+
+
+def _fx_restatement_facts(spark, sf_dir):
+    return _restated(spark, sf_dir).relation("fct_orders")
 
 
 def _schema_evolution(spark, sf_dir):
@@ -217,11 +254,19 @@ def _schema_evolution(spark, sf_dir):
 
 
 def _orders_stream(spark, sf_dir):
+    """All orders arrive in two files, one a micro-batch, each order first as pending and then as it is; every seventh
+    order comes again in the second file."""
     then, now = _with_history(spark, sf_dir)
     _load_history(then, now)
-    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
-    run = stream_orders(now, retail_tables.orders_feed(arriving, typed_dates=True), work_path(spark, "stream"))
+    feed = retail_tables.raw_orders(spark, sf_dir, typed_dates=True)
+    final = feed.withColumn(SEQUENCE, F.lit(2))
+    first = feed.withColumns({"status": F.lit("pending"), SEQUENCE: F.lit(1)})
+    folder, late = work_path(spark, "arriving"), F.col("order_id").cast("long") % 7 == 0
+    first.union(final.where(~late)).coalesce(1).write.parquet(f"{folder}/number=1")
+    first.where(late).union(final.where(late)).coalesce(1).write.parquet(f"{folder}/number=2")
+    arriving = (spark.readStream.schema(final.schema).option("maxFilesPerTrigger", 1)
+                .option("recursiveFileLookup", True).parquet(folder))
+    run = stream_orders(now, arriving, work_path(spark, "stream"), SEQUENCE, work_path(spark, "conflicts"))
     run.awaitTermination()
     return now.relation("int_orders_enriched")
 
@@ -246,7 +291,8 @@ def queries() -> dict[str, Query]:
         "int_finance_daily": _daily,
         "int_orders_enriched": _enriched,
         "int_customer_360": _customer_360,
-        "int_customer_360_recent": _customer_360_recent,
+        "int_customer_360_idle": _customer_360_of(_with_idle_customers),
+        "int_customer_360_many_channels": _customer_360_of(_with_many_channels),
         "fct_orders": _fct_orders,
         "dim_customer": _dim_customer,
         "fct_transactions": _fct_transactions,
@@ -266,10 +312,12 @@ def queries() -> dict[str, Query]:
         "orders_full_refresh": _orders_full_refresh,
         "customer_360_upsert": _customer_360_upsert,
         "fx_restatement": _fx_restatement,
+        "fx_restatement_facts": _fx_restatement_facts,
         "schema_evolution_append": _schema_evolution,
         "orders_stream_upsert": _orders_stream,
     }
-    return {**{name: _unstamped(query) for name, query in plain.items()}, **_corpus_queries()}
+    models = {name: (_stamped if name in STAMPED else _unstamped)(query) for name, query in plain.items()}
+    return {**models, **_corpus_queries()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,6 +21,7 @@ def _title(expr: str) -> str:
 
 
 def _day(expr: str) -> str:
+    # The feeds have no times of day.
     return f"CASE WHEN regexp_full_match({expr}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_cast({expr} AS DATE) END"
 
 
@@ -203,8 +204,13 @@ RELATIONS = {
     "int_finance_daily": _daily("stg_transactions"),
     "int_orders_enriched": _enriched("stg_orders", "int_finance_daily"),
     "int_customer_360": _customer_360("int_orders_enriched", "stg_customers", AS_OF),
-    "recent_orders": "SELECT * FROM int_orders_enriched WHERE order_date >= DATE '2001-01-01'",
-    "int_customer_360_recent": _customer_360("recent_orders", "stg_customers", AS_OF),
+    "idle_orders": """
+        SELECT * REPLACE (CAST(CAST(customer_id AS BIGINT) + if(CAST(customer_id AS BIGINT) % 3 = 0, 1, 0) AS VARCHAR)
+                          AS customer_id) FROM int_orders_enriched""",
+    "int_customer_360_idle": _customer_360("idle_orders", "stg_customers", AS_OF),
+    "many_channels": """
+        SELECT * REPLACE ('channel ' || (CAST(order_id AS BIGINT) % 997) AS order_channel) FROM int_orders_enriched""",
+    "int_customer_360_many_channels": _customer_360("many_channels", "stg_customers", AS_OF),
     "fct_orders": f"""
         SELECT {_key("order_id")} AS order_sk, * EXCLUDE (product_name, days_since_signup),
                CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
@@ -314,6 +320,11 @@ RELATIONS = {
     "stg_restated": _stg_transactions("restated_transactions"),
     "restated_daily": _daily("stg_restated"),
     "fx_restatement": _enriched("stg_dated_orders", "restated_daily"),
+    "fx_restatement_facts": f"""
+        SELECT {_key("order_id")} AS order_sk, * EXCLUDE (product_name, days_since_signup),
+               CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
+               CAST(quarter(order_date) AS INTEGER) AS order_quarter
+        FROM fx_restatement""",
     "schema_evolution_append": f"""
         SELECT coalesce(new.order_id, old.order_id) AS order_id, coalesce(new.order_date, old.order_date) AS order_date,
                coalesce(new.order_status, old.order_status) AS order_status, old.region, new.currency_code
@@ -385,8 +396,19 @@ def _needs(name: str, seen: list[str]) -> list[str]:
     return seen
 
 
+#: The run stamp of the models, and the column that holds it.
+RUN_TS = "'2001-08-15 02:00:00'"
+_STAMP_COLUMNS = {
+    "_dbt_loaded_at": ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "pii_free_customers"),
+    "_dbt_updated_at": ("int_orders_enriched", "int_customer_360", "int_customer_360_idle",
+                        "int_customer_360_many_channels", "fct_orders"),
+    "dw_updated_at": ("dim_customer", "fct_transactions", "dummy_test"),
+}
+
+
 def statement(name: str) -> str:
     """The named relation as one SELECT, with the relations it is built on as CTEs."""
     needed = [n for n in _needs(name, []) if n != name]
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({RELATIONS[n]})" for n in [*needed, name])
-    return f"WITH {ctes}\nSELECT * FROM {name}"
+    stamps = "".join(f", {RUN_TS} AS {column}" for column, names in _STAMP_COLUMNS.items() if name in names)
+    return f"WITH {ctes}\nSELECT *{stamps} FROM {name}"

@@ -25,7 +25,7 @@ def test_title_case_starts_words_after_punctuation(spark):
 
 
 def test_strict_date_keeps_full_dates_only(spark):
-    texts = ["2024-01-05", "2024-1-5", "2024", "2024-02", "2024-02-30", "2024-01-05 10:00", "unknown", "", None]
+    texts = ["2024-01-05", "2024-1-5", "2024", "2024-02", "2024-02-30", "05.01.2024", "unknown", "", None]
     got = [r[0] for r in evaluate(spark, [(t,) for t in texts], "s string", strict_date(F.col("s"), T.StringType()))]
     assert got == [dt.date(2024, 1, 5), dt.date(2024, 1, 5)] + [None] * 7
 
@@ -91,3 +91,20 @@ def test_exact_avg_rounds_ties_up(spark):
     df = spark.range(512).selectExpr("cast(if(id = 0, 1.01, 1.00) as decimal(10,6)) x")
     assert df.agg(exact_avg(F.col("x"), 6, 10)).first()[0] == Decimal("1.0000195313")
     assert df.where("false").agg(exact_avg(F.col("x"), 6, 10)).first()[0] is None
+
+
+def test_title_case_keeps_control_characters(spark):
+    got = [r[0] for r in evaluate(spark, [("a\x01 b",), ("x\x01y-z",)], "s string", title_case(F.col("s")))]
+    assert got == ["A\x01 B", "X\x01y-Z"]
+
+
+def test_strict_date_with_time_and_line_end(spark):
+    texts = ["2024-01-05 10:00", "2024-01-05T10:00:30.5Z", "2024-01-05\n", "2024-01-05 10", "2024-01-05 x"]
+    got = [r[0] for r in evaluate(spark, [(t,) for t in texts], "s string", strict_date(F.col("s"), T.StringType()))]
+    assert [str(d) for d in got] == ["2024-01-05", "2024-01-05", "None", "None", "None"]
+
+
+def test_exact_sum_refuses_more_digits_than_it_can_hold(spark):
+    frame = spark.sql("SELECT cast('12345678901234567.89' AS decimal(20,2)) AS x")
+    with pytest.raises(Exception, match="more than 15 digits"):
+        frame.agg(exact_sum(F.col("x"), 2)).collect()

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.feeds import customer, feeds, order, product, transaction
+from tidemark.operators import Partitioning, Table, joins
 from tidemark.plans import commerce, finance, semantic, staging
 
 
@@ -46,22 +47,40 @@ def test_small_lookups_do_not_shuffle_orders(stored):
     assert text.count("Exchange\n") + text.count("Exchange (") <= text.count("BroadcastExchange") * 2 + 2
 
 
+def enriched(stored):
+    return commerce.int_orders_enriched(
+        staging.stg_orders(stored["raw_orders"]), staging.stg_customers(stored["raw_customers"]),
+        staging.stg_products(stored["raw_products"]),
+        finance.int_finance_daily(staging.stg_transactions(stored["raw_transactions"])))
+
+
 def test_aggregates_combine_in_hash_maps(stored):
-    orders = staging.stg_orders(stored["raw_orders"])
-    totals = commerce.customer_order_totals(
-        commerce.order_activity(orders, staging.stg_products(stored["raw_products"])), orders)
-    for df in (totals, finance.int_finance_daily(staging.stg_transactions(stored["raw_transactions"]))):
-        text = plan(df)
-        assert "SortAggregate" not in text and text.count("HashAggregate") >= 2
-        assert "partial_sum" in text
+    daily = plan(finance.int_finance_daily(staging.stg_transactions(stored["raw_transactions"])))
+    assert "SortAggregate" not in daily and daily.count("HashAggregate") >= 2 and "partial_sum" in daily
+    # all orders pass a hash aggregate by customer, channel and region; only its result is sorted for the text maxima
+    totals = plan(commerce.customer_order_totals(enriched(stored)))
+    tree = totals[:totals.index("\n\n\n")]
+    assert tree.index("SortAggregate") < tree.index("HashAggregate")
+    assert "order_channel" in totals and "partial_sum" in totals
 
 
 def test_only_needed_columns_are_read(stored):
     daily = plan(finance.int_finance_daily(staging.stg_transactions(stored["raw_transactions"])))
     assert "payment_method" not in daily and "gl_account" not in daily
-    orders = staging.stg_orders(stored["raw_orders"])
-    activity = plan(commerce.order_activity(orders, staging.stg_products(stored["raw_products"])))
-    assert "subcategory" not in activity and "currency_code" not in activity
+    totals = plan(commerce.customer_order_totals(enriched(stored)))
+    assert "subcategory" not in totals and "launch_date" not in totals
+
+
+def test_upsert_of_unique_keys_looks_for_no_hot_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: pytest.fail("unique keys have no hot ones"))
+    spark.conf.set(joins.BROADCAST_SETTING, "0")
+    try:
+        table = Table(spark, str(tmp_path / "t"), Partitioning("p", "k % 3"))
+        table.upsert(spark.range(50).selectExpr("id AS k", "1 AS v"), "k")
+        table.upsert(spark.range(40, 60).selectExpr("id AS k", "2 AS v"), "k")
+    finally:
+        spark.conf.unset(joins.BROADCAST_SETTING)
+    assert table.read().groupBy().sum("v").first()[0] == 40 + 2 * 20
 
 
 def test_view_reads_only_what_is_asked(spark, stored):

@@ -38,3 +38,16 @@ def test_suite_sizes():
     tests = [c.test for listed in DEFAULT_CHECKS.values() for c in listed]
     assert (tests.count(UNIQUE), tests.count(NOT_NULL)) == (13, 25)
     assert sum(len(listed) for listed in VALUE_CHECKS.values()) == 7
+
+
+def test_one_scan_and_few_jobs(spark, tmp_path):
+    """Checks that find nothing repeated take one job of evidence, whatever their number."""
+    spark.range(1000).selectExpr("id AS k", "cast(id AS string) AS s").write.parquet(str(tmp_path / "t"))
+    checks = {name: [Check("k", UNIQUE), Check("s", UNIQUE), Check("k", NOT_NULL), Check("s", NOT_NULL)]
+              for name in ("one", "two", "three")}
+    relations = {name: spark.read.parquet(str(tmp_path / "t")) for name in checks}
+    spark.sparkContext.setJobGroup("checks", "")
+    found = report(relations, checks)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(found.values()) == {0} and len(found) == 12
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("checks")) < 10

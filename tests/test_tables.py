@@ -111,3 +111,43 @@ def test_upsert_without_broadcast(spark, table):
     finally:
         spark.conf.unset("tidemark.broadcast.maxBytes")
     assert {r.v: r["count"] for r in got} == {1: 400, 2: 300}
+
+
+def test_first_load_rejects_repeated_keys_too(spark, table):
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        table.upsert(rows(spark, ("a", "2024-01-01", 2), ("a", "2024-01-02", 3)), "k")
+    assert not table.exists()
+
+
+def test_other_partitioning_is_an_error(spark, tmp_path):
+    Table(spark, str(tmp_path / "t"), BY_BUCKET).overwrite(rows(spark, ("a", "2024-01-01", 1)))
+    with pytest.raises(ValueError, match="partitioned by"):
+        Table(spark, str(tmp_path / "t"), Partitioning("bucket", "pmod(xxhash64(k), 8)", fixed=True)).upsert(
+            rows(spark, ("a", "2024-01-01", 2)), "k")
+    assert Table(spark, str(tmp_path / "t")).stored_partitioning() == BY_BUCKET
+
+
+def test_new_column_without_rows_is_kept(spark, table):
+    table.overwrite(rows(spark, ("a", "2024-01-01", 1)))
+    table.upsert(rows(spark, ("b", "2024-01-01", 1)).where("false").withColumn("tier", F.lit("gold")), "k")
+    assert table.read().columns == ["k", "day", "v", "tier"]
+    assert [tuple(r)[2:] for r in table.read().collect()] == [(1, None)]
+
+
+def test_broken_attempt_is_in_nobodys_way(spark, table, tmp_path):
+    table.overwrite(rows(spark, ("a", "2024-01-01", 1)))
+    (tmp_path / "t" / "snapshots" / "number=00000002").mkdir()
+    (tmp_path / "t" / "snapshots" / "number=00000002-abcd").mkdir()
+    table.upsert(rows(spark, ("b", "2024-01-01", 2)), "k")
+    assert len(content(table)) == 2
+
+
+def test_expire(spark, table, tmp_path):
+    for value in range(4):
+        table.upsert(rows(spark, ("a", "2024-01-01", value), ("b", f"2024-0{value + 1}-02", value)), "k")
+    before = content(table)
+    table.expire(keep=1)
+    assert content(table) == before
+    assert len(list((tmp_path / "t" / "snapshots").iterdir())) == 1
+    assert {p.name for p in (tmp_path / "t" / "data").iterdir()} == {
+        f"load={load}" for load in table._snapshot()["loads"].values()}

@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the only date spelling that counts as valid.
-DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# Fixed value: the only date spelling that counts as valid; a time of day may follow and is left out.
+DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{2}[^\n]*)?\z"
 
 # Fixed value: the fiscal year starts this many months after the calendar year.
 FISCAL_SHIFT = 1
 
 
 def strict_date(value: Column, stored_as: T.DataType) -> Column:
-    """NULL unless ``value`` is a full calendar date.
+    """NULL unless ``value`` is a full calendar date, with or without a time of day.
 
     A feed that already stores dates (or timestamps) passes straight through, so a filter on the result still
     reaches the file scan.

@@ -12,18 +12,16 @@ WORD_BREAKS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>\t\n\r\f\x0b"
 EXTRA_TRUE = "on"
 EXTRA_FALSE = "off"
 
-_BREAK_CLASS = "([" + re.sub(r"([\\\[\]^&-])", r"\\\1", WORD_BREAKS) + "])"
-_MARK = "\x01 "
+_AFTER_BREAK = "(?<=[" + re.sub(r"([\\\[\]^&-])", r"\\\1", WORD_BREAKS) + "])"
 
 
 def title_case(text: Column) -> Column:
     """Upper-case the first letter of every word, lower-case the rest.
 
-    Spark's ``initcap`` starts a word after a space only. A marked space put behind every other break makes it
-    start one there too; the marks come out again afterwards. Only built-ins with generated code are used.
+    Spark's ``initcap`` starts a word after a space only, so the text is cut behind every other break and each part
+    gets its own.
     """
-    marked = F.regexp_replace(text, _BREAK_CLASS, "$1" + _MARK)
-    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    return F.array_join(F.transform(F.split(text, _AFTER_BREAK, -1), F.initcap), "")
 
 
 def text_flag(text: Column) -> Column:

@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 BROADCAST_SETTING = "tidemark.broadcast.maxBytes"
 BROADCAST_DEFAULT = 256 << 20
 ROW_OVERHEAD = 32      # row header and hash-table slot
-SKETCH_ITEMS = 4096    # counters kept per task by the heavy-hitter sketch
-MAX_HOT = 256          # so a key is hot only if it may hold more than 1/256 of the rows
+COUNTERS_PER_HOT = 8   # counters that a task keeps by the heavy-hitter sketch, for each key it may report
+MOST_COUNTERS = 1_000_000    # the sketch's own limit
 
 _HASH, _SALT, _COPIES = "__key_hash", "__salt", "__copies"
 
@@ -47,26 +47,31 @@ def _limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_DEFAULT)))
 
 
-def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: str, how: str = "left") -> DataFrame:
+def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: str | None, how: str = "left") -> DataFrame:
     """Join ``small`` to ``big`` on equally named columns.
 
-    ``spread`` is a column of ``big`` with many values, used to spread the rows of a hot key.
+    ``spread`` is a column of ``big`` with many values, used to spread the rows of a hot key; None if the key is
+    unique in ``big`` (or all but), so that no key can be hot.
     """
     return lookup_all(big, [(small, on)], spread, how)
 
 
-def lookup_all(big: DataFrame, lookups: list[tuple[DataFrame, list[str]]], spread: str,
+def lookup_all(big: DataFrame, lookups: list[tuple[DataFrame, list[str]]], spread: str | None,
                how: str = "left") -> DataFrame:
     """Join several lookup sides; all are measured in one job, and one more finds the hot keys where needed.
 
-    Sides that need a shuffle are joined first, while the rows of ``big`` are still narrow.
+    The smallest sides are broadcast as long as their sum is within the limit. Sides that need a shuffle are joined
+    first, while the rows of ``big`` are still narrow.
     """
     limit = _limit(big.sparkSession)
     sizes = payload_bytes(*[small for small, _ in lookups]) if limit > 0 else [1] * len(lookups)
-    large = [pair for pair, size in zip(lookups, sizes) if size > limit]
-    fitting = [pair for pair, size in zip(lookups, sizes) if size <= limit]
+    large, fitting, total = [], [], 0
+    for size, _, pair in sorted(zip(sizes, range(len(lookups)), lookups), key=lambda item: item[:2]):
+        total += size
+        (fitting if total <= limit else large).append(pair)
     joined = big
-    for (small, on), hot in zip(large, hot_keys(big, *[on for _, on in large]) if large else []):
+    none_hot = [[] for _ in large]
+    for (small, on), hot in zip(large, hot_keys(big, *[on for _, on in large]) if large and spread else none_hot):
         joined = _salted(joined, small, on, spread, how, hot) if hot else joined.join(small, on, how)
     for small, on in fitting:
         joined = joined.join(F.broadcast(small), on, how)
@@ -74,20 +79,22 @@ def lookup_all(big: DataFrame, lookups: list[tuple[DataFrame, list[str]]], sprea
 
 
 def hot_keys(df: DataFrame, *keys: list[str]) -> list[list[tuple[int, int]]]:
-    """For each key: (key hash, number of pieces) of the values with a large share of the rows, at most MAX_HOT.
+    """For each key: (key hash, number of pieces) of the values that hold more rows than half a shuffle partition.
 
-    A mergeable frequent-items sketch finds them in one pass without shuffling keys. It only steers the physical
-    layout, never the result.
+    At most twice as many as there are partitions do. A mergeable frequent-items sketch finds them in one pass without
+    shuffling keys. It only steers the physical layout, never the result.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(2 * partitions, MOST_COUNTERS // COUNTERS_PER_HOT)
+
     def sketch(key: list[str]) -> Column:
         columns = ", ".join(f"`{c}`" for c in key)
-        return F.expr(f"approx_top_k(xxhash64({columns}), {MAX_HOT}, {SKETCH_ITEMS})")
+        return F.expr(f"approx_top_k(xxhash64({columns}), {most}, {most * COUNTERS_PER_HOT})")
 
     row = df.agg(F.count(F.lit(1)).alias("rows"), *[sketch(key).alias(f"top{i}") for i, key in enumerate(keys)]).first()
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return [
         [(item["item"], max(2, math.ceil(2 * partitions * item["count"] / row["rows"])))
-         for item in row[f"top{i}"] or [] if item["count"] * MAX_HOT > row["rows"]]
+         for item in row[f"top{i}"] or [] if item["count"] * most > row["rows"]]
         for i in range(len(keys))
     ]
 

@@ -27,17 +27,47 @@ class Check:
 
 
 def check_relations(relations: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
-    """Columns: relation, column_name, test, failures."""
-    def wanted(test: str) -> list[tuple[str, Check]]:
-        return [(name, check) for name, listed in checks.items() for check in listed if check.test == test]
+    """Columns: relation, column_name, test, failures.
 
-    parts = [
-        _missing(name, relations[name], [c for c in listed if c.test == NOT_NULL])
-        for name, listed in checks.items() if any(c.test == NOT_NULL for c in listed)
-    ]
-    parts += [_outside(name, relations[name], check) for name, check in wanted(ACCEPTED)]
-    parts += _repeated(relations, wanted(UNIQUE))
-    return reduce(DataFrame.unionByName, parts)
+    Each relation is scanned once: a row gives, for each check, what the check has to count (see :func:`_evidence`), and
+    all evidence is counted in one aggregation that combines before the shuffle. Only where a hash repeats, the values
+    behind it are counted in a second scan of that column.
+    """
+    numbered = [(name, check) for name, listed in checks.items() for check in listed]
+    scans = []
+    for name in checks:
+        evidence = [_evidence(i, check) for i, (of, check) in enumerate(numbered) if of == name]
+        if evidence:
+            scans.append(relations[name].select(F.inline(F.array(*evidence))).where("hash IS NOT NULL"))
+    spark = next(iter(relations.values())).sparkSession
+    if not scans:
+        return spark.createDataFrame([], REPORT)
+    counted = reduce(DataFrame.unionByName, scans).groupBy("check", "hash").agg(F.count(F.lit(1)).alias("n"))
+    is_unique = F.col("check").isin([i for i, (_, c) in enumerate(numbered) if c.test == UNIQUE])
+    counted = materialize(counted.where(~is_unique | (F.col("n") > 1)), "check_evidence")
+    totals = {row["check"]: row for row in counted.groupBy("check").agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values")).collect()}      # one row per check
+    known, suspected = [], []
+    for i, (name, check) in enumerate(numbered):
+        found = totals.get(i)
+        if check.test == UNIQUE and found:
+            suspected.append(_count_repeated(name, relations[name], check, counted.where(F.col("check") == i)))
+        else:
+            failures = 0 if not found else found["rows"] if check.test == NOT_NULL else found["values"]
+            known.append((name, check.column, check.test, failures))
+    return reduce(DataFrame.unionByName, [spark.createDataFrame(known, REPORT), *suspected])
+
+
+def _evidence(number: int, check: Check) -> Column:
+    """What a row adds to a check: a missing value, a value outside the set, or (unique) any value; by its hash."""
+    value = F.col(check.column)
+    if check.test == NOT_NULL:
+        hashed = F.when(value.isNull(), F.lit(0).cast("long"))
+    elif check.test == ACCEPTED:
+        hashed = F.when(~value.isin(*check.values), F.xxhash64(value))
+    else:
+        hashed = F.when(value.isNotNull(), F.xxhash64(value))
+    return F.struct(F.lit(number).alias("check"), hashed.alias("hash"))
 
 
 def _line(name: str, check: Check, failures: Column) -> list[Column]:
@@ -45,46 +75,6 @@ def _line(name: str, check: Check, failures: Column) -> list[Column]:
             failures.alias("failures")]
 
 
-def _missing(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    # All not-null checks of a relation share one scan and one map-side aggregate.
-    totals = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(str(i)) for i, c in enumerate(checks)])
-    lines = [F.struct(*_line(name, c, F.col(str(i)))) for i, c in enumerate(checks)]
-    return totals.select(F.inline(F.array(*lines)))
-
-
-def _outside(name: str, df: DataFrame, check: Check) -> DataFrame:
-    odd = df.where(~F.col(check.column).isin(*check.values)).select(check.column).distinct()
-    return odd.agg(F.count(F.lit(1)).alias("n")).select(*_line(name, check, F.col("n")))
-
-
-def _repeated(relations: dict[str, DataFrame], checks: list[tuple[str, Check]]) -> list[DataFrame]:
-    """Equal values have equal hashes, so a column without a repeated hash is unique.
-
-    Only 8-byte hashes are shuffled for all columns at once, combined before the shuffle. Columns that do repeat a
-    hash are then counted by value, over the rows with such a hash.
-    """
-    if not checks:
-        return []
-    of_relation: dict[str, list[Column]] = {}
-    for number, (name, check) in enumerate(checks):
-        hashed = F.when(F.col(check.column).isNotNull(), F.xxhash64(check.column))
-        of_relation.setdefault(name, []).append(F.struct(F.lit(number).alias("check"), hashed.alias("hash")))
-    hashes = reduce(DataFrame.unionByName, [
-        relations[name].select(F.inline(F.array(*pairs))) for name, pairs in of_relation.items()
-    ])
-    counted = hashes.where(F.col("hash").isNotNull()).groupBy("check", "hash").agg(F.count(F.lit(1)).alias("n"))
-    suspects = materialize(counted.where("n > 1").select("check", "hash"), "repeated_hashes")
-    suspected = {row["check"] for row in suspects.select("check").distinct().collect()}
-
-    spark = suspects.sparkSession
-    clean = [(name, c.column, c.test, 0) for i, (name, c) in enumerate(checks) if i not in suspected]
-    parts = [spark.createDataFrame(clean, REPORT)] if clean else []
-    for i in sorted(suspected):
-        name, check = checks[i]
-        parts.append(_count_repeated(name, relations[name], check, suspects.where(F.col("check") == i)))
-    return parts
-
-
 def _count_repeated(name: str, df: DataFrame, check: Check, suspects: DataFrame) -> DataFrame:
     values = df.where(F.col(check.column).isNotNull()).select(F.col(check.column).alias("value"))
     hashes = suspects.select("hash")

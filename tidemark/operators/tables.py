@@ -2,8 +2,9 @@
 
 Every write goes to a folder of its own (``data/load=<id>/``). A small text file under ``snapshots/`` then names the
 folder that holds each partition; writing that file is the commit. So a failed run leaves the table as it was, an
-upsert rewrites only the partitions it touches, and a partition that loses all its rows simply drops out. One writer
-at a time.
+upsert rewrites only the partitions it touches, and a partition that loses all its rows simply drops out. The file also
+names the partitioning, so that a table is never written by two. A broken attempt leaves a folder that nothing names; it
+does not stop later writes. One writer at a time.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import lookup
-from tidemark.session import materialize
+from tidemark.session import delete, materialize
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = ""
+_read_snapshots: dict[str, dict] = {}     # by file, as a snapshot never changes
 
 
 @dataclass(frozen=True)
@@ -70,48 +72,87 @@ class Table:
     # -- writing ---------------------------------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame) -> None:
+        """Replace all rows; the table then has the partitioning it is opened with."""
         self._publish(self._snapshot(), self._write(df), df.schema)
 
     def upsert(self, delta: DataFrame, key: str) -> None:
-        """Replace rows with a key in ``delta``, add the others; columns new in ``delta`` are appended."""
+        """Replace rows with a key in ``delta``, add the others; columns new in ``delta`` are appended.
+
+        A key that occurs twice in ``delta`` is an error, in the first load as in later ones.
+        """
         snapshot = self._snapshot()
         if snapshot is None:
+            delta = materialize(delta, "delta")
+            self._reject_repeated(delta, key)
             self._publish(None, self._write(delta), delta.schema)
             return
+        self._same_partitioning(snapshot)
         schema = _schema(snapshot)
         delta = materialize(_as_stored(delta, schema), "delta")
         self._reject_repeated(delta, key)
         touched = self._touched(snapshot, delta, key)
+        new = [f for f in delta.schema.fields if f.name not in schema.fieldNames()]
         if not touched:
+            if new:
+                self._publish(snapshot, snapshot["loads"], T.StructType([*schema.fields, *new]))
             return
         old = self._rows(snapshot, sorted(touched))
         absent = [c for c in schema.fieldNames() if c not in delta.columns]
         if absent:
             # A replaced row keeps its value in columns that the delta does not carry.
             delta = delta.join(old.select(key, *absent), key, "left")
-        kept = lookup(old, delta.select(key), [key], spread=key, how="left_anti")
+        kept = lookup(old, delta.select(key), [key], spread=None, how="left_anti")
         merged = kept.unionByName(delta, allowMissingColumns=True)
         loads = {p: load for p, load in snapshot["loads"].items() if p not in touched}
         self._publish(snapshot, loads | self._write(merged), merged.schema)
 
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the last ``keep`` snapshots, and the loads that those do not name."""
+        files = self._snapshot_files()
+        live = {load for f in files[-keep:] for load in self._read_snapshot(f)["loads"].values()}
+        old = {load for f in files[:-keep] for load in self._read_snapshot(f)["loads"].values()}
+        for f in files[:-keep]:
+            delete(self.spark, f.rsplit("/", 1)[0])
+        for load in sorted(old - live):
+            delete(self.spark, f"{self.path}/data/load={load}")
+
     # -- parts -----------------------------------------------------------------------------------------------
 
-    def _snapshot(self) -> dict | None:
+    def stored_partitioning(self) -> Partitioning | None:
+        """The partitioning that the table was last written with, if it exists and has one."""
+        snapshot = self._snapshot()
+        held = snapshot["partitioning"] if snapshot else None
+        return Partitioning(**held) if held else None
+
+    def _same_partitioning(self, snapshot: dict) -> None:
+        own = vars(self.partitioning) if self.partitioning else None
+        if snapshot["partitioning"] != own:
+            raise ValueError(f"{self.path} is partitioned by {snapshot['partitioning']}, not by {own}")
+
+    def _snapshot_files(self) -> list[str]:
         try:
-            files = self.spark.read.text(f"{self.path}/snapshots").inputFiles()
+            return sorted(self.spark.read.text(f"{self.path}/snapshots").inputFiles())
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
-        if not files:
-            return None
-        return json.loads(self.spark.read.text(max(files), wholetext=True).first()[0])
+
+    def _read_snapshot(self, file: str) -> dict:
+        if file not in _read_snapshots:
+            _read_snapshots[file] = json.loads(self.spark.read.text(file, wholetext=True).first()[0])
+        return _read_snapshots[file]
+
+    def _snapshot(self) -> dict | None:
+        files = self._snapshot_files()
+        return self._read_snapshot(files[-1]) if files else None
 
     def _publish(self, last: dict | None, loads: dict[str, str], schema: T.StructType) -> None:
         number = last["number"] + 1 if last else 1
-        text = json.dumps({"number": number, "loads": loads, "schema": schema.jsonValue()})
+        text = json.dumps({"number": number, "loads": loads, "schema": schema.jsonValue(),
+                           "partitioning": vars(self.partitioning) if self.partitioning else None})
+        # A name of its own for each attempt: what a broken one left behind is in nobody's way.
         (self.spark.range(1, numPartitions=1).select(F.lit(text).alias("value"))
-         .write.text(f"{self.path}/snapshots/number={number:08d}"))
+         .write.text(f"{self.path}/snapshots/number={number:08d}-{uuid.uuid4().hex[:8]}"))
 
     def _rows(self, snapshot: dict, partitions: list[str] | None, keep_partition: bool = False) -> DataFrame:
         schema = _schema(snapshot)
@@ -139,7 +180,7 @@ class Table:
             df.write.parquet(folder)
             return {_WHOLE: f"l{load}"}
         name = self.partitioning.name
-        # REBALANCE gathers each partition into few files and lets AQE split a partition that is much larger.
+        # The names of the partitions, at most, are read back. REBALANCE gathers each partition into few files and lets AQE split a partition that is much larger.
         (df.withColumn(name, F.expr(self.partitioning.value).cast("string")).hint("rebalance", F.col(name))
          .write.partitionBy(name).parquet(folder))
         files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
@@ -154,7 +195,7 @@ class Table:
         found = delta.select(F.expr(self.partitioning.value).cast("string").alias(name)).distinct()
         if not self.partitioning.fixed:
             held = self._rows(snapshot, None, keep_partition=True).select(key, name)
-            moved = lookup(held, delta.select(key), [key], spread=key, how="left_semi")
+            moved = lookup(held, delta.select(key), [key], spread=None, how="left_semi")
             found = found.union(moved.select(name)).distinct()
         return {NULL_PARTITION if row[0] is None else row[0] for row in found.collect()}
 

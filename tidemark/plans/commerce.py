@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import days_between, exact_sum, now_or, null_if_zero, surrogate_key, today_or
-from tidemark.operators.joins import fits_broadcast, lookup, lookup_all
-from tidemark.operators.texts import few_values, max_text
+from tidemark.operators.joins import fits_broadcast, lookup_all
 
 # Order states with a meaning of their own.
 COMPLETED, RETURNED, CANCELLED = "completed", "returned", "cancelled"
@@ -38,6 +37,16 @@ def _has_status(status: str) -> Column:
     return F.coalesce(F.col("order_status") == status, F.lit(False))
 
 
+def repriced(orders: DataFrame, rate: Column, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Stored orders at another rate; all else stays as it is."""
+    return orders.withColumns({
+        "fx_rate": rate.cast(orders.schema["fx_rate"].dataType),
+        "order_amount_local": F.round(F.col("order_amount_usd") * rate, 2).cast(
+            orders.schema["order_amount_local"].dataType),
+        "_dbt_updated_at": now_or(run_ts),
+    })
+
+
 def _measures() -> dict[str, Column]:
     """Flags, recognized revenue and profit of an order; a completed order of an unknown product has no profit."""
     completed = _has_status(COMPLETED)
@@ -93,25 +102,16 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
     )
 
 
-def order_activity(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """The part of the enriched orders that the customer view reads, for use without a stored order table."""
-    costs = products.select("product_id", "unit_cost_usd")
-    return lookup(orders, costs, ["product_id"], spread="order_id").select(
-        "order_id", "customer_id", "order_date", "order_amount_usd", "order_channel", "region",
-        *[column.alias(name) for name, column in _measures().items()],
-    )
-
-
-def customer_order_totals(orders: DataFrame, texts_from: DataFrame | None = None) -> DataFrame:
+def customer_order_totals(orders: DataFrame) -> DataFrame:
     """One row per customer. Channel and region are the alphabetically largest, not the most frequent.
 
-    Only fixed-width values are aggregated, so rows are combined in a hash map before the shuffle and a customer with
-    very many orders costs one row per task. ``texts_from`` is a cheaper relation with the same channels and regions.
+    Spark's hash aggregate keeps fixed-width values only, and a text maximum is none. So the rows of a customer are first
+    brought together per channel and region, which combines them in a hash map before the shuffle (a customer with very
+    many orders costs a row per task, channel and region); the few rows left per customer then give the maxima.
     """
-    texts = few_values(orders if texts_from is None else texts_from, "order_channel", "region")
     # What a completed order recognizes is its amount, so the average needs no sum of its own.
     completed_amounts = F.count(F.when(F.col("is_completed"), F.col("order_amount_usd")))
-    return orders.groupBy("customer_id").agg(
+    parts = orders.groupBy("customer_id", "order_channel", "region").agg(
         F.count("order_id").alias("total_orders"),
         F.count(F.when(F.col("is_completed"), F.col("order_id"))).alias("completed_orders"),
         F.count(F.when(F.col("is_returned"), F.col("order_id"))).alias("returned_orders"),
@@ -121,8 +121,16 @@ def customer_order_totals(orders: DataFrame, texts_from: DataFrame | None = None
         completed_amounts.alias("completed_amounts"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        max_text("order_channel", texts.get("order_channel")).alias("preferred_channel"),
-        max_text("region", texts.get("region")).alias("primary_region"),
+    )
+    counts = ("total_orders", "completed_orders", "returned_orders", "cancelled_orders", "completed_amounts")
+    amounts = ("lifetime_revenue_usd", "lifetime_gross_profit_usd")
+    return parts.groupBy("customer_id").agg(
+        *[F.sum(c).alias(c) for c in counts],
+        *[F.sum(c).cast("decimal(22,2)").alias(c) for c in amounts],
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.max("order_channel").alias("preferred_channel"),
+        F.max("region").alias("primary_region"),
     ).withColumn(
         "avg_order_value_usd",
         (F.col("lifetime_revenue_usd") / null_if_zero(F.col("completed_amounts"))).cast("decimal(16,6)"),
@@ -130,9 +138,9 @@ def customer_order_totals(orders: DataFrame, texts_from: DataFrame | None = None
 
 
 def int_customer_360(customers: DataFrame, orders: DataFrame, as_of: dt.date | None = None,
-                     run_ts: dt.datetime | None = None, texts_from: DataFrame | None = None) -> DataFrame:
+                     run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per customer, with or without orders; no personal data."""
-    totals = customer_order_totals(orders, texts_from)
+    totals = customer_order_totals(orders)
     recency = days_between(F.col("last_order_date"), today_or(as_of))
     revenue = F.coalesce(F.col("lifetime_revenue_usd"), F.lit(0))
 
@@ -167,7 +175,7 @@ def customer_360_of(touched: DataFrame, customers: DataFrame, orders: DataFrame,
     if fits_broadcast(touched):
         theirs = orders.join(F.broadcast(touched), "customer_id", "left_semi")
         profiles = customers.join(F.broadcast(touched), "customer_id", "left_semi")
-        return int_customer_360(profiles, theirs, as_of, run_ts, texts_from=orders)
+        return int_customer_360(profiles, theirs, as_of, run_ts)
     # An inner join with distinct ids, as a semi join would be pushed back below the aggregate.
     return int_customer_360(customers, orders, as_of, run_ts).join(touched, "customer_id")
 

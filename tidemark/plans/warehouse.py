@@ -12,7 +12,7 @@ from tidemark.operators.quality import Check, check_relations
 from tidemark.operators.tables import Partitioning, Table
 from tidemark.plans import commerce, finance, semantic, staging
 from tidemark.plans.checks import DEFAULT_CHECKS
-from tidemark.session import materialize
+from tidemark.session import materialize, temporary
 from tidemark.sources.feeds import load_seed, read_csv_feeds
 
 SEED_LAYER = "seeds"
@@ -30,27 +30,26 @@ TABLES = {
 VIEWS = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "sem_revenue_metrics",
          "sem_customer_kpis", "sem_finance_summary")
 
-CUSTOMER_BUCKETS = 16
+CUSTOMERS_PER_BUCKET = 100_000     # from which the number of buckets follows when the table is first written
 ORDER_MONTH = "date_format(order_date, 'yyyy-MM')"
 
 
 class Warehouse:
     """Relations under ``root``, built from the four raw feeds.
 
-    ``as_of`` stands in for today in the day counts; left out, it is the run date. ``customer_buckets`` must stay
-    the same over the life of a warehouse.
+    ``as_of`` stands in for today in the day counts; left out, it is the run date. ``run_ts`` stands in for the clock
+    in the run stamps. ``customer_buckets``, if given, must be the number that the customer table was written with; left
+    out, it is read from the table, or follows from the number of customers when the table is first written.
     """
 
     def __init__(self, spark: SparkSession, root: str, feeds: dict[str, DataFrame], as_of: dt.date | None = None,
-                 customer_buckets: int = CUSTOMER_BUCKETS):
+                 customer_buckets: int | None = None, run_ts: dt.datetime | None = None):
         self.spark = spark
         self.root = root
         self.feeds = feeds
         self.as_of = as_of
-        self._partitioning = {
-            "int_orders_enriched": Partitioning("order_month", ORDER_MONTH),
-            "int_customer_360": Partitioning("bucket", f"pmod(xxhash64(customer_id), {customer_buckets})", fixed=True),
-        }
+        self.run_ts = run_ts
+        self.customer_buckets = customer_buckets
 
     @classmethod
     def from_csv(cls, spark: SparkSession, root: str, folder: str, **options) -> Warehouse:
@@ -63,23 +62,36 @@ class Warehouse:
     # -- relations -------------------------------------------------------------------------------------------
 
     def table(self, name: str) -> Table:
-        return Table(self.spark, f"{self.root}/{TABLES[name]}/{name}", self._partitioning.get(name))
+        table = Table(self.spark, f"{self.root}/{TABLES[name]}/{name}")
+        if name == "int_orders_enriched":
+            table.partitioning = Partitioning("order_month", ORDER_MONTH)
+        elif name == "int_customer_360":
+            table.partitioning = self._customer_partitioning(table)
+        return table
+
+    def _customer_partitioning(self, table: Table) -> Partitioning:
+        stored = table.stored_partitioning()
+        if self.customer_buckets is None and stored is not None:
+            return stored
+        if self.customer_buckets is None:
+            self.customer_buckets = max(1, -(-self.feeds["raw_customers"].count() // CUSTOMERS_PER_BUCKET))
+        return Partitioning("bucket", f"pmod(xxhash64(customer_id), {self.customer_buckets})", fixed=True)
 
     def relation(self, name: str) -> DataFrame:
         """A stored table, or a view computed when it is read."""
         return getattr(self, name)() if name in VIEWS else self.table(name).read()
 
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.feeds["raw_orders"])
+        return staging.stg_orders(self.feeds["raw_orders"], self.run_ts)
 
     def stg_customers(self) -> DataFrame:
-        return staging.stg_customers(self.feeds["raw_customers"], self.as_of)
+        return staging.stg_customers(self.feeds["raw_customers"], self.as_of, self.run_ts)
 
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.feeds["raw_products"])
+        return staging.stg_products(self.feeds["raw_products"], self.run_ts)
 
     def stg_transactions(self) -> DataFrame:
-        return staging.stg_transactions(self.feeds["raw_transactions"])
+        return staging.stg_transactions(self.feeds["raw_transactions"], self.run_ts)
 
     def sem_revenue_metrics(self) -> DataFrame:
         return semantic.sem_revenue_metrics(self.relation("fct_orders"))
@@ -99,10 +111,16 @@ class Warehouse:
 
     def run(self, full_refresh: bool = False) -> None:
         """Bring all tables up to date; ``full_refresh`` rebuilds the incremental ones too."""
-        self.refresh_finance_daily()
-        self.refresh_orders(full_refresh)
-        self.refresh_customers(full_refresh)
-        self.rebuild_star_schema()
+        with temporary(self.spark):
+            self.refresh_finance_daily()
+            self.refresh_orders(full_refresh)
+            self.refresh_customers(full_refresh)
+            self.rebuild_star_schema()
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete what only snapshots before the last ``keep`` of each table name."""
+        for name in TABLES:
+            self.table(name).expire(keep)
 
     def refresh_finance_daily(self) -> None:
         self.table("int_finance_daily").overwrite(finance.int_finance_daily(self.stg_transactions()))
@@ -120,9 +138,13 @@ class Warehouse:
         if latest is not None:
             self.upsert_orders(self.stg_orders().where(F.col("order_date") >= F.lit(latest)))
 
-    def upsert_orders(self, orders: DataFrame, daily: DataFrame | None = None) -> None:
-        """Enrich staged orders, with the stored daily rates or others, and replace or add them by order id."""
-        self.table("int_orders_enriched").upsert(self._enriched(orders, daily), "order_id")
+    def upsert_orders(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> None:
+        """Enrich staged orders and replace or add them by order id."""
+        self.table("int_orders_enriched").upsert(self._enriched(orders, sides), "order_id")
+
+    def stored_sides(self) -> tuple[DataFrame, DataFrame]:
+        """Staged customers and products, computed once and stored."""
+        return materialize(self.stg_customers(), "stg_customers"), materialize(self.stg_products(), "stg_products")
 
     def refresh_customers(self, full_refresh: bool = False) -> None:
         """Customers with an order written since the table's last run; all of them on the first run or a full refresh.
@@ -132,49 +154,57 @@ class Warehouse:
         table = self.table("int_customer_360")
         customers, orders = self.stg_customers(), self.relation("int_orders_enriched")
         if full_refresh or not table.exists():
-            table.overwrite(commerce.int_customer_360(customers, orders, self.as_of))
+            table.overwrite(commerce.int_customer_360(customers, orders, self.as_of, self.run_ts))
             return
         last_run = table.max_of("_dbt_updated_at")
         if last_run is None:
             return
         recent = orders.where((F.col("_dbt_updated_at") >= F.lit(last_run)) & F.col("customer_id").isNotNull())
         touched = materialize(recent.select("customer_id").distinct(), "touched_customers")
-        table.upsert(commerce.customer_360_of(touched, customers, orders, self.as_of), "customer_id")
+        table.upsert(commerce.customer_360_of(touched, customers, orders, self.as_of, self.run_ts), "customer_id")
 
     def rebuild_star_schema(self) -> None:
-        daily = self.relation("int_finance_daily")
+        self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360"), self.run_ts))
+        self._rebuild_facts(self.relation("int_finance_daily"))
+
+    def _rebuild_facts(self, daily: DataFrame) -> None:
+        transactions = finance.fct_transactions(self.stg_transactions(), daily, self.run_ts)
         self.table("fct_orders").overwrite(commerce.fct_orders(self.relation("int_orders_enriched")))
-        self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360")))
-        self.table("fct_transactions").overwrite(finance.fct_transactions(self.stg_transactions(), daily))
+        self.table("fct_transactions").overwrite(transactions)
         self.table("dummy_test").overwrite(finance.dummy_test(self.relation("fct_transactions")))
 
     def restate_rates(self) -> None:
-        """Rebuild the daily rates and enrich again the stored orders whose rate changed, appeared or went away."""
-        table = self.table("int_finance_daily")
-        day_and_currency = ["rate_date", "currency_code"]
-        daily = materialize(finance.int_finance_daily(self.stg_transactions()), "int_finance_daily")
-        before = table.read().select(*day_and_currency, F.col("fx_rate").alias("rate_before"))
-        after = daily.select(*day_and_currency, F.col("fx_rate").alias("rate_after"))
-        changed = materialize(
-            before.join(after, day_and_currency, "full_outer")
-            .where(~F.col("rate_before").eqNullSafe(F.col("rate_after")))
-            .select(F.col("rate_date").alias("order_date"), "currency_code"), "changed_rates")
-
-        orders = self.table("int_orders_enriched")
-        dated = changed.where(F.col("order_date").isNotNull())
-        months = [row[0] for row in dated.select(F.expr(ORDER_MONTH)).distinct().collect()]
-        held = orders.read(months).select("order_id", "order_date", "currency_code")
-        affected = materialize(
-            lookup(held, changed, ["order_date", "currency_code"], spread="order_id", how="left_semi")
-            .select("order_id"), "affected_orders")
-        restated = lookup(self.stg_orders(), affected, ["order_id"], spread="order_id", how="left_semi")
-        self.upsert_orders(restated, daily)
-        # The new rates are stored last, so that a run that fails before can simply be repeated.
-        table.overwrite(daily)
-
-    def _enriched(self, orders: DataFrame, daily: DataFrame | None = None) -> DataFrame:
-        daily = self.relation("int_finance_daily") if daily is None else daily
-        return commerce.int_orders_enriched(orders, self.stg_customers(), self.stg_products(), daily)
+        """Rebuild the daily rates, reprice the stored orders whose rate changed, appeared or went away, and rebuild the
+        fact tables on them.
+
+        Orders are taken as they are stored, whether or not the feed still has them. The daily rates are stored last, so
+        that a run that fails before can simply be repeated.
+        """
+        with temporary(self.spark):
+            day_and_currency = ["rate_date", "currency_code"]
+            daily = materialize(finance.int_finance_daily(self.stg_transactions()), "int_finance_daily")
+            before = self.relation("int_finance_daily").select(*day_and_currency, F.col("fx_rate").alias("rate_before"))
+            after = daily.select(*day_and_currency, F.col("fx_rate").alias("rate_after"))
+            changed = materialize(
+                before.join(after, day_and_currency, "full_outer")
+                .where(~F.col("rate_before").eqNullSafe(F.col("rate_after")))
+                .select(F.col("rate_date").alias("order_date"), "currency_code",
+                        F.coalesce("rate_after", F.lit(commerce.NO_RATE)).alias("new_rate")), "changed_rates")
+
+            orders = self.table("int_orders_enriched")
+            dated = changed.where(F.col("order_date").isNotNull())
+            months = [row[0] for row in dated.select(F.expr(ORDER_MONTH)).distinct().collect()]
+            if months:
+                affected = lookup(orders.read(months), dated, ["order_date", "currency_code"], spread="order_id", how="inner")
+                repriced = commerce.repriced(affected, F.col("new_rate"), self.run_ts)
+                orders.upsert(repriced.drop("new_rate"), "order_id")
+            if self.table("fct_orders").exists():
+                self._rebuild_facts(daily)
+            self.table("int_finance_daily").overwrite(daily)
+
+    def _enriched(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+        customers, products = self.stored_sides() if sides is None else sides
+        return commerce.int_orders_enriched(orders, customers, products, self.relation("int_finance_daily"), self.run_ts)
 
     # -- checks ----------------------------------------------------------------------------------------------
 

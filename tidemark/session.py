@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 << 20
 _local_dirs: dict[str, str] = {}
+_recorded: list[list[str]] = []
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
@@ -48,12 +51,33 @@ def work_path(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = _local_dirs.setdefault(app, tempfile.mkdtemp(prefix="tidemark-"))
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")
+        shared = _local_dirs[app]
     return f"{shared}/tidemark/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; lost executors do not lose it."""
     path = work_path(df.sparkSession, name)
+    for paths in _recorded[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is materialized inside is deleted at the end; for runs whose results are all in tables of their own."""
+    _recorded.append([])
+    try:
+        yield
+    finally:
+        for path in _recorded.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can write one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.schemas import RAW_MONEY
+from tidemark.sources.schemas import RAW_ORDERS
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,7 +32,7 @@ def _iso(day: Column) -> Column:
 
 
 def _money(amount: Column) -> Column:
-    return amount.cast(RAW_MONEY)
+    return amount.cast(RAW_ORDERS["order_amount_usd"].dataType)
 
 
 def _text(column: str) -> Column:

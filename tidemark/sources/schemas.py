@@ -8,36 +8,29 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-RAW_MONEY = T.DecimalType(18, 6)
 
-
-def _feed(text: str = "", money: str = "", order: str = "") -> T.StructType:
-    kinds = {**{c: T.StringType() for c in text.split()}, **{c: RAW_MONEY for c in money.split()}}
-    return T.StructType([T.StructField(c, kinds[c]) for c in order.split()])
+def _feed(**columns: str) -> T.StructType:
+    schema = T.StructType()
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    return schema
 
 
+# The columns of each feed, in the order of the files.
 RAW_ORDERS = _feed(
-    text="order_id customer_id product_id order_date currency_code status channel region",
-    money="order_amount_usd",
-    order="order_id customer_id product_id order_date order_amount_usd currency_code status channel region",
-)
+    order_id="string", customer_id="string", product_id="string", order_date="string",
+    order_amount_usd="decimal(18,6)", currency_code="string", status="string", channel="string", region="string")
 RAW_CUSTOMERS = _feed(
-    text="customer_id first_name last_name email phone country city signup_date customer_segment is_active",
-    order="customer_id first_name last_name email phone country city signup_date customer_segment is_active",
-)
+    customer_id="string", first_name="string", last_name="string", email="string", phone="string", country="string",
+    city="string", signup_date="string", customer_segment="string", is_active="string")
 RAW_PRODUCTS = _feed(
-    text="product_id product_name category subcategory is_active launch_date supplier_id",
-    money="unit_cost_usd list_price_usd",
-    order="product_id product_name category subcategory unit_cost_usd list_price_usd is_active launch_date "
-          "supplier_id",
-)
+    product_id="string", product_name="string", category="string", subcategory="string",
+    unit_cost_usd="decimal(18,6)", list_price_usd="decimal(18,6)", is_active="string", launch_date="string",
+    supplier_id="string")
 RAW_TRANSACTIONS = _feed(
-    text="transaction_id order_id transaction_date currency_code payment_method transaction_type gl_account "
-         "is_reconciled",
-    money="amount_usd fx_rate",
-    order="transaction_id order_id transaction_date amount_usd currency_code fx_rate payment_method "
-          "transaction_type gl_account is_reconciled",
-)
+    transaction_id="string", order_id="string", transaction_date="string", amount_usd="decimal(18,6)",
+    currency_code="string", fx_rate="decimal(18,6)", payment_method="string", transaction_type="string",
+    gl_account="string", is_reconciled="string")
 
 FEEDS = {
     "raw_orders": RAW_ORDERS,

@@ -1,3 +1,3 @@
-from tidemark.streaming.orders import stream_orders
+from tidemark.streaming.orders import SEQUENCE, latest_versions, stream_orders
 
-__all__ = ["stream_orders"]
+__all__ = ["SEQUENCE", "latest_versions", "stream_orders"]

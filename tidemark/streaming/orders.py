@@ -3,19 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from tidemark.plans import staging
 from tidemark.plans.warehouse import Warehouse
+from tidemark.session import materialize
 
+SEQUENCE = "arrived"
 
-def stream_orders(warehouse: Warehouse, raw_orders: DataFrame, checkpoint: str) -> StreamingQuery:
+
+def latest_versions(orders: DataFrame, sequence: str = SEQUENCE) -> tuple[DataFrame, DataFrame]:
+    """The last version of each order by ``sequence``, and orders whose last versions tie but differ.
+
+    Equal rows are one version. Tied orders are in the second result only, with all their tied versions.
+    """
+    versions = orders.distinct()
+    last = Window.partitionBy("order_id").orderBy(F.col(sequence).desc_nulls_last())
+    ranked = versions.withColumn("__rank", F.rank().over(last)).where("__rank = 1").drop("__rank")
+    ties = ranked.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
+    return ties.where("__n = 1").drop("__n"), ties.where("__n > 1").drop("__n")
+
+
+def stream_orders(warehouse: Warehouse, raw_orders: DataFrame, checkpoint: str, sequence: str | None = None,
+                  conflicts: str | None = None) -> StreamingQuery:
     """Upsert each micro-batch of raw orders by order id and stop when the input is used up.
 
-    A batch that is replayed after a failure replaces its own rows, so the table comes out the same.
+    A batch that is replayed after a failure replaces its own rows, so the table comes out the same. With ``sequence``
+    (a column of the feed that grows with time, such as the time its file was written), the last version of an order in
+    a batch counts; versions that tie but differ go to Parquet files under ``conflicts``, one folder per batch, and the
+    order is left as it was. Without it, an order may come only once in a batch.
     """
-    def apply(batch: DataFrame, _: int) -> None:
-        warehouse.upsert_orders(staging.stg_orders(batch))
+    sides = warehouse.stored_sides()
+
+    def apply(batch: DataFrame, number: int) -> None:
+        if sequence is None:
+            warehouse.upsert_orders(staging.stg_orders(batch), sides=sides)
+            return
+        last, tied = latest_versions(materialize(batch, "batch"), sequence)
+        if conflicts is not None:
+            tied.write.mode("overwrite").parquet(f"{conflicts}/batch={number}")
+        elif not tied.isEmpty():
+            raise ValueError("versions of an order tie; give a folder for conflicts")
+        warehouse.upsert_orders(staging.stg_orders(last.drop(sequence)), sides=sides)
 
     return (raw_orders.writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -54,6 +54,16 @@ class Table:
         snapshot = self._snapshot()
         return sorted(snapshot["loads"]) if snapshot else []
 
+    def loads(self) -> dict[str, str]:
+        """The load that holds each partition; a partition that is rewritten gets another one."""
+        snapshot = self._snapshot()
+        return dict(snapshot["loads"]) if snapshot else {}
+
+    def seen(self) -> dict[str, str]:
+        """What the last write kept with the table (see :meth:`overwrite`)."""
+        snapshot = self._snapshot()
+        return dict(snapshot["seen"]) if snapshot else {}
+
     def read(self, partitions: list[str] | None = None) -> DataFrame:
         """The current rows, or those of some partitions only."""
         snapshot = self._snapshot()
@@ -71,20 +81,24 @@ class Table:
 
     # -- writing ---------------------------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame) -> None:
-        """Replace all rows; the table then has the partitioning it is opened with."""
-        self._publish(self._snapshot(), self._write(df), df.schema)
+    def overwrite(self, df: DataFrame, seen: dict[str, str] | None = None) -> None:
+        """Replace all rows; the table then has the partitioning it is opened with.
+
+        ``seen`` is kept with the table: the :meth:`loads` of another table that the rows were made from.
+        """
+        self._publish(self._snapshot(), self._write(df), df.schema, seen)
 
-    def upsert(self, delta: DataFrame, key: str) -> None:
+    def upsert(self, delta: DataFrame, key: str, seen: dict[str, str] | None = None) -> None:
         """Replace rows with a key in ``delta``, add the others; columns new in ``delta`` are appended.
 
-        A key that occurs twice in ``delta`` is an error, in the first load as in later ones.
+        A key that occurs twice in ``delta`` is an error, in the first load as in later ones. ``seen``: as in
+        :meth:`overwrite`.
         """
         snapshot = self._snapshot()
         if snapshot is None:
             delta = materialize(delta, "delta")
             self._reject_repeated(delta, key)
-            self._publish(None, self._write(delta), delta.schema)
+            self._publish(None, self._write(delta), delta.schema, seen)
             return
         self._same_partitioning(snapshot)
         schema = _schema(snapshot)
@@ -93,8 +107,8 @@ class Table:
         touched = self._touched(snapshot, delta, key)
         new = [f for f in delta.schema.fields if f.name not in schema.fieldNames()]
         if not touched:
-            if new:
-                self._publish(snapshot, snapshot["loads"], T.StructType([*schema.fields, *new]))
+            if new or seen is not None:
+                self._publish(snapshot, snapshot["loads"], T.StructType([*schema.fields, *new]), seen)
             return
         old = self._rows(snapshot, sorted(touched))
         absent = [c for c in schema.fieldNames() if c not in delta.columns]
@@ -104,7 +118,7 @@ class Table:
         kept = lookup(old, delta.select(key), [key], spread=None, how="left_anti")
         merged = kept.unionByName(delta, allowMissingColumns=True)
         loads = {p: load for p, load in snapshot["loads"].items() if p not in touched}
-        self._publish(snapshot, loads | self._write(merged), merged.schema)
+        self._publish(snapshot, loads | self._write(merged), merged.schema, seen)
 
     def expire(self, keep: int = 2) -> None:
         """Delete all but the last ``keep`` snapshots, and the loads that those do not name."""
@@ -146,9 +160,12 @@ class Table:
         files = self._snapshot_files()
         return self._read_snapshot(files[-1]) if files else None
 
-    def _publish(self, last: dict | None, loads: dict[str, str], schema: T.StructType) -> None:
+    def _publish(self, last: dict | None, loads: dict[str, str], schema: T.StructType,
+                 seen: dict[str, str] | None) -> None:
         number = last["number"] + 1 if last else 1
-        text = json.dumps({"number": number, "loads": loads, "schema": schema.jsonValue(),
+        if seen is None:
+            seen = last["seen"] if last else {}
+        text = json.dumps({"number": number, "loads": loads, "schema": schema.jsonValue(), "seen": seen,
                            "partitioning": vars(self.partitioning) if self.partitioning else None})
         # A name of its own for each attempt: what a broken one left behind is in nobody's way.
         (self.spark.range(1, numPartitions=1).select(F.lit(text).alias("value"))

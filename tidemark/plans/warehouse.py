@@ -149,19 +149,22 @@ class Warehouse:
     def refresh_customers(self, full_refresh: bool = False) -> None:
         """Customers with an order written since the table's last run; all of them on the first run or a full refresh.
 
-        Other customers, new ones without orders included, stay as they are.
+        Other customers, new ones without orders included, stay as they are. Written orders are looked for only in the
+        partitions that were rewritten since.
         """
-        table = self.table("int_customer_360")
-        customers, orders = self.stg_customers(), self.relation("int_orders_enriched")
+        table, order_table = self.table("int_customer_360"), self.table("int_orders_enriched")
+        customers, orders, loads = self.stg_customers(), order_table.read(), order_table.loads()
         if full_refresh or not table.exists():
-            table.overwrite(commerce.int_customer_360(customers, orders, self.as_of, self.run_ts))
+            table.overwrite(commerce.int_customer_360(customers, orders, self.as_of, self.run_ts), loads)
             return
         last_run = table.max_of("_dbt_updated_at")
         if last_run is None:
             return
-        recent = orders.where((F.col("_dbt_updated_at") >= F.lit(last_run)) & F.col("customer_id").isNotNull())
+        seen = table.seen()
+        rewritten = order_table.read([p for p, load in loads.items() if seen.get(p) != load])
+        recent = rewritten.where((F.col("_dbt_updated_at") >= F.lit(last_run)) & F.col("customer_id").isNotNull())
         touched = materialize(recent.select("customer_id").distinct(), "touched_customers")
-        table.upsert(commerce.customer_360_of(touched, customers, orders, self.as_of, self.run_ts), "customer_id")
+        table.upsert(commerce.customer_360_of(touched, customers, orders, self.as_of, self.run_ts), "customer_id", loads)
 
     def rebuild_star_schema(self) -> None:
         self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360"), self.run_ts))

@@ -410,20 +410,26 @@ def _look_up_rare(n: int):
                 found = np.where(known[at] == hashes, counts[at], 0)
             order = np.argsort(row, kind="stable")
             rows, starts = _runs(row[order])
-            yield (blocks.of_row(rows, n), rows, np.add.reduceat((np.log10(found + 1.0) * times)[order], starts),
-                   np.add.reduceat(((found > 0) * times)[order], starts).astype(np.int64))
+            return (blocks.of_row(rows, n), rows, np.add.reduceat((np.log10(found + 1.0) * times)[order], starts),
+                    np.add.reduceat(((found > 0) * times)[order], starts).astype(np.int64))
 
+        held, size = [], 0
         for bucket, part, count, payload in _parts(batches):
             if bucket != current:
                 current, known, counts = bucket, np.zeros(0, np.int64), np.zeros(0, np.int64)
             if part == 0:
                 known, _, counts = blocks.unpack([payload], [count], ["<i8", "i1", "<i8"])
             elif part == 1:
-                yield from blocks.deal(sums(count, payload))
+                held.append(sums(count, payload))
+                size += len(held[-1][0])
+                if size >= blocks.ITEMS:
+                    yield from blocks.deal(iter(held))
+                    held, size = [], 0
             else:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([n + bucket], pa.int32()), pa.array([count], pa.int32()), pa.array([payload], pa.binary())],
                     names=["bucket", "n", "payload"])
+        yield from blocks.deal(iter(held))
     return run
 
 

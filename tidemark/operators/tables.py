@@ -79,6 +79,32 @@ class Table:
             latest = sorted(p for p in snapshot["loads"] if p != NULL_PARTITION)[-1:]
         return self._rows(snapshot, latest).agg(F.max(column)).first()[0]
 
+    def register(self, name: str) -> None:
+        """Make the current rows readable as ``name`` (``namespace.table``) in the catalog, over the stored files.
+
+        A view of that name selects the columns from an external table whose partitions lie where the snapshot has them;
+        it shows this snapshot until it is registered again.
+        """
+        snapshot = self._snapshot()
+        files = f"{name}__files"
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(snapshot).fields]
+        loads = snapshot["loads"]
+        run = self.spark.sql
+        run(f"DROP VIEW IF EXISTS {name}")
+        run(f"DROP TABLE IF EXISTS {files}")
+        if self.partitioning:
+            part = self.partitioning.name
+            run(f"CREATE TABLE {files} ({', '.join(fields)}, `{part}` string) USING parquet PARTITIONED BY (`{part}`) "
+                f"LOCATION '{self.path}/data'")
+            places = " ".join(f"PARTITION (`{part}`='{p}') LOCATION '{self._folder(p, load)}'"
+                              for p, load in sorted(loads.items()))
+            if places:
+                run(f"ALTER TABLE {files} ADD {places}")
+        else:
+            run(f"CREATE TABLE {files} ({', '.join(fields)}) USING parquet LOCATION '{self._folder(_WHOLE, loads[_WHOLE])}'")
+        columns = ", ".join(f"`{f.name}`" for f in _schema(snapshot).fields)
+        run(f"CREATE VIEW {name} AS SELECT {columns} FROM {files}")
+
     # -- writing ---------------------------------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame, seen: dict[str, str] | None = None) -> None:

@@ -80,6 +80,14 @@ FINANCE_SUMMARY = {
 }
 
 
+#: The table that each view renames the columns of, and the names.
+VIEWS = {
+    "sem_revenue_metrics": ("fct_orders", REVENUE_METRICS),
+    "sem_customer_kpis": ("dim_customer", CUSTOMER_KPIS),
+    "sem_finance_summary": ("fct_transactions", FINANCE_SUMMARY),
+}
+
+
 def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(column).alias(label) for column, label in names.items()])
 

@@ -30,6 +30,13 @@ TABLES = {
 VIEWS = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "sem_revenue_metrics",
          "sem_customer_kpis", "sem_finance_summary")
 
+# The namespace of each business view.
+VIEW_NAMESPACES = {
+    "sem_revenue_metrics": "commerce_semantic",
+    "sem_customer_kpis": "commerce_semantic",
+    "sem_finance_summary": "finance_semantic",
+}
+
 CUSTOMERS_PER_BUCKET = 100_000     # from which the number of buckets follows when the table is first written
 ORDER_MONTH = "date_format(order_date, 'yyyy-MM')"
 
@@ -107,6 +114,21 @@ class Warehouse:
         for name in (*TABLES, *VIEWS):
             self.relation(name).createOrReplaceTempView(name)
 
+    def register(self) -> None:
+        """Make the stored tables and the business views readable in the catalog, in the namespace of their layer.
+
+        They outlive the session wherever the catalog does, and show the tables as they are now.
+        """
+        for namespace in {*TABLES.values(), *VIEW_NAMESPACES.values()}:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+        for name, namespace in TABLES.items():
+            self.table(name).register(f"{namespace}.{name}")
+        for name, namespace in VIEW_NAMESPACES.items():
+            source, names = semantic.VIEWS[name]
+            columns = ", ".join(f"`{column}` AS `{label}`" for column, label in names.items())
+            self.spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{name} AS SELECT {columns} "
+                           f"FROM {TABLES[source]}.{source}")
+
     # -- runs ------------------------------------------------------------------------------------------------
 
     def run(self, full_refresh: bool = False) -> None:

@@ -19,11 +19,6 @@ def read_csv_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {feed: read_feed_csv(spark, feed, f"{folder}/{feed}.csv") for feed in FEEDS}
 
 
-def read_parquet_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Feeds kept as Parquet; dates may be stored as dates, so date filters reach the scan."""
-    return {feed: spark.read.parquet(f"{folder}/{feed}") for feed in FEEDS}
-
-
 def load_seed(raw: DataFrame, path: str) -> DataFrame:
     """Load a feed into a table of its own and return that table."""
     table = Table(raw.sparkSession, path)

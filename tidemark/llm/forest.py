@@ -17,6 +17,7 @@ one document; if their texts differ, that of the smallest hash stands for it.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,26 +151,59 @@ def _members_of_pairs(depth: int):
 
 
 def _links(depth: int):
-    """Pairs of exact similarity ``SIMILARITY`` or more, with it."""
+    """Per group and member with links: their number, the smallest member reached over links of the group, and for the
+    links to larger members their number and, for each depth, the number of links that they stand for.
+
+    Links are counted where they are verified, so a group of very many links gives a row a member.
+    """
     def run(batches: Batches) -> Batches:
         for table, borders in whole_groups(_with_sets(batches), _GROUP):
             doc, sets = table.column("doc").to_numpy(), table.column("set").combine_chunks()
             size = table.column("size").to_numpy()
-            a, b, sims = [], [], []
+            linked = _Links()
             for left, right in _near_pairs(table, borders, depth):
                 for i, j in zip(left.tolist(), right.tolist()):
                     one, two = (np.frombuffer(sets[k].as_buffer(), np.uint64) for k in (i, j))
                     both = len(np.intersect1d(one, two, assume_unique=True))
                     similarity = both / (size[i] + size[j] - both)
                     if similarity >= SIMILARITY:
-                        a.append(min(doc[i], doc[j]))
-                        b.append(max(doc[i], doc[j]))
-                        sims.append(similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sims, pa.float64())],
-                                             names=["a", "b", "similarity"])
+                        linked.add(*sorted((int(doc[i]), int(doc[j]))), similarity)
+            yield linked.rows()
     return run
 
 
+_LINKED = "doc long, n_links long, root long, n_larger long, likely array<double>"
+_DEPTHS = np.arange(DEPTH, SHORTEST - 1, -1)
+
+
+class _Links:
+    def __init__(self):
+        self.count: Counter[int] = Counter()
+        self.larger: Counter[int] = Counter()
+        self.likely: dict[int, np.ndarray] = {}
+        self.root: dict[int, int] = {}
+
+    def find(self, doc: int) -> int:
+        while (up := self.root.setdefault(doc, doc)) != doc:
+            self.root[doc] = doc = self.root[up]
+        return doc
+
+    def add(self, a: int, b: int, similarity: float) -> None:
+        self.count.update((a, b))
+        self.larger[a] += 1
+        self.likely[a] = self.likely.get(a, 0.0) + 1 / (1 - (1 - similarity ** _DEPTHS) ** TREES)
+        low, high = sorted((self.find(a), self.find(b)))
+        self.root[high] = low
+
+    def rows(self) -> pa.RecordBatch:
+        docs = list(self.count)
+        columns = (docs, list(self.count.values()), [self.find(d) for d in docs], [self.larger[d] for d in docs])
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(c, pa.int64()) for c in columns),
+             pa.array([self.likely.get(d, np.zeros(len(_DEPTHS))).tolist() for d in docs], pa.list_(pa.float64()))],
+            names=["doc", "n_links", "root", "n_larger", "likely"])
+
+
 def _with_sets(batches: Batches) -> Batches:
     """The sorted shingle set in place of the text."""
     for batch in spans.pieces(batches, "text"):
@@ -191,12 +225,13 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "doc")
 
 
-def similar_pairs(docs: DataFrame, members: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Verified pairs of members: ``a`` < ``b`` and ``similarity``."""
+def links(docs: DataFrame, members: DataFrame, id_column: str, text: str) -> DataFrame:
+    """Verified links of the members, summed up per member and group (see :func:`_links`); each link is in one group."""
     # only members that share a shortest prefix can be in a pair at all
     near = materialize(_buckets(members, SHORTEST).select("doc").distinct(), "near")
     signed = materialize(members.join(near, "doc"), "near-members")
-    texts = materialize(_texts(docs, id_column, text).join(signed.select("doc", "tag"), ["doc", "tag"])
+    # a merge join whatever the size, so that the plan is the same for small and large tables
+    texts = materialize(_texts(docs, id_column, text).join(signed.select("doc", "tag").hint("merge"), ["doc", "tag"])
                         .dropDuplicates(["doc"]).select("doc", "text"), "near-texts")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     found: DataFrame | None = None
@@ -209,11 +244,11 @@ def similar_pairs(docs: DataFrame, members: DataFrame, id_column: str, text: str
         rows = spread.join(signed.select("doc", "size", "signature"), "doc").select(
             "bucket", "low", "high", "block", "tree", "doc", "size", "signature")
         paired = materialize(_grouped(rows).mapInArrow(_members_of_pairs(depth), _MEMBER), "paired")
-        links = materialize(_grouped(paired.join(texts, "doc").select(*paired.columns, "text")).mapInArrow(
-            _links(depth), "a long, b long, similarity double"), "links")
-        found = links if found is None else found.unionByName(links)
-        chance = 1 - F.pow(1 - F.pow("similarity", F.lit(depth)), F.lit(TREES))
-        seen = found.agg(F.count(F.lit(1)).alias("n"), F.sum(1 / chance).alias("likely")).first()
+        new = materialize(_grouped(paired.join(texts, "doc").select(*paired.columns, "text")).mapInArrow(
+            _links(depth), _LINKED), "links")
+        found = new if found is None else found.unionByName(new)
+        # how many links those found so far stand for, by the chance of each to be found down to this depth
+        seen = found.agg(F.sum("n_larger").alias("n"), F.sum(F.get("likely", F.lit(DEPTH - depth))).alias("likely")).first()
         if seen["n"] and seen["n"] >= TARGET * seen["likely"]:
             break
     return found
@@ -229,10 +264,9 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     classes = signed.groupBy("one", "two").agg(F.min("doc").alias("copy"))
     copies = materialize(signed.join(classes, ["one", "two"]).select("doc", "tag", "size", "signature", "copy"), "copies")
     members = copies.where("doc = copy").select("doc", "tag", "size", "signature")
-    links = similar_pairs(docs, members, id_column, text)
-    both_ways = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degrees = both_ways.groupBy("a").agg(F.count(F.lit(1)).alias("n_links")).withColumnRenamed("a", "copy")
-    roots = components(links.select("a", "b")).select(F.col("node").alias("copy"), "root")
+    linked = links(docs, members, id_column, text)
+    degrees = linked.groupBy("doc").agg(F.sum("n_links").alias("n_links")).withColumnRenamed("doc", "copy")
+    roots = components(linked.select("doc", "root")).select(F.col("node").alias("copy"), "root")
     own = (copies.select("doc", "copy")
            .join(degrees, "copy", "left").join(roots, "copy", "left").withColumnRenamed("doc", "member"))
     base = docs.select(F.col(id_column).cast("long").alias("doc"))

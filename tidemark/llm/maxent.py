@@ -51,6 +51,7 @@ CHUNK = 4096          # tokens worked on at once
 _TABLE = (CLASS_ROWS + WORD_ROWS) * 64        # both tables, one after the other
 _PART = 1 << 16                               # numbers of a table sent as one row
 _SALTS = 4
+_SCANS_PER_TABLE = 8                          # scan partitions that one task takes in turn, with one table for all
 _NONE = -1e30
 
 START, END = np.uint64(1), np.uint64(2)       # stand for the places before a text and its end
@@ -238,8 +239,11 @@ def _empty_model(counts: DataFrame) -> Model:
 
 # -- weights -------------------------------------------------------------------------------------------------------
 
-def _sum_tables(rows: DataFrame, work) -> np.ndarray:
-    """Sum over all tasks of the table that ``work`` makes from batches; a table has a fixed size."""
+def _sum_tables(rows: DataFrame, tasks: int, work) -> np.ndarray:
+    """Sum over all tasks of the table that ``work`` makes from batches; a table has a fixed size.
+
+    A task sends its whole table, so fewer tasks than the scan has partitions make them.
+    """
     def run(batches: Batches) -> Batches:
         from pyspark import TaskContext
         table = work(batches)
@@ -269,7 +273,10 @@ def _sum_tables(rows: DataFrame, work) -> np.ndarray:
             yield row()
 
     out = np.zeros(_TABLE)
-    summed = blocks.gather(rows.mapInArrow(run, blocks.SCHEMA), blocks.bucket_count(rows)).mapInArrow(add, blocks.SCHEMA)
+    made = rows.coalesce(tasks).mapInArrow(run, blocks.SCHEMA)
+    summed = materialize(blocks.gather(made, blocks.bucket_count(rows)).mapInArrow(add, blocks.SCHEMA), "weight-sums")
+    del made
+    release(rows.sparkSession)
     for row in summed.toLocalIterator():         # the table's parts, _SALTS times at most
         at = row["bucket"] // _SALTS * _PART
         out[at:at + row["n"]] += np.frombuffer(row["payload"], np.float32)
@@ -325,7 +332,8 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
     if not model.n:
         return model
     context = rows.sparkSession.sparkContext
-    seen = _sum_tables(rows.select("text"), _occurrences(context.broadcast(model)))   # a model has a fixed size
+    tasks = max(1, -(-rows.select("text").rdd.getNumPartitions() // _SCANS_PER_TABLE))
+    seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # a model has a fixed size
     scale = np.zeros(_TABLE, np.float32)
     for level, n_rows in ((0, CLASS_ROWS), (1, WORD_ROWS)):
         part = slice(_offset(level), _offset(level) + n_rows * 64)
@@ -338,7 +346,7 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
         scale[part] = np.maximum(table, total * prior).ravel()
     for turn in range(ROUNDS):
         shard = rows.where(F.pmod(F.xxhash64("row"), F.lit(SHARDS)) == turn)
-        slope = _sum_tables(shard.select("text"), _gradient(context.broadcast(model)))
+        slope = _sum_tables(shard.select("text"), tasks, _gradient(context.broadcast(model)))
         model.weights += np.clip(STEP * slope / (scale / SHARDS + DAMPING), -1, 1).astype(np.float32)
     return model
 

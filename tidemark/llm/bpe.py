@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tidemark.llm import spans
 
 UNITS_KEPT = 1_500_000   # units kept by a worker (about 90 MB) before it starts afresh
-TEXT_BYTES = 2 << 20     # texts encoded at once
+TEXT_BYTES = 1 << 20     # texts encoded at once
 RUN_BYTES = 1 << 17      # new units encoded as one text, as the library needs over 100 bytes a token
 IDS_AT_ONCE = 1 << 18    # ids decoded at once
 
@@ -88,9 +88,10 @@ class Codec:
         self.token_lengths = np.array([len(s) for s in spelled], np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
         self.token_bytes = np.frombuffer(b"".join(spelled), np.uint8)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the units kept."""
         self.hashes = np.zeros(0, np.uint64)                      # of the units kept, sorted
         self.unit_starts, self.unit_lengths, self.unit_ids, self.unit_counts = (np.zeros(0, np.int64) for _ in range(4))
         self.unit_bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.int32)
@@ -104,7 +105,7 @@ class Codec:
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         hashes = spans.hash_spans(data, starts, ends)
         if len(self.hashes) > UNITS_KEPT:
-            self._forget()
+            self.forget()
         inverse, unlike = pd.factorize(hashes)
         at = np.zeros(len(unlike), np.int64)
         at[inverse[::-1]] = np.arange(len(hashes))[::-1]      # the first unit of each hash
@@ -242,6 +243,7 @@ def encode(df: DataFrame, path: str, text: str = "text", places: bool = True, de
             if decoded:
                 columns.append(_binary(*own.decode(ids, before)))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        own.forget()      # the worker lives on, and what it runs next needs the memory
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text)).mapInArrow(run, schema)
 

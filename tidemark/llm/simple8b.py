@@ -37,6 +37,7 @@ _NARROWEST = np.searchsorted(WIDTHS, np.arange(66)).clip(max=13).astype(np.uint8
 BLOCK = 1024
 FRAME_IDS = 1 << 18
 FRAMES_PER_FILE = 64
+TEXT_BYTES = 2 << 20      # texts encoded at once
 MAGIC = b"TS8B"
 _HEAD = struct.Struct("<4sIQIIII")
 
@@ -165,7 +166,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int, partitions:
             begins, held, size = begins + len(ids), [], 0
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["frame"])
 
-        for batch in spans.pieces(batches, "text", bpe.TEXT_BYTES):
+        for batch in spans.pieces(batches, "text", TEXT_BYTES):
             data, offsets = spans.buffers(batch.column("text"))
             ids, before = own.encode(data, offsets)
             ids = np.insert(ids, before[1:], end_id)

@@ -261,7 +261,8 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     more; ``class_id`` is the smallest id reached over such links. Without words all are the own id and 0.
     """
     signed = materialize(signatures(docs, id_column, text), "signatures")
-    classes = signed.groupBy("one", "two").agg(F.min("doc").alias("copy"))
+    # written down, so that the join has a shuffle of its own, in which Spark splits a class of very many copies
+    classes = materialize(signed.groupBy("one", "two").agg(F.min("doc").alias("copy")), "classes")
     copies = materialize(signed.join(classes, ["one", "two"]).select("doc", "tag", "size", "signature", "copy"), "copies")
     members = copies.where("doc = copy").select("doc", "tag", "size", "signature")
     linked = links(docs, members, id_column, text)

@@ -91,6 +91,27 @@ def test_outliers_are_rejected_and_the_rest_kept(spark):
     assert outliers.judge(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", outliers.NAMES)
+def test_each_statistic_rejects_alone(spark, name):
+    rng = random.Random(8)
+    lined = lambda: "\n".join(prose(rng, 12) for _ in range(rng.randrange(5, 30)))
+    rows = [(i, lined()) for i in range(200)]
+    words = prose(rng, 100).split(" ")
+    rows.append((1000, {
+        "word_length": " ".join(w + w for w in words),
+        "symbols": " ".join(w[:-1] + "|" for w in words),
+        "dup_lines": "\n".join([prose(rng, 12) for _ in range(4)] + [f"w{100 + rng.randrange(15)}" for _ in range(60)]),
+        "repeats": " ".join(words[:60] + words[:20] + words[80:]),
+    }[name]))
+    docs = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    odd = out[1000]
+    assert not odd.base_failed and not odd.kept
+    assert all(r.kept for i, r in out.items() if i < 1000)
+    assert (odd.n_dup_lines > 0) == (name == "dup_lines") and (odd.n_symbols > 0) == (name == "symbols")
+    assert 7 * odd.n_repeat_words < odd.n_words or name == "repeats"
+
+
 # -- benchmark -----------------------------------------------------------------------------------------------------
 
 ITEMS = [(1, "The quick, brown Fox jumps over the lazy dog again and again today."), (2, "short one"), (3, ""), (4, None),

@@ -139,6 +139,18 @@ def test_probabilities_add_up_to_one(documents):
     assert np.all(model.ending_count + model.ending_distinct + 1 == total) and np.all(model.ending_count >= model.ending_distinct)
 
 
+def test_every_training_row_is_in_a_gradient_update(documents, monkeypatch):
+    docs = documents([(i, f"a b{i % 7} c{i}") for i in range(100)]).selectExpr("xxhash64(doc_id) AS row", "text")
+    read, plain = [], maxent._sum_tables
+
+    def sum_tables(rows, tasks, work):
+        read.append([r.text for r in rows.collect()])
+        return plain(rows, tasks, work)
+    monkeypatch.setattr(maxent, "_sum_tables", sum_tables)
+    maxent.train(docs, maxent.count_tokens(docs))
+    assert sorted(t for shard in read[1:] for t in shard) == sorted(read[0]) and len(read[0]) == 100
+
+
 def test_model_of_nothing(documents):
     assert scored(documents([])) == []
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)

@@ -10,8 +10,8 @@ tokens before it is that of its class times that of the token in its class:
 * other word in its class: (count + 1) / (class count + distinct words + 1). A word that was never seen has count 0.
 
 Training, over all rows that aren't held out: token counts; then the occurrences of each feature with each class and
-word, which give the first weights (the log ratio to the bias); then ``ROUNDS`` gradient updates, each over the
-``1 / SHARDS`` of the rows that a hash deals to it: tasks sum the gradients of their rows at the same weights, the driver adds the
+word, which give the first weights (the log ratio to the bias); then ``SHARDS`` gradient updates, each over the rows that a
+hash deals to it, so that every row is in one: tasks sum the gradients of their rows at the same weights, the driver adds the
 sum, scaled by the occurrences. Tables have a fixed size; counts grow with the corpus and stay distributed.
 
 Scoring reads the texts once. Counts of frequent tokens (``KNOWN`` of them) are with the model; the others of each text are
@@ -43,7 +43,7 @@ FREQUENT = CLASSES_OF_WORDS * CLASS_WORDS
 KNOWN = 1 << 16
 CLASS_ROWS, WORD_ROWS = 1 << 14, CLASSES_OF_WORDS << 8      # feature rows of the two weight tables
 FEATURES = 3
-ROUNDS, SHARDS = 3, 16
+SHARDS = 4            # gradient updates, each over the rows of one shard
 PRIOR = 20.0          # occurrences of a feature at which its first weights count half
 SHARE = 0.5           # of the log ratio that a first weight takes, as features overlap
 STEP, DAMPING = 0.5, 10.0
@@ -344,7 +344,7 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
         ratio = np.log((table + PRIOR * prior + 1e-9) / ((total + PRIOR) * prior + 1e-9))
         model.weights[part] = (SHARE * ratio).astype(np.float32).ravel()
         scale[part] = np.maximum(table, total * prior).ravel()
-    for turn in range(ROUNDS):
+    for turn in range(SHARDS):
         shard = rows.where(F.pmod(F.xxhash64("row"), F.lit(SHARDS)) == turn)
         slope = _sum_tables(shard.select("text"), tasks, _gradient(context.broadcast(model)))
         model.weights += np.clip(STEP * slope / (scale / SHARDS + DAMPING), -1, 1).astype(np.float32)

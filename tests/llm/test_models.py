@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -139,6 +140,49 @@ def test_probabilities_add_up_to_one(documents):
     assert np.all(model.ending_count + model.ending_distinct + 1 == total) and np.all(model.ending_count >= model.ending_distinct)
 
 
+def test_words_beyond_the_first_classes_are_chosen_by_their_context(documents):
+    """Two words of one count and one ending, both beyond the first 3,072: each is likelier after its own neighbour."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{j}" for j in rng.sample(range(3500), 3500))) for i in range(32)]
+    rows += [(100 + i, ("here xone", "there yone")[i % 2]) for i in range(56)]
+    docs = documents(rows).selectExpr("xxhash64(doc_id) AS row", "text")
+    model = maxent.train(docs, maxent.count_tokens(docs))
+    pairs = maxent.Tokens.of(pa.array(["here xone", "here yone", "there xone", "there yone"]))
+    rank = model.look_up(pairs.hashes)[1]
+    assert min(rank[1::3]) >= maxent.FREQUENT
+    here_x, here_y, there_x, there_y = maxent.log_probabilities(model, pairs, rank)[1::3]
+    assert here_x > here_y + 0.1 and there_y > there_x + 0.1
+
+
+@pytest.mark.parametrize("often", [3072, 3073, 9000, 40_000, 300_000])
+def test_words_have_places_of_their_own(often):
+    tree, rank = maxent.Tree(often), np.arange(often + 5)
+    paths = [[] for _ in rank]
+    for at, node, place in tree.steps(rank):
+        assert node.max(initial=0) < tree.nodes and place.max(initial=0) < maxent.CLASS_WORDS
+        for i, step in zip(at.tolist(), zip(node.tolist(), place.tolist())):
+            paths[i].append(step)
+    assert len({tuple(p) for p in paths[:often]}) == often and not any(paths[often:])
+    assert all(p[0][0] == c for p, c in zip(paths[:often], tree.classes(rank[:often]).tolist()))
+
+
+def test_tree_probabilities_add_up_to_one(documents, monkeypatch):
+    monkeypatch.setattr(maxent, "LEAST_COUNT", 1)
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(9000)}" for _ in range(600))) for i in range(60)]
+    docs = documents(rows).selectExpr("xxhash64(doc_id) AS row", "text")
+    model = maxent.train(docs, maxent.count_tokens(docs))
+    n = model.tree.often
+    assert n == model.distinct > maxent.FREQUENT
+    names = list({t for _, text in rows for t in tokens(text) if t})
+    texts = maxent.Tokens.of(pa.array([f"{names[0]} {t}" for t in names] + [names[0]]))
+    second = texts.first[:-1] + 1
+    logs = maxent.log_probabilities(model, texts, model.look_up(texts.hashes)[1])[second]
+    one, two = (np.array([h], np.uint64) for h in (texts.hashes[0], maxent.START))
+    classes = np.exp(maxent._softmax(model.class_bias, model.tables()[0], maxent._features(one, two)))[0]
+    assert math.isclose(np.exp(logs).sum() + classes[maxent.CLASSES_OF_WORDS:].sum(), 1, rel_tol=1e-4)
+
+
 def test_every_training_row_is_in_a_gradient_update(documents, monkeypatch):
     docs = documents([(i, f"a b{i % 7} c{i}") for i in range(100)]).selectExpr("xxhash64(doc_id) AS row", "text")
     read, plain = [], maxent._sum_tables

@@ -1,20 +1,24 @@
 """Language model: a hashed maximum-entropy model with a class-factored softmax.
 
-Tokens are words (A-Z lower-cased) and one end per text. The most frequent ``CLASSES_OF_WORDS * CLASS_WORDS`` tokens are in
-classes by frequency; all others are in ``ENDINGS`` classes by their last two bytes. The probability of a token given the
-tokens before it is that of its class times that of the token in its class:
+Tokens are words (A-Z lower-cased) and one end per text. Those of ``LEAST_COUNT`` or more occurrences, and the most frequent
+``FREQUENT`` anyway, are in classes by frequency: ``DIRECT_CLASSES`` classes hold ``CLASS_WORDS`` words each, the others share
+the rest, as trees of up to 64 branches a node whose depth follows the number of words. All other tokens are in ``ENDINGS``
+classes by their last two bytes. The probability of a token given the tokens before it is that of its class times that of the
+token in its class:
 
 * class: softmax over all classes of a bias plus the weights of hashed features (the word before, the word before that as
   a skip feature, and both as a bigram);
-* frequent word in its class: softmax over the words of the class, with 256 hashed feature rows for each class;
+* frequent word in its class: softmax over the words or branches of the class, with ``OWN_ROWS`` hashed feature rows for
+  each class; then, down its branch, a softmax at each node, with ``SHARED_ROWS`` feature rows hashed with the node;
 * other word in its class: (count + 1) / (class count + distinct words + 1). A word that was never seen has count 0.
 
 Training, over all rows that aren't held out: token counts; then the occurrences of each feature with each class and
-word, which give the first weights (the log ratio to the bias); then ``SHARDS`` gradient updates, each over the rows that a
+word, which give the first weights (the log ratio to the bias; 0 in shared rows); then ``SHARDS`` gradient updates, each over the rows that a
 hash deals to it, so that every row is in one: tasks sum the gradients of their rows at the same weights, the driver adds the
-sum, scaled by the occurrences. Tables have a fixed size; counts grow with the corpus and stay distributed.
+sum, scaled by the occurrences. Weight tables have a fixed size; the words in classes grow with the corpus and are with the
+model, with a bias each; the counts of all tokens stay distributed.
 
-Scoring reads the texts once. Counts of frequent tokens (``KNOWN`` of them) are with the model; the others of each text are
+Scoring reads the texts once. Counts of frequent tokens (those in classes, ``KNOWN`` at least) are with the model; the others of each text are
 dealt to buckets of the count table by hash, and come back as sums per text.
 
 Words are known by 64-bit hashes. A null text is empty and has one token. Rows with a null key are neither held out nor
@@ -40,8 +44,12 @@ from tidemark.session import materialize
 CLASSES_OF_WORDS, CLASS_WORDS, ENDINGS = 48, 64, 16
 CLASSES = CLASSES_OF_WORDS + ENDINGS
 FREQUENT = CLASSES_OF_WORDS * CLASS_WORDS
+DIRECT_CLASSES = 40
+DIRECT = DIRECT_CLASSES * CLASS_WORDS
+LEAST_COUNT = 20
 KNOWN = 1 << 16
-CLASS_ROWS, WORD_ROWS = 1 << 14, CLASSES_OF_WORDS << 8      # feature rows of the two weight tables
+OWN_ROWS, SHARED_ROWS = 1 << 8, 1 << 13       # feature rows of a class of words, and of all nodes below classes together
+CLASS_ROWS, WORD_ROWS = 1 << 14, CLASSES_OF_WORDS * OWN_ROWS + SHARED_ROWS      # feature rows of the two weight tables
 FEATURES = 3
 SHARDS = 4            # gradient updates, each over the rows of one shard
 PRIOR = 20.0          # occurrences of a feature at which its first weights count half
@@ -53,6 +61,7 @@ _PART = 1 << 16                               # numbers of a table sent as one r
 _SALTS = 4
 _SCANS_PER_TABLE = 8                          # scan partitions that one task takes in turn, with one table for all
 _NONE = -1e30
+_NO_RANK = np.iinfo(np.int64).max
 
 START, END = np.uint64(1), np.uint64(2)       # stand for the places before a text and its end
 Batches = Iterator[pa.RecordBatch]
@@ -91,13 +100,59 @@ class Tokens:
 
 
 def _features(one: np.ndarray, two: np.ndarray, cls: np.ndarray | None = None) -> list[np.ndarray]:
-    """Feature rows of the word before, of the one before that, and of both: of all classes, or of the given ones."""
+    """Feature rows of the word before, of the one before that, and of both: of all classes, or of the given nodes."""
     keys = (one, two ^ np.uint64(0x5BD1E995), one * np.uint64(31) + spans.mix(two))
-    rows = CLASS_ROWS if cls is None else WORD_ROWS // CLASSES_OF_WORDS
+    if cls is not None and len(cls) and cls[0] >= CLASSES_OF_WORDS:        # nodes below classes come by themselves
+        node = spans.mix(cls.astype(np.uint64) + np.uint64(7))
+        return [CLASSES_OF_WORDS * OWN_ROWS + (spans.mix(k ^ node) >> np.uint64(40)).astype(np.int64) % SHARED_ROWS
+                for k in keys]
+    rows = CLASS_ROWS if cls is None else OWN_ROWS
     found = [(spans.mix(k) >> np.uint64(40)).astype(np.int64) % rows for k in keys]
     return found if cls is None else [cls * rows + f for f in found]
 
 
+@dataclass
+class Tree:
+    """Places of ``often`` words, by their rank, in classes and in the nodes below those of many words.
+
+    Nodes are numbered level by level, the classes of words first."""
+    often: int
+    width: int = field(init=False)                 # words of a class that isn't a direct one
+    branches: int = field(init=False)
+    spans: list[int] = field(init=False)           # words of a branch, level by level
+
+    def __post_init__(self):
+        self.width = max(CLASS_WORDS, -(-(self.often - DIRECT) // (CLASSES_OF_WORDS - DIRECT_CLASSES)))
+        depth = 1
+        while CLASS_WORDS ** depth < self.width:
+            depth += 1
+        self.branches = next(b for b in range(2, CLASS_WORDS + 1) if b ** depth >= self.width)
+        self.spans = [self.width]
+        for _ in range(depth):
+            self.spans.append(-(-self.spans[-1] // self.branches))
+        del self.spans[0]
+
+    @property
+    def nodes(self) -> int:
+        return DIRECT_CLASSES + sum((CLASSES_OF_WORDS - DIRECT_CLASSES) * self.branches ** k for k in range(len(self.spans)))
+
+    def classes(self, rank: np.ndarray) -> np.ndarray:
+        """Class of words in classes."""
+        return np.where(rank < DIRECT, rank // CLASS_WORDS, DIRECT_CLASSES + (rank - DIRECT) // self.width)
+
+    def steps(self, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per level: the numbers of the tokens that have a node there, the nodes and the places taken in them."""
+        at = np.flatnonzero(rank < min(DIRECT, self.often))
+        yield at, rank[at] // CLASS_WORDS, rank[at] % CLASS_WORDS
+        at = np.flatnonzero((rank >= DIRECT) & (rank < self.often))
+        index, within = np.divmod(rank[at] - DIRECT, self.width)
+        first, n = DIRECT_CLASSES, CLASSES_OF_WORDS - DIRECT_CLASSES
+        for span in self.spans:
+            place, rest = np.divmod(within, span)
+            yield at, first + index, place
+            first, n, index, within = first + n, n * self.branches, index * self.branches + place, rest
+
+
 @dataclass
 class Model:
     n: int                                     # training tokens
@@ -107,26 +162,25 @@ class Model:
     rank: np.ndarray                           # by frequency
     ending_count: np.ndarray                   # tokens and distinct tokens of each ending class
     ending_distinct: np.ndarray
+    tree: Tree
     class_bias: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES, np.float32))
     word_bias: np.ndarray = field(default_factory=lambda: np.zeros((CLASSES_OF_WORDS, CLASS_WORDS), np.float32))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(_TABLE, np.float32))
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count (-1: not among the known) and rank (``KNOWN`` if not) of tokens."""
+        """Count (-1: not among the known) and rank (``_NO_RANK`` if not) of tokens."""
         if not len(self.hashes):
-            return np.full(len(hashes), -1), np.full(len(hashes), KNOWN)
+            return np.full(len(hashes), -1), np.full(len(hashes), _NO_RANK)
         codes, distinct = pd.factorize(hashes)
         at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
         there = self.hashes[at] == distinct
-        return np.where(there, self.counts[at], -1)[codes], np.where(there, self.rank[at], KNOWN)[codes]
+        return np.where(there, self.counts[at], -1)[codes], np.where(there, self.rank[at], _NO_RANK)[codes]
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         return (self.weights[:CLASS_ROWS * 64].reshape(CLASS_ROWS, 64), self.weights[CLASS_ROWS * 64:].reshape(WORD_ROWS, 64))
 
-    def outcomes(self, tokens: Tokens, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and place in the class (of frequent words)."""
-        often = rank < FREQUENT
-        return np.where(often, rank // CLASS_WORDS, CLASSES_OF_WORDS + tokens.endings), rank % CLASS_WORDS
+    def classes(self, tokens: Tokens, rank: np.ndarray) -> np.ndarray:
+        return np.where(rank < self.tree.often, self.tree.classes(rank), CLASSES_OF_WORDS + tokens.endings)
 
 
 def _softmax(bias: np.ndarray, table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
@@ -141,16 +195,16 @@ def _softmax(bias: np.ndarray, table: np.ndarray, features: list[np.ndarray]) ->
 
 
 def _passes(model: Model, tokens: Tokens, rank: np.ndarray):
-    """Chunks of the two softmaxes: table rows' offset, token numbers, features, bias, outcome."""
-    cls, place = model.outcomes(tokens, rank)
+    """Chunks of the softmaxes of classes and of nodes: table, token numbers, features, bias, outcome."""
+    cls = model.classes(tokens, rank)
     one, two = tokens.before()
-    often = np.flatnonzero(rank < FREQUENT)
     for a in range(0, len(cls), CHUNK):
         at = np.arange(a, min(a + CHUNK, len(cls)))
         yield 0, at, _features(one[at], two[at]), model.class_bias, cls[at]
-    for a in range(0, len(often), CHUNK):
-        at = often[a:a + CHUNK]
-        yield 1, at, _features(one[at], two[at], cls[at]), model.word_bias[cls[at]], place[at]
+    for of, node, place in model.tree.steps(rank):
+        for a in range(0, len(of), CHUNK):
+            at, own = of[a:a + CHUNK], node[a:a + CHUNK]
+            yield 1, at, _features(one[at], two[at], own), model.word_bias[own], place[a:a + CHUNK]
 
 
 def log_probabilities(model: Model, tokens: Tokens, rank: np.ndarray) -> np.ndarray:
@@ -193,7 +247,7 @@ def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _most_frequent(batches: Batches) -> Batches:
     """Per bucket: totals by ending class, and the tokens that may be among the most frequent of all."""
     for _, (hashes, ending, count) in blocks.whole_buckets(batches, ["<i8", "i1", "<i8"]):
-        top = np.lexsort((hashes, -count))[:KNOWN]
+        top = np.lexsort((hashes, -count))[:max(KNOWN, int((count >= LEAST_COUNT).sum()))]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([np.full(2 * ENDINGS, -1), np.zeros(len(top), int)]).astype(np.int32)),
              pa.array(np.concatenate([np.arange(2 * ENDINGS), hashes[top]])),
@@ -214,25 +268,26 @@ def _empty_model(counts: DataFrame) -> Model:
     totals = np.zeros(2 * ENDINGS, np.int64)
     for row in found.where("kind = -1").groupBy("hash").agg(F.sum("n").alias("n")).collect():     # 2 rows per ending
         totals[row["hash"]] = row["n"]
-    top = found.where("kind = 0").orderBy(F.desc("n"), "hash").limit(KNOWN).toPandas()
+    words = found.where("kind = 0")
+    n_often = max(FREQUENT, words.where(F.col("n") >= LEAST_COUNT).count())
+    top = words.orderBy(F.desc("n"), "hash").limit(max(KNOWN, n_often)).toPandas()
     # the end of a text is always a frequent token, whatever its count
     end = top["hash"].to_numpy() == np.int64(END)
-    top = pd.concat([top[end], top[~end]]) if end.any() and end.argmax() >= FREQUENT else top
+    top = pd.concat([top[end], top[~end]]) if end.any() and end.argmax() >= n_often else top
     hashes, count = top["hash"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    often = top.iloc[:FREQUENT]
+    often = top.iloc[:n_often]
     tokens = totals[:ENDINGS] - np.bincount(often["ending"], often["n"], ENDINGS).astype(np.int64)
     distinct = totals[ENDINGS:] - np.bincount(often["ending"], minlength=ENDINGS)
     order = np.argsort(hashes)
     model = Model(int(totals[:ENDINGS].sum()), int(totals[ENDINGS:].sum()), hashes[order], count[order],
-                  np.arange(len(hashes))[order], tokens, distinct)
-    words = np.zeros(FREQUENT)
-    words[:len(often)] = often["n"]
-    by_class = words.reshape(CLASSES_OF_WORDS, CLASS_WORDS)
-    mass = np.concatenate([by_class.sum(axis=1), tokens + distinct + 1.0])
-    mass[:CLASSES_OF_WORDS][by_class.sum(axis=1) == 0] = 0
+                  np.arange(len(hashes))[order], tokens, distinct, Tree(n_often))
+    times, by_node = often["n"].to_numpy(float), np.zeros((model.tree.nodes, CLASS_WORDS))
+    for at, node, place in model.tree.steps(np.arange(len(often))):
+        np.add.at(by_node, (node, place), times[at])
+    mass = np.concatenate([by_node[:CLASSES_OF_WORDS].sum(axis=1), tokens + distinct + 1.0])
     with np.errstate(divide="ignore"):
         model.class_bias = np.maximum(np.log(mass / mass.sum()), _NONE).astype(np.float32)
-        model.word_bias = np.maximum(np.log(by_class / np.maximum(by_class.sum(axis=1, keepdims=True), 1)),
+        model.word_bias = np.maximum(np.log(by_node / np.maximum(by_node.sum(axis=1, keepdims=True), 1)),
                                      _NONE).astype(np.float32)
     return model
 
@@ -294,12 +349,11 @@ def _occurrences(shared):
             model = shared.value
             tokens = Tokens.of(batch.column("text"))
             rank = model.look_up(tokens.hashes)[1]
-            cls, place = model.outcomes(tokens, rank)
+            cls = model.classes(tokens, rank)
             one, two = tokens.before()
-            often = np.flatnonzero(rank < FREQUENT)
             keys = [f * 64 + cls for f in _features(one, two)]
-            keys += [_offset(1) + f * 64 + place[often]
-                     for f in _features(one[often], two[often], cls[often])]
+            for at, node, place in model.tree.steps(rank):
+                keys += [_offset(1) + f * 64 + place for f in _features(one[at], two[at], node)]
             for k in keys:
                 table += np.bincount(k, minlength=_TABLE).astype(np.float32)
         return table
@@ -335,15 +389,17 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
     tasks = max(1, -(-rows.select("text").rdd.getNumPartitions() // _SCANS_PER_TABLE))
     seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # a model has a fixed size
     scale = np.zeros(_TABLE, np.float32)
-    for level, n_rows in ((0, CLASS_ROWS), (1, WORD_ROWS)):
+    for level, n_rows in ((0, CLASS_ROWS), (1, CLASSES_OF_WORDS * OWN_ROWS)):
         part = slice(_offset(level), _offset(level) + n_rows * 64)
         table = seen[part].reshape(n_rows, 64)
         total = table.sum(axis=1, keepdims=True)
-        bias = model.class_bias if level == 0 else np.repeat(model.word_bias, WORD_ROWS // CLASSES_OF_WORDS, axis=0)
+        bias = model.class_bias if level == 0 else np.repeat(model.word_bias[:CLASSES_OF_WORDS], OWN_ROWS, axis=0)
         prior = np.exp(bias.astype(float))
         ratio = np.log((table + PRIOR * prior + 1e-9) / ((total + PRIOR) * prior + 1e-9))
         model.weights[part] = (SHARE * ratio).astype(np.float32).ravel()
         scale[part] = np.maximum(table, total * prior).ravel()
+    shared = seen[-SHARED_ROWS * 64:].reshape(SHARED_ROWS, 64)       # rows of many nodes, each of another bias
+    scale[-SHARED_ROWS * 64:] = np.maximum(shared, shared.mean(axis=1, keepdims=True)).ravel()
     for turn in range(SHARDS):
         shard = rows.where(F.pmod(F.xxhash64("row"), F.lit(SHARDS)) == turn)
         slope = _sum_tables(shard.select("text"), tasks, _gradient(context.broadcast(model)))
@@ -370,7 +426,7 @@ def _score(shared, n: int):
             count, rank = model.look_up(tokens.hashes)
             score = log_probabilities(model, tokens, rank) / math.log(10)
             own = np.log10(np.maximum(count, 0) + 1.0)
-            rare = rank >= FREQUENT
+            rare = rank >= model.tree.often
             norm = np.log10(model.ending_count + model.ending_distinct + 1.0)
             score[rare] += own[rare] - norm[tokens.endings[rare]]
             key = batch.column("doc")

@@ -162,6 +162,26 @@ def test_buckets_are_cut_into_blocks(documents, monkeypatch):
     assert found == brute.similar(rows)
 
 
+def borderline(rng, n):
+    """Pairs of similarity 0.8: 40 of 50 shingles shared. Their ids are 2k and 2k + 1."""
+    rows = []
+    for k in range(n):
+        common = [f"c{k}x{rng.randrange(10 ** 6)}" for _ in range(44)]
+        rows += [(2 * k + side, " ".join(common + [f"d{k}y{side}z{i}" for i in range(5)])) for side in (0, 1)]
+    return rows
+
+
+def unpaired(docs, n):
+    return [r for r in forest.join(docs).collect() if r.doc_id < 2 * n and (r.class_id, r.n_links) != (r.doc_id // 2 * 2, 1)]
+
+
+def test_close_copies_take_no_links_from_other_pairs(documents):
+    rng = random.Random(11)
+    base = [prose(rng, 1, 10 ** 6) + f"b{i}" for i in range(300)]
+    hot = [(10_000 + i, " ".join(base[:i] + [f"own{i}"] + base[i + 1:])) for i in range(160)]
+    assert not unpaired(documents(borderline(rng, 400) + hot), 400)
+
+
 def test_similar_with_ties_and_nulls(documents):
     text = " ".join(f"t{i}" for i in range(60))
     rows = [(5, text), (5, text), (3, text), (8, text + " end"), (None, text), (9, None), (9, None)]

@@ -4,8 +4,8 @@ Texts are sets of ``SHINGLE`` consecutive words (a text of fewer words is one sh
 ``DEPTH`` min-hashes each. Two texts of similarity s share a prefix of length d in some trie with probability
 ``1 - (1 - s^d)^TREES``. The join starts at full depth and shortens the matched prefix step by step: each step brings the
 pairs whose longest common prefix over all tries is just that long, so no pair comes twice. Pairs whose signatures agree
-enough are verified exactly on their shingle sets. From the verified similarities the share of pairs found so far is
-estimated; the prefix is shortened until the estimate reaches ``TARGET`` or ``SHORTEST`` is reached.
+enough are verified exactly on their shingle sets. The prefix is shortened until a pair of the least similarity that counts
+is found with the chance ``TARGET``, whatever the similarities of other pairs are (see :func:`recall`).
 
 Texts with equal shingle sets form one class, and only its member of the smallest id enters the tries. Tries' buckets are
 cut into blocks of ``BLOCK`` members, and pairs of blocks are worked on by different tasks.
@@ -30,8 +30,8 @@ from tidemark.llm.components import components
 from tidemark.session import materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
-TREES, DEPTH, SHORTEST = 24, 8, 5
-TARGET = 0.999
+TREES, DEPTH = 24, 8
+TARGET = 0.9999
 BLOCK = 512
 SLACK = 3.0          # standard deviations that an estimate may fall short by before the pair is given up
 PAIRS_AT_ONCE = 1 << 16
@@ -40,6 +40,15 @@ _FACTORS = (np.random.default_rng(1).integers(0, 1 << 62, TREES * DEPTH, np.uint
 Batches = Iterator[pa.RecordBatch]
 
 
+def recall(depth: int) -> float:
+    """Chance that two texts of similarity ``SIMILARITY`` share a prefix of ``depth`` or more in some trie."""
+    return 1 - (1 - SIMILARITY ** depth) ** TREES
+
+
+#: The last depth that prefixes are shortened to.
+SHORTEST = next((d for d in range(DEPTH, 1, -1) if recall(d) >= TARGET), 1)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of each text in turn, and the number of the first one of each text."""
     starts, ends, first = spans.words(data, offsets)
@@ -151,8 +160,7 @@ def _members_of_pairs(depth: int):
 
 
 def _links(depth: int):
-    """Per group and member with links: their number, the smallest member reached over links of the group, and for the
-    links to larger members their number and, for each depth, the number of links that they stand for.
+    """Per group and member with links: their number, and the smallest member reached over links of the group.
 
     Links are counted where they are verified, so a group of very many links gives a row a member.
     """
@@ -167,20 +175,17 @@ def _links(depth: int):
                     both = len(np.intersect1d(one, two, assume_unique=True))
                     similarity = both / (size[i] + size[j] - both)
                     if similarity >= SIMILARITY:
-                        linked.add(*sorted((int(doc[i]), int(doc[j]))), similarity)
+                        linked.add(int(doc[i]), int(doc[j]))
             yield linked.rows()
     return run
 
 
-_LINKED = "doc long, n_links long, root long, n_larger long, likely array<double>"
-_DEPTHS = np.arange(DEPTH, SHORTEST - 1, -1)
+_LINKED = "doc long, n_links long, root long"
 
 
 class _Links:
     def __init__(self):
         self.count: Counter[int] = Counter()
-        self.larger: Counter[int] = Counter()
-        self.likely: dict[int, np.ndarray] = {}
         self.root: dict[int, int] = {}
 
     def find(self, doc: int) -> int:
@@ -188,20 +193,15 @@ class _Links:
             self.root[doc] = doc = self.root[up]
         return doc
 
-    def add(self, a: int, b: int, similarity: float) -> None:
+    def add(self, a: int, b: int) -> None:
         self.count.update((a, b))
-        self.larger[a] += 1
-        self.likely[a] = self.likely.get(a, 0.0) + 1 / (1 - (1 - similarity ** _DEPTHS) ** TREES)
         low, high = sorted((self.find(a), self.find(b)))
         self.root[high] = low
 
     def rows(self) -> pa.RecordBatch:
         docs = list(self.count)
-        columns = (docs, list(self.count.values()), [self.find(d) for d in docs], [self.larger[d] for d in docs])
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.int64()) for c in columns),
-             pa.array([self.likely.get(d, np.zeros(len(_DEPTHS))).tolist() for d in docs], pa.list_(pa.float64()))],
-            names=["doc", "n_links", "root", "n_larger", "likely"])
+        columns = (docs, list(self.count.values()), [self.find(d) for d in docs])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "n_links", "root"])
 
 
 def _with_sets(batches: Batches) -> Batches:
@@ -247,10 +247,6 @@ def links(docs: DataFrame, members: DataFrame, id_column: str, text: str) -> Dat
         new = materialize(_grouped(paired.join(texts, "doc").select(*paired.columns, "text")).mapInArrow(
             _links(depth), _LINKED), "links")
         found = new if found is None else found.unionByName(new)
-        # how many links those found so far stand for, by the chance of each to be found down to this depth
-        seen = found.agg(F.sum("n_larger").alias("n"), F.sum(F.get("likely", F.lit(DEPTH - depth))).alias("likely")).first()
-        if seen["n"] and seen["n"] >= TARGET * seen["likely"]:
-            break
     return found
 
 

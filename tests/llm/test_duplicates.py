@@ -182,6 +182,11 @@ def test_close_copies_take_no_links_from_other_pairs(documents):
     assert not unpaired(documents(borderline(rng, 400) + hot), 400)
 
 
+def test_pairs_whose_signatures_agree_less_are_verified(documents):
+    assert forest.given_up() < 1e-6 and forest.recall(forest.SHORTEST) >= forest.TARGET
+    assert not unpaired(documents(borderline(random.Random(12), 2000)), 2000)
+
+
 def test_similar_with_ties_and_nulls(documents):
     text = " ".join(f"t{i}" for i in range(60))
     rows = [(5, text), (5, text), (3, text), (8, text + " end"), (None, text), (9, None), (9, None)]

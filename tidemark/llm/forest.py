@@ -33,16 +33,28 @@ SHINGLE, SIMILARITY = 5, 0.8
 TREES, DEPTH = 24, 8
 TARGET = 0.9999
 BLOCK = 512
-SLACK = 3.0          # standard deviations that an estimate may fall short by before the pair is given up
+SLACK = 6.0          # standard deviations that an estimate may fall short by before the pair is given up
 PAIRS_AT_ONCE = 1 << 16
 _FACTORS = (np.random.default_rng(1).integers(0, 1 << 62, TREES * DEPTH, np.uint64) << np.uint64(1)) + np.uint64(1)
 
 Batches = Iterator[pa.RecordBatch]
 
 
+#: The least share of equal min-hashes (without those equal by chance in a byte) of pairs to verify.
+LEAST_SHARE = SIMILARITY - SLACK * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (TREES * DEPTH))
+
+
+def given_up() -> float:
+    """Chance that the signatures of two texts of similarity ``SIMILARITY`` agree in too few places."""
+    n, equal = TREES * DEPTH, SIMILARITY + (1 - SIMILARITY) / 256
+    least = math.ceil((LEAST_SHARE * (1 - 1 / 256) + 1 / 256) * n)
+    return sum(math.comb(n, k) * equal ** k * (1 - equal) ** (n - k) for k in range(least))
+
+
 def recall(depth: int) -> float:
-    """Chance that two texts of similarity ``SIMILARITY`` share a prefix of ``depth`` or more in some trie."""
-    return 1 - (1 - SIMILARITY ** depth) ** TREES
+    """Least chance that a pair of similarity ``SIMILARITY`` shares a prefix of ``depth`` or more in some trie and is
+    verified."""
+    return 1 - (1 - SIMILARITY ** depth) ** TREES - given_up()
 
 
 #: The last depth that prefixes are shortened to.
@@ -123,7 +135,6 @@ def _near_pairs(table: pa.Table, borders: np.ndarray, depth: int) -> Iterator[tu
     cross = (table.column("low").to_numpy() != table.column("high").to_numpy())
     tree, size = table.column("tree").to_numpy(), table.column("size").to_numpy()
     held = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(doc), TREES, DEPTH)
-    off = math.sqrt(SIMILARITY * (1 - SIMILARITY) / (TREES * DEPTH))
     row = np.arange(len(doc))
     counts = np.repeat(borders[1:], np.diff(borders)) - row - 1
     begin = 0
@@ -140,7 +151,7 @@ def _near_pairs(table: pa.Table, borders: np.ndarray, depth: int) -> Iterator[tu
         if depth < DEPTH:
             new &= ~same[:, :, :depth + 1].all(axis=2).any(axis=1)
         share = (same.mean(axis=(1, 2)) - 1 / 256) / (1 - 1 / 256)
-        near = new & (share >= SIMILARITY - SLACK * off)
+        near = new & (share >= LEAST_SHARE)
         yield left[near], right[near]
 
 

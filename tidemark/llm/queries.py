@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, contamination, forest, language, lines, maxent, outliers, quotes, simple8b, sql, substring
+from tidemark.llm import (
+    bpe,
+    contamination,
+    forest,
+    language,
+    lines,
+    maxent,
+    outliers,
+    quotes,
+    simple8b,
+    sql,
+    substring,
+    whitening,
+)
 from tidemark.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +104,14 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(documents(spark, sf_dir))
 
 
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    return found.select("vec_id", "n", "deviation", "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "found")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("found.whitened").alias("whitened"),
+        F.col("found.explained").alias("explained"), "identity_error")
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
         "op1_language_model": language_model,
@@ -103,6 +124,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": byte_bpe,
         "op9_languages": languages,
         "op10_similar_documents": similar_documents,
+        "op12_whitened": whitened,
     }
     return {name: _ready(query) for name, query in plain.items()}
 

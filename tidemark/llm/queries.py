@@ -17,6 +17,7 @@ from tidemark.llm import (
     maxent,
     outliers,
     quotes,
+    repair,
     simple8b,
     sql,
     substring,
@@ -104,6 +105,10 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(documents(spark, sf_dir))
 
 
+def repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.repair(repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
 def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
     return found.select("vec_id", "n", "deviation", "identity_error",
@@ -124,6 +129,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": byte_bpe,
         "op9_languages": languages,
         "op10_similar_documents": similar_documents,
+        "op11_repaired": repaired,
         "op12_whitened": whitened,
     }
     return {name: _ready(query) for name, query in plain.items()}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     bpe,
     contamination,
+    factors,
     forest,
     language,
     lines,
@@ -117,6 +118,11 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("found.explained").alias("explained"), "identity_error")
 
 
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factors.classify(documents(spark, sf_dir, "doc_id", "text", "n_chars"),
+                            spark.read.parquet(f"{sf_dir}/labels.parquet")).select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
         "op1_language_model": language_model,
@@ -131,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op10_similar_documents": similar_documents,
         "op11_repaired": repaired,
         "op12_whitened": whitened,
+        "op13_classified": classified,
     }
     return {name: _ready(query) for name, query in plain.items()}
 

@@ -29,23 +29,20 @@ def exact_avg(amount: Column, scale: int, digits: int) -> Column:
     return mean.cast(f"decimal({digits + 10},{digits})")
 
 
-def _held_exactly(amount: Column, scale: int) -> Column:
-    beyond = F.abs(amount) >= F.lit(Decimal(10) ** (EXACT_DIGITS - scale))
-    error = F.raise_error(F.concat(F.lit(f"more than {EXACT_DIGITS} digits: "), amount.cast("string")))
-    return F.when(beyond, error.cast(f"decimal({EXACT_DIGITS},{scale})")).otherwise(amount)
-
-
 def exact_sum(amount: Column, scale: int) -> Column:
     """Sum of a decimal of at most 15 digits and ``scale`` places, exact, as ``decimal(22, scale)``.
 
-    An amount of more digits is an error, as a double could no longer hold it.
+    An amount of more digits is an error, as a double could no longer hold it; that is looked at once per group, not per row.
 
     A plain sum of such a decimal keeps a 22-digit total, which costs an object per row. Here each amount is counted
     in whole units of its last digit, which a double holds exactly, and the high and low bits are added up in a long
     each. That is good for 2^43 rows, however the rows are spread over the groups.
     """
-    units = F.floor(_held_exactly(amount, scale).cast("double") * 10**scale + 0.5)
+    units = F.floor(amount.cast("double") * 10**scale + 0.5)
     high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    total = high * F.lit(Decimal(1 << _LOW_BITS)) + low
-    return (total.cast("decimal(30,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(22,{scale})")
+    total = (high * F.lit(Decimal(1 << _LOW_BITS)) + low).cast("decimal(30,0)") * F.lit(Decimal(1).scaleb(-scale))
+    largest = F.max(F.abs(units))
+    error = F.raise_error(F.concat(F.lit(f"more than {EXACT_DIGITS} digits: "), largest.cast("string"), F.lit(f" / 10^{scale}")))
+    return F.when(largest >= F.lit(10**EXACT_DIGITS), error.cast(f"decimal(22,{scale})")).otherwise(
+        total.cast(f"decimal(22,{scale})"))

@@ -102,45 +102,71 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
     )
 
 
-def customer_order_totals(orders: DataFrame) -> DataFrame:
-    """One row per customer. Channel and region are the alphabetically largest, not the most frequent.
+_COUNTS = ("total_orders", "completed_orders", "returned_orders", "cancelled_orders", "completed_amounts")
+_AMOUNTS = ("lifetime_revenue_usd", "lifetime_gross_profit_usd")
+
+
+def _gathered(orders: DataFrame, *by: str) -> DataFrame:
+    """Figures of the orders by channel and region.
 
     Spark's hash aggregate keeps fixed-width values only, and a text maximum is none. So the rows of a customer are first
     brought together per channel and region, which combines them in a hash map before the shuffle (a customer with very
     many orders costs a row per task, channel and region); the few rows left per customer then give the maxima.
     """
-    # What a completed order recognizes is its amount, so the average needs no sum of its own.
-    completed_amounts = F.count(F.when(F.col("is_completed"), F.col("order_amount_usd")))
-    parts = orders.groupBy("customer_id", "order_channel", "region").agg(
+    return orders.groupBy(*by, "order_channel", "region").agg(
         F.count("order_id").alias("total_orders"),
         F.count(F.when(F.col("is_completed"), F.col("order_id"))).alias("completed_orders"),
         F.count(F.when(F.col("is_returned"), F.col("order_id"))).alias("returned_orders"),
         F.count(F.when(F.col("is_cancelled"), F.col("order_id"))).alias("cancelled_orders"),
+        # What a completed order recognizes is its amount, so the average needs no sum of its own.
+        F.count(F.when(F.col("is_completed"), F.col("order_amount_usd"))).alias("completed_amounts"),
         exact_sum(F.col("recognized_revenue_usd"), 2).alias("lifetime_revenue_usd"),
         exact_sum(F.col("gross_profit_usd"), 2).alias("lifetime_gross_profit_usd"),
-        completed_amounts.alias("completed_amounts"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
-    counts = ("total_orders", "completed_orders", "returned_orders", "cancelled_orders", "completed_amounts")
-    amounts = ("lifetime_revenue_usd", "lifetime_gross_profit_usd")
-    return parts.groupBy("customer_id").agg(
-        *[F.sum(c).alias(c) for c in counts],
-        *[F.sum(c).cast("decimal(22,2)").alias(c) for c in amounts],
+
+
+def _merged(parts: DataFrame, *by: str) -> DataFrame:
+    """Parts added up; nothing in them has to be taken back when a part is replaced, so they can be merged in any order."""
+    return parts.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in _COUNTS],
+        *[F.sum(c).cast("decimal(22,2)").alias(c) for c in _AMOUNTS],
         F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"),
-        F.max("order_channel").alias("preferred_channel"),
-        F.max("region").alias("primary_region"),
-    ).withColumn(
-        "avg_order_value_usd",
-        (F.col("lifetime_revenue_usd") / null_if_zero(F.col("completed_amounts"))).cast("decimal(16,6)"),
-    ).drop("completed_amounts")
+        F.max("order_channel").alias("order_channel"),
+        F.max("region").alias("region"),
+    )
+
+
+def customer_order_parts(orders: DataFrame) -> DataFrame:
+    """One row per customer and month of orders, from which :func:`customer_totals` makes the totals."""
+    month = F.date_format("order_date", "yyyy-MM").alias("order_month")
+    return _merged(_gathered(orders.select("*", month), "customer_id", "order_month"), "customer_id", "order_month")
+
+
+def customer_totals(parts: DataFrame) -> DataFrame:
+    """One row per customer from parts. Channel and region are the alphabetically largest, not the most frequent."""
+    average = F.col("lifetime_revenue_usd") / null_if_zero(F.col("completed_amounts"))
+    return _merged(parts, "customer_id").withColumnsRenamed(
+        {"order_channel": "preferred_channel", "region": "primary_region"}).withColumn(
+        "avg_order_value_usd", average.cast("decimal(16,6)")).drop("completed_amounts")
+
+
+def customer_order_totals(orders: DataFrame) -> DataFrame:
+    """One row per customer, straight from the orders."""
+    return customer_totals(_gathered(orders, "customer_id"))
 
 
 def int_customer_360(customers: DataFrame, orders: DataFrame, as_of: dt.date | None = None,
                      run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per customer, with or without orders; no personal data."""
-    totals = customer_order_totals(orders)
+    return customer_view(customers, customer_order_totals(orders), as_of, run_ts)
+
+
+def customer_view(customers: DataFrame, totals: DataFrame, as_of: dt.date | None = None,
+                  run_ts: dt.datetime | None = None) -> DataFrame:
+    """:func:`int_customer_360` from the totals of each customer."""
     recency = days_between(F.col("last_order_date"), today_or(as_of))
     revenue = F.coalesce(F.col("lifetime_revenue_usd"), F.lit(0))
 
@@ -165,19 +191,19 @@ def int_customer_360(customers: DataFrame, orders: DataFrame, as_of: dt.date | N
     )
 
 
-def customer_360_of(touched: DataFrame, customers: DataFrame, orders: DataFrame, as_of: dt.date | None = None,
+def customer_360_of(touched: DataFrame, customers: DataFrame, parts: DataFrame, as_of: dt.date | None = None,
                     run_ts: dt.datetime | None = None) -> DataFrame:
-    """The customer view of some customers only; ``touched`` holds each id once and should be stored.
+    """The customer view of some customers only, from stored parts; ``touched`` holds each id once and should be stored.
 
-    Few ids are broadcast and filter the orders before they are aggregated. Too many for that: all orders are
-    aggregated, which combines before the shuffle and so does not mind a customer with very many orders.
+    Few ids are broadcast and filter the parts before they are merged. Too many for that: all parts are merged, which
+    combines before the shuffle.
     """
     if fits_broadcast(touched):
-        theirs = orders.join(F.broadcast(touched), "customer_id", "left_semi")
+        theirs = parts.join(F.broadcast(touched), "customer_id", "left_semi")
         profiles = customers.join(F.broadcast(touched), "customer_id", "left_semi")
-        return int_customer_360(profiles, theirs, as_of, run_ts)
+        return customer_view(profiles, customer_totals(theirs), as_of, run_ts)
     # An inner join with distinct ids, as a semi join would be pushed back below the aggregate.
-    return int_customer_360(customers, orders, as_of, run_ts).join(touched, "customer_id")
+    return customer_view(customers, customer_totals(parts), as_of, run_ts).join(touched, "customer_id")
 
 
 def fct_orders(enriched: DataFrame) -> DataFrame:

@@ -17,6 +17,10 @@ def _amount_of(kind: str) -> Column:
 
 def int_finance_daily(transactions: DataFrame) -> DataFrame:
     """One row per day and currency. Refund amounts are positive, and ``net_revenue_usd`` adds them as they are."""
+    return _daily(transactions)
+
+
+def _daily(transactions: DataFrame, *more: Column) -> DataFrame:
     count, reconciled = F.count("transaction_id"), F.count_if(F.col("is_reconciled"))
     return transactions.groupBy(F.col("transaction_date").alias("rate_date"), "currency_code").agg(
         exact_avg(F.col("fx_rate"), 6, 10).cast("decimal(14,10)").alias("fx_rate"),
@@ -26,9 +30,29 @@ def int_finance_daily(transactions: DataFrame) -> DataFrame:
         exact_sum(F.col("amount_usd"), 4).alias("net_revenue_usd"),
         reconciled.alias("reconciled_count"),
         (count - reconciled).alias("unreconciled_count"),
+        *more,
     )
 
 
+#: Hidden columns of the stored daily figures: what tells whether any transaction of a day and currency is another.
+DIGESTS = ("__rows_xor", "__rows_sum")
+
+
+def daily_state(transactions: DataFrame) -> DataFrame:
+    """:func:`int_finance_daily` with digests over all columns of the transactions but the run stamp."""
+    columns = [c for c in transactions.columns if c != "_dbt_loaded_at"]
+    row = F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
+    return _daily(transactions, F.bit_xor(row).alias(DIGESTS[0]),
+                  # equal rows cancel out above, and count here; 24 bits each are good for 2^39 rows
+                  F.sum(row.bitwiseAND(F.lit((1 << 24) - 1))).alias(DIGESTS[1]))
+
+
+def changed_days(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Distinct ``rate_date`` of the daily states that differ in anything; a day that came or went is one too."""
+    sides = before.withColumn("__side", F.lit(-1)).unionByName(after.withColumn("__side", F.lit(1)))
+    return sides.groupBy(*before.columns).agg(F.sum("__side").alias("__side")).where("__side <> 0").select("rate_date").distinct()
+
+
 def fct_transactions(transactions: DataFrame, daily: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per transaction with the figures of its day and currency.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup
 from tidemark.operators.quality import Check, check_relations
-from tidemark.operators.tables import Partitioning, Table
+from tidemark.operators.tables import NULL_PARTITION, Partitioning, Table
 from tidemark.plans import commerce, finance, semantic, staging
 from tidemark.plans.checks import DEFAULT_CHECKS
 from tidemark.session import materialize, temporary
@@ -37,8 +37,18 @@ VIEW_NAMESPACES = {
     "sem_finance_summary": "finance_semantic",
 }
 
+# State behind the relations, brought up to date with them: figures per customer and month of orders.
+STATE = {"customer_order_parts": "state"}
+
 CUSTOMERS_PER_BUCKET = 100_000     # from which the number of buckets follows when the table is first written
 ORDER_MONTH = "date_format(order_date, 'yyyy-MM')"
+PARTITIONS = {
+    "int_orders_enriched": Partitioning("order_month", ORDER_MONTH),
+    "customer_order_parts": Partitioning("part_month", "order_month"),
+    "fct_orders": Partitioning("fact_month", ORDER_MONTH),
+    "fct_transactions": Partitioning("fact_month", "date_format(transaction_date, 'yyyy-MM')"),
+}
+DAILY = "int_finance_daily"
 
 
 class Warehouse:
@@ -69,11 +79,11 @@ class Warehouse:
     # -- relations -------------------------------------------------------------------------------------------
 
     def table(self, name: str) -> Table:
-        table = Table(self.spark, f"{self.root}/{TABLES[name]}/{name}")
-        if name == "int_orders_enriched":
-            table.partitioning = Partitioning("order_month", ORDER_MONTH)
-        elif name == "int_customer_360":
+        table = Table(self.spark, f"{self.root}/{(TABLES | STATE)[name]}/{name}", PARTITIONS.get(name))
+        if name == "int_customer_360":
             table.partitioning = self._customer_partitioning(table)
+        elif name == "dummy_test":
+            table.partitioning = table.stored_partitioning()
         return table
 
     def _customer_partitioning(self, table: Table) -> Partitioning:
@@ -137,15 +147,15 @@ class Warehouse:
             self.refresh_finance_daily()
             self.refresh_orders(full_refresh)
             self.refresh_customers(full_refresh)
-            self.rebuild_star_schema()
+            self.refresh_star_schema(full_refresh)
 
     def expire(self, keep: int = 2) -> None:
         """Delete what only snapshots before the last ``keep`` of each table name."""
-        for name in TABLES:
+        for name in (*TABLES, *STATE):
             self.table(name).expire(keep)
 
     def refresh_finance_daily(self) -> None:
-        self.table("int_finance_daily").overwrite(finance.int_finance_daily(self.stg_transactions()))
+        self.table(DAILY).overwrite(finance.daily_state(self.stg_transactions()))
 
     def refresh_orders(self, full_refresh: bool = False) -> None:
         """Orders dated on or after the latest day in the table; all of them on the first run or a full refresh.
@@ -154,15 +164,23 @@ class Warehouse:
         """
         table = self.table("int_orders_enriched")
         if full_refresh or not table.exists():
-            table.overwrite(self._enriched(self.stg_orders()))
+            table.overwrite(self._enriched(self.stg_orders()), key="order_id")
             return
         latest = table.max_of("order_date", latest_partition_only=True)
         if latest is not None:
             self.upsert_orders(self.stg_orders().where(F.col("order_date") >= F.lit(latest)))
 
-    def upsert_orders(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> None:
-        """Enrich staged orders and replace or add them by order id."""
-        self.table("int_orders_enriched").upsert(self._enriched(orders, sides), "order_id")
+    def upsert_orders(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None,
+                      versions: DataFrame | None = None) -> DataFrame | None:
+        """Enrich staged orders and replace or add them by order id.
+
+        ``versions`` has the ``order_id`` of each, with ``VERSION`` and ``DIGEST``: see :meth:`Table.upsert`, also for what
+        is returned.
+        """
+        enriched = self._enriched(orders, sides)
+        if versions is not None:
+            enriched = enriched.join(versions, "order_id")
+        return self.table("int_orders_enriched").upsert(enriched, "order_id")
 
     def stored_sides(self) -> tuple[DataFrame, DataFrame]:
         """Staged customers and products, computed once and stored."""
@@ -171,44 +189,85 @@ class Warehouse:
     def refresh_customers(self, full_refresh: bool = False) -> None:
         """Customers with an order written since the table's last run; all of them on the first run or a full refresh.
 
-        Other customers, new ones without orders included, stay as they are. Written orders are looked for only in the
-        partitions that were rewritten since.
+        Other customers, new ones without orders included, stay as they are. Of the orders, only the partitions that were
+        rewritten since are read: for the customers in them, and to replace the figures of these months, from which the
+        totals of a customer are merged.
         """
         table, order_table = self.table("int_customer_360"), self.table("int_orders_enriched")
-        customers, orders, loads = self.stg_customers(), order_table.read(), order_table.loads()
-        if full_refresh or not table.exists():
-            table.overwrite(commerce.int_customer_360(customers, orders, self.as_of, self.run_ts), loads)
+        parts = self.table("customer_order_parts")
+        customers, loads = self.stg_customers(), order_table.loads()
+        first = full_refresh or not table.exists()
+        last_run = None if first else table.max_of("_dbt_updated_at")
+        if not first and last_run is None:
             return
-        last_run = table.max_of("_dbt_updated_at")
-        if last_run is None:
+        if full_refresh or not _follows(parts):
+            parts.overwrite(commerce.customer_order_parts(order_table.read()), loads)
+        stale = _moved(loads, table.seen()) if not first else []
+        months = sorted({*_moved(loads, parts.seen()), *stale})
+        rewritten = order_table.read(months)
+        parts.replace(months, commerce.customer_order_parts(rewritten), loads)
+        if first:
+            totals = commerce.customer_totals(parts.read())
+            table.overwrite(commerce.customer_view(customers, totals, self.as_of, self.run_ts), loads)
             return
-        seen = table.seen()
-        rewritten = order_table.read([p for p, load in loads.items() if seen.get(p) != load])
-        recent = rewritten.where((F.col("_dbt_updated_at") >= F.lit(last_run)) & F.col("customer_id").isNotNull())
+        recent = rewritten.where(F.expr(f"{ORDER_MONTH} IN ({_listed(stale)})" if stale else "false")
+                                 | (F.lit(NULL_PARTITION in stale) & F.col("order_date").isNull()))
+        recent = recent.where((F.col("_dbt_updated_at") >= F.lit(last_run)) & F.col("customer_id").isNotNull())
         touched = materialize(recent.select("customer_id").distinct(), "touched_customers")
-        table.upsert(commerce.customer_360_of(touched, customers, orders, self.as_of, self.run_ts), "customer_id", loads)
+        table.upsert(commerce.customer_360_of(touched, customers, parts.read(), self.as_of, self.run_ts), "customer_id", loads)
 
-    def rebuild_star_schema(self) -> None:
+    def refresh_star_schema(self, full_refresh: bool = False) -> None:
+        """The customer dimension, and the facts: of those, the months whose orders, or whose transactions, are others."""
         self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360"), self.run_ts))
-        self._rebuild_facts(self.relation("int_finance_daily"))
+        self._refresh_order_facts(full_refresh)
+        self._refresh_transaction_facts(full_refresh)
+
+    def _refresh_order_facts(self, full_refresh: bool = False) -> None:
+        """Months whose partition of orders is another one than when the fact was last written."""
+        fact, orders = self.table("fct_orders"), self.table("int_orders_enriched")
+        loads = orders.loads()
+        if full_refresh or not _follows(fact):
+            fact.overwrite(commerce.fct_orders(orders.read()), loads)
+            return
+        months = _moved(loads, fact.seen())
+        if months:
+            fact.replace(months, commerce.fct_orders(orders.read(months)), loads)
+
+    def _refresh_transaction_facts(self, full_refresh: bool = False) -> None:
+        """Months with a day whose stored figures or digests are others than when the fact was last written."""
+        fact, daily = self.table("fct_transactions"), self.table(DAILY)
+        number, seen = daily.number(), int(fact.seen().get(DAILY, 0))
+        seen_now = {DAILY: str(number)}
+        if full_refresh or not _follows(fact) or seen not in daily.numbers():
+            fact.overwrite(self._transaction_facts(self.stg_transactions()), seen_now)
+        elif seen != number:
+            days = finance.changed_days(daily.read_at(seen, hidden=True), daily.read_at(number, hidden=True))
+            month = F.date_format("rate_date", "yyyy-MM")
+            found = [row[0] for row in days.select(month).distinct().collect()]        # months
+            months = [NULL_PARTITION if m is None else m for m in found]
+            theirs = F.date_format("transaction_date", "yyyy-MM").isin([m for m in found if m is not None])
+            if None in found:
+                theirs = theirs | F.col("transaction_date").isNull()
+            if months:
+                fact.replace(months, self._transaction_facts(self.stg_transactions().where(theirs)), seen_now)
+        copy = self.table("dummy_test")
+        if copy.loads() != _named_by_copy(fact):
+            copy.copy_of(fact)
 
-    def _rebuild_facts(self, daily: DataFrame) -> None:
-        transactions = finance.fct_transactions(self.stg_transactions(), daily, self.run_ts)
-        self.table("fct_orders").overwrite(commerce.fct_orders(self.relation("int_orders_enriched")))
-        self.table("fct_transactions").overwrite(transactions)
-        self.table("dummy_test").overwrite(finance.dummy_test(self.relation("fct_transactions")))
+    def _transaction_facts(self, transactions: DataFrame) -> DataFrame:
+        return finance.fct_transactions(transactions, self.relation(DAILY), self.run_ts)
 
     def restate_rates(self) -> None:
-        """Rebuild the daily rates, reprice the stored orders whose rate changed, appeared or went away, and rebuild the
-        fact tables on them.
+        """Rebuild the daily rates, reprice the stored orders whose rate changed, appeared or went away, and bring the fact
+        tables that are there up to date with them.
 
-        Orders are taken as they are stored, whether or not the feed still has them. The daily rates are stored last, so
-        that a run that fails before can simply be repeated.
+        Orders are taken as they are stored, whether or not the feed still has them. The daily rates are stored after the
+        orders, and the facts know what they were made from, so that a run that fails can simply be repeated.
         """
         with temporary(self.spark):
             day_and_currency = ["rate_date", "currency_code"]
-            daily = materialize(finance.int_finance_daily(self.stg_transactions()), "int_finance_daily")
-            before = self.relation("int_finance_daily").select(*day_and_currency, F.col("fx_rate").alias("rate_before"))
+            daily = materialize(finance.daily_state(self.stg_transactions()), DAILY)
+            before = self.relation(DAILY).select(*day_and_currency, F.col("fx_rate").alias("rate_before"))
             after = daily.select(*day_and_currency, F.col("fx_rate").alias("rate_after"))
             changed = materialize(
                 before.join(after, day_and_currency, "full_outer")
@@ -223,16 +282,36 @@ class Warehouse:
                 affected = lookup(orders.read(months), dated, ["order_date", "currency_code"], spread="order_id", how="inner")
                 repriced = commerce.repriced(affected, F.col("new_rate"), self.run_ts)
                 orders.upsert(repriced.drop("new_rate"), "order_id")
+            self.table(DAILY).overwrite(daily)
             if self.table("fct_orders").exists():
-                self._rebuild_facts(daily)
-            self.table("int_finance_daily").overwrite(daily)
+                self._refresh_order_facts()
+            if self.table("fct_transactions").exists():
+                self._refresh_transaction_facts()
 
     def _enriched(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
         customers, products = self.stored_sides() if sides is None else sides
-        return commerce.int_orders_enriched(orders, customers, products, self.relation("int_finance_daily"), self.run_ts)
+        return commerce.int_orders_enriched(orders, customers, products, self.relation(DAILY), self.run_ts)
 
     # -- checks ----------------------------------------------------------------------------------------------
 
     def check(self, checks: dict[str, list[Check]] | None = None) -> DataFrame:
         checks = DEFAULT_CHECKS if checks is None else checks
         return check_relations({name: self.relation(name) for name in checks}, checks)
+
+
+def _moved(loads: dict[str, str], seen: dict[str, str]) -> list[str]:
+    """Partitions that are other loads than those seen, or are gone."""
+    return sorted(p for p in {*loads, *seen} if loads.get(p) != seen.get(p))
+
+
+def _follows(table: Table) -> bool:
+    """Whether a table can be brought up to date partition by partition."""
+    return table.exists() and table.stored_partitioning() == table.partitioning
+
+
+def _named_by_copy(source: Table) -> dict[str, str]:
+    return {p: f"@{source.path}/data/load={load}" for p, load in source.loads().items()}
+
+
+def _listed(names: list[str]) -> str:
+    return ", ".join(f"'{name}'" for name in names)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
+from tidemark.operators.tables import DIGEST, VERSION
 from tidemark.plans import staging
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import materialize
@@ -26,14 +27,22 @@ def latest_versions(orders: DataFrame, sequence: str = SEQUENCE) -> tuple[DataFr
     return ties.where("__n = 1").drop("__n"), ties.where("__n > 1").drop("__n")
 
 
+def _digest(orders: DataFrame, sequence: str) -> Column:
+    columns = sorted(c for c in orders.columns if c != sequence)
+    return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
+
+
 def stream_orders(warehouse: Warehouse, raw_orders: DataFrame, checkpoint: str, sequence: str | None = None,
                   conflicts: str | None = None) -> StreamingQuery:
     """Upsert each micro-batch of raw orders by order id and stop when the input is used up.
 
     A batch that is replayed after a failure replaces its own rows, so the table comes out the same. With ``sequence``
-    (a column of the feed that grows with time, such as the time its file was written), the last version of an order in
-    a batch counts; versions that tie but differ go to Parquet files under ``conflicts``, one folder per batch, and the
-    order is left as it was. Without it, an order may come only once in a batch.
+    (a column of the feed that grows with time, such as the time its file was written), the last version of an order
+    counts, in whatever batch it comes: the version is stored with the order, and an older one, or one seen before, changes
+    nothing later on. Versions that tie but differ go to Parquet files under ``conflicts``, one folder per batch, and the
+    order is left as it was. Without ``sequence``, an order may come only once in a batch, and the last batch wins.
+
+    An order written by a batch run keeps the version it had, if any; one without a version is replaced by any.
     """
     sides = warehouse.stored_sides()
 
@@ -41,12 +50,17 @@ def stream_orders(warehouse: Warehouse, raw_orders: DataFrame, checkpoint: str,
         if sequence is None:
             warehouse.upsert_orders(staging.stg_orders(batch), sides=sides)
             return
-        last, tied = latest_versions(materialize(batch, "batch"), sequence)
+        arrived = materialize(batch.where(F.col("order_id").isNotNull()), "batch")
+        last, tied = latest_versions(arrived, sequence)
+        versions = last.select(F.col("order_id").cast("string").alias("order_id"), F.col(sequence).alias(VERSION),
+                               _digest(last, sequence).alias(DIGEST))
+        unclear = warehouse.upsert_orders(staging.stg_orders(last.drop(sequence)), sides, versions)
+        if unclear is not None:
+            tied = tied.unionByName(last.join(unclear.select("order_id"), "order_id", "left_semi"))
         if conflicts is not None:
             tied.write.mode("overwrite").parquet(f"{conflicts}/batch={number}")
         elif not tied.isEmpty():
             raise ValueError("versions of an order tie; give a folder for conflicts")
-        warehouse.upsert_orders(staging.stg_orders(last.drop(sequence)), sides=sides)
 
     return (raw_orders.writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -9,7 +9,7 @@ import datetime as dt
 import importlib.util
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle.sql import statement
@@ -215,14 +215,14 @@ def _customer_360_upsert(spark, sf_dir):
     return now.relation("int_customer_360")
 
 
-def _restated(spark, sf_dir) -> Warehouse:
-    """A warehouse whose rates were raised after it was built."""
+def _restated(spark, sf_dir, *facts: str) -> Warehouse:
+    """A warehouse whose rates were raised after it was built, with some of the fact tables."""
     feeds = retail_tables.feeds(spark, sf_dir, typed_dates=True)
     root = work_path(spark, "warehouse")
     before = Warehouse(spark, root, feeds, AS_OF)
     before.refresh_finance_daily()
     before.refresh_orders()
-    before.table("fct_orders").overwrite(commerce.fct_orders(before.relation("int_orders_enriched")))
+    before.refresh_facts(*facts)
     day = F.col("transaction_date")
     restated = (F.col("is_reconciled") == "true") & (day >= RESTATED_FROM) & (day < "3")
     transactions = feeds["raw_transactions"].withColumn(
@@ -234,11 +234,15 @@ def _restated(spark, sf_dir) -> Warehouse:
 
 
 def _fx_restatement(spark, sf_dir):
-    return _restated(spark, sf_dir).relation("int_orders_enriched")
+    return _restated(spark, sf_dir, "fct_orders").relation("int_orders_enriched")
 
 
 def _fx_restatement_facts(spark, sf_dir):
-    return _restated(spark, sf_dir).relation("fct_orders")
+    return _restated(spark, sf_dir, "fct_orders").relation("fct_orders")
+
+
+def _fx_restatement_transactions(spark, sf_dir):
+    return _restated(spark, sf_dir, "fct_transactions").relation("dummy_test")
 
 
 def _schema_evolution(spark, sf_dir):
@@ -253,24 +257,52 @@ def _schema_evolution(spark, sf_dir):
     return table.read()
 
 
-def _orders_stream(spark, sf_dir):
-    """All orders arrive in two files, one a micro-batch, each order first as pending and then as it is; every seventh
-    order comes again in the second file."""
+def _orders_change_feed(spark, sf_dir):
+    """What an incremental run of the orders changed in their table."""
+    then, now = _with_history(spark, sf_dir)
+    _load_history(then, now)
+    table = now.table("int_orders_enriched")
+    since = table.number()
+    now.refresh_orders()
+    return table.changes(since, "order_id", ignore=STAMPS)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, deliver: Callable[[DataFrame, DataFrame], list[DataFrame]]) -> DataFrame:
+    """Orders that arrive in deliveries of many files, each as pending (1) and as it is (2), after a history was loaded.
+
+    The stream is started anew for each delivery and goes on from its checkpoint."""
     then, now = _with_history(spark, sf_dir)
     _load_history(then, now)
     feed = retail_tables.raw_orders(spark, sf_dir, typed_dates=True)
     final = feed.withColumn(SEQUENCE, F.lit(2))
     first = feed.withColumns({"status": F.lit("pending"), SEQUENCE: F.lit(1)})
-    folder, late = work_path(spark, "arriving"), F.col("order_id").cast("long") % 7 == 0
-    first.union(final.where(~late)).coalesce(1).write.parquet(f"{folder}/number=1")
-    first.where(late).union(final.where(late)).coalesce(1).write.parquet(f"{folder}/number=2")
-    arriving = (spark.readStream.schema(final.schema).option("maxFilesPerTrigger", 1)
-                .option("recursiveFileLookup", True).parquet(folder))
-    run = stream_orders(now, arriving, work_path(spark, "stream"), SEQUENCE, work_path(spark, "conflicts"))
-    run.awaitTermination()
+    folder, checkpoint, conflicts = (work_path(spark, name) for name in ("arriving", "stream", "conflicts"))
+    for number, orders in enumerate(deliver(first, final), 1):
+        orders.write.parquet(f"{folder}/number={number}")
+        arriving = spark.readStream.schema(final.schema).option("recursiveFileLookup", True).parquet(folder)
+        stream_orders(now, arriving, checkpoint, SEQUENCE, conflicts).awaitTermination()
     return now.relation("int_orders_enriched")
 
 
+def _every(n: int) -> Column:
+    return F.col("order_id").cast("long") % n == 0
+
+
+def _orders_stream(spark, sf_dir):
+    """Each order comes as pending and then as it is, most in one delivery; every seventh comes again in a second one."""
+    late = _every(7)
+    return _streamed(spark, sf_dir, lambda first, final: [
+        first.union(final.where(~late)), first.where(late).union(final.where(late))])
+
+
+def _orders_stream_out_of_order(spark, sf_dir):
+    """Of every second order the last version comes first, and the older one only later; some come a third time."""
+    ahead = _every(2)
+    return _streamed(spark, sf_dir, lambda first, final: [
+        final.where(ahead).union(first.where(~ahead)), first.where(ahead).union(final.where(~ahead)),
+        first.where(_every(3)).union(final.where(_every(5)))])
+
+
 # -- driver contract -----------------------------------------------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -313,8 +345,11 @@ def queries() -> dict[str, Query]:
         "customer_360_upsert": _customer_360_upsert,
         "fx_restatement": _fx_restatement,
         "fx_restatement_facts": _fx_restatement_facts,
+        "fx_restatement_transactions": _fx_restatement_transactions,
         "schema_evolution_append": _schema_evolution,
         "orders_stream_upsert": _orders_stream,
+        "orders_stream_out_of_order": _orders_stream_out_of_order,
+        "orders_change_feed": _orders_change_feed,
     }
     models = {name: (_stamped if name in STAMPED else _unstamped)(query) for name, query in plain.items()}
     return {**models, **_corpus_queries()}

@@ -147,6 +147,22 @@ def _customer_360(orders: str, customers: str, as_of: str) -> str:
         GROUP BY ALL"""
 
 
+def _transaction_facts(transactions: str, daily: str) -> str:
+    return f"""
+        SELECT {_key("transaction_id")} AS transaction_sk, t.transaction_id, t.order_id, t.transaction_date,
+               CAST(year(t.transaction_date) AS INTEGER) AS transaction_year,
+               CAST(month(t.transaction_date) AS INTEGER) AS transaction_month,
+               CAST(quarter(t.transaction_date) AS INTEGER) AS transaction_quarter,
+               t.payment_method, t.transaction_type, t.gl_account, t.currency_code, t.is_reconciled, t.amount_usd,
+               t.fx_rate, t.amount_local, d.total_sales_usd AS daily_total_sales_usd,
+               d.total_refunds_usd AS daily_total_refunds_usd, d.net_revenue_usd AS daily_net_revenue_usd,
+               d.transaction_count AS daily_transaction_count,
+               CAST(if(t.transaction_type = 'sale', t.amount_usd, 0) AS DECIMAL(12,4)) AS sale_amount_usd,
+               CAST(if(t.transaction_type = 'refund', t.amount_usd, 0) AS DECIMAL(12,4)) AS refund_amount_usd
+        FROM {transactions} t
+             LEFT JOIN {daily} d ON d.rate_date = t.transaction_date AND d.currency_code = t.currency_code"""
+
+
 RELATIONS = {
     "raw_orders": _raw_orders(
         "CASE WHEN o_totalprice < 1300 THEN strftime(o_orderdate, '%Y') WHEN o_totalprice < 1500 THEN 'unknown' "
@@ -222,19 +238,7 @@ RELATIONS = {
                    AS return_rate_pct,
                true AS is_current
         FROM int_customer_360""",
-    "fct_transactions": f"""
-        SELECT {_key("transaction_id")} AS transaction_sk, t.transaction_id, t.order_id, t.transaction_date,
-               CAST(year(t.transaction_date) AS INTEGER) AS transaction_year,
-               CAST(month(t.transaction_date) AS INTEGER) AS transaction_month,
-               CAST(quarter(t.transaction_date) AS INTEGER) AS transaction_quarter,
-               t.payment_method, t.transaction_type, t.gl_account, t.currency_code, t.is_reconciled, t.amount_usd,
-               t.fx_rate, t.amount_local, d.total_sales_usd AS daily_total_sales_usd,
-               d.total_refunds_usd AS daily_total_refunds_usd, d.net_revenue_usd AS daily_net_revenue_usd,
-               d.transaction_count AS daily_transaction_count,
-               CAST(if(t.transaction_type = 'sale', t.amount_usd, 0) AS DECIMAL(12,4)) AS sale_amount_usd,
-               CAST(if(t.transaction_type = 'refund', t.amount_usd, 0) AS DECIMAL(12,4)) AS refund_amount_usd
-        FROM stg_transactions t
-             LEFT JOIN int_finance_daily d ON d.rate_date = t.transaction_date AND d.currency_code = t.currency_code""",
+    "fct_transactions": _transaction_facts("stg_transactions", "int_finance_daily"),
     "dummy_test": "SELECT * FROM fct_transactions",
     "sem_revenue_metrics": """
         SELECT order_id AS "Order ID", order_date AS "Order Date", order_year AS "Year", order_month AS "Month",
@@ -325,6 +329,7 @@ RELATIONS = {
                CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
                CAST(quarter(order_date) AS INTEGER) AS order_quarter
         FROM fx_restatement""",
+    "fx_restatement_transactions": _transaction_facts("stg_restated", "restated_daily"),
     "schema_evolution_append": f"""
         SELECT coalesce(new.order_id, old.order_id) AS order_id, coalesce(new.order_date, old.order_date) AS order_date,
                coalesce(new.order_status, old.order_status) AS order_status, old.region, new.currency_code
@@ -332,6 +337,10 @@ RELATIONS = {
              FULL JOIN (SELECT * FROM stg_dated_orders WHERE order_date >= {OVERLAP}) new USING (order_id)""",
     "orders_full_refresh": "SELECT * FROM enriched_dated",
     "orders_stream_upsert": "SELECT * FROM enriched_dated",
+    "orders_stream_out_of_order": "SELECT * FROM enriched_dated",
+    "orders_change_feed": """
+        SELECT changed.*, if(changed.order_id IN (SELECT order_id FROM enriched_history), 'update', 'insert') AS change
+        FROM (SELECT * FROM orders_upsert EXCEPT SELECT * FROM enriched_history) changed""",
 }
 
 _CHECKS = {

@@ -217,13 +217,15 @@ class Table:
             copy = SnapshotLog(self.spark, f"{note['path']}/snapshots")
             named = {load for n in copy.numbers() for load in copy.read(n)["loads"].values()}
             live |= {load.rsplit("load=", 1)[1] for load in named if load.startswith(f"{_FOREIGN}{note['of']}/data/")}
-        old = {load for n in numbers[:-keep] for load in snapshots[n]["loads"].values()}
+        old = {load for n in numbers[:-keep] for load in snapshots[n]["loads"].values() if not load.startswith(_FOREIGN)}
+        for load in old & live:
+            self._log.create(f"{load}.old", {"load": load})      # to be looked at again, once its snapshots are gone
         for n in numbers[:-keep]:
             self._log.remove(n)
-        for load in sorted(old - live):
-            if not load.startswith(_FOREIGN):
-                delete(self.spark, f"{self.path}/data/load={load}")
-                delete(self.spark, f"{self.path}/index/load={load}")
+        for load in sorted((old | {note["load"] for note in self._log.others(".old")}) - live):
+            delete(self.spark, f"{self.path}/data/load={load}")
+            delete(self.spark, f"{self.path}/index/load={load}")
+            self._log.drop(f"{load}.old")
 
     # -- snapshots -------------------------------------------------------------------------------------------
 

@@ -219,8 +219,14 @@ class Warehouse:
     def refresh_star_schema(self, full_refresh: bool = False) -> None:
         """The customer dimension, and the facts: of those, the months whose orders, or whose transactions, are others."""
         self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360"), self.run_ts))
-        self._refresh_order_facts(full_refresh)
-        self._refresh_transaction_facts(full_refresh)
+        self.refresh_facts(full_refresh=full_refresh)
+
+    def refresh_facts(self, *names: str, full_refresh: bool = False) -> None:
+        """Bring fact tables up to date (none named: both); the copy of the transactions goes with them."""
+        if not names or "fct_orders" in names:
+            self._refresh_order_facts(full_refresh)
+        if not names or "fct_transactions" in names:
+            self._refresh_transaction_facts(full_refresh)
 
     def _refresh_order_facts(self, full_refresh: bool = False) -> None:
         """Months whose partition of orders is another one than when the fact was last written."""
@@ -283,10 +289,9 @@ class Warehouse:
                 repriced = commerce.repriced(affected, F.col("new_rate"), self.run_ts)
                 orders.upsert(repriced.drop("new_rate"), "order_id")
             self.table(DAILY).overwrite(daily)
-            if self.table("fct_orders").exists():
-                self._refresh_order_facts()
-            if self.table("fct_transactions").exists():
-                self._refresh_transaction_facts()
+            there = [name for name in ("fct_orders", "fct_transactions") if self.table(name).exists()]
+            if there:
+                self.refresh_facts(*there)
 
     def _enriched(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
         customers, products = self.stored_sides() if sides is None else sides

@@ -69,6 +69,21 @@ def test_distances_equal_a_plain_estimate(spark):
         assert all(d > limit for d in found[: len(found) // 10]) and sum(d > limit for d in found) < len(found) / 8
 
 
+def test_columns_of_any_name_stay(spark):
+    rng = random.Random(9)
+    names = ["cell", "distance", "symbols", "repeats", "dup_lines", "word_length", "kept", "n_words", "y0", "m0", "bound", "__x"]
+    rows = [(i, prose(rng, 80), "en", None, *[f"{c}{i}" for c in names]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
+                                 + ", ".join(f"`{c}` string" for c in names))
+    out = outliers.judge(docs)
+    replaced = ("distance", "kept", "n_words")
+    assert out.columns == ["doc_id", "lang", "source", *[c for c in names if c not in replaced], "n_words", "word_chars",
+                           "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept"]
+    found = out.collect()
+    assert len(found) == 60 and all(r[c] == f"{c}{r.doc_id}" for r in found for c in names if c not in replaced)
+    assert all(r.n_words == 80 and r.distance is not None for r in found)
+
+
 def test_chi_square():
     assert math.isclose(outliers.chi_square_quantile(0.95, 4), 9.4877, abs_tol=1e-4)
     assert math.isclose(outliers.chi_square_quantile(0.75, 6), 7.8408, abs_tol=1e-4)
@@ -153,6 +168,15 @@ def test_benchmark_beyond_broadcasts_and_with_a_full_bitmap(spark, documents, mo
     assert contaminated(documents(rows), items) == expected
 
 
+def test_a_null_text_is_not_the_row_whose_text_looks_like_its_id(spark):
+    item = [("i1", "12345")]
+    rows = [(12345, None), (None, "12345"), (12345, "12345"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = contamination.contamination(docs, spark.createDataFrame(item, "item_id string, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in out) == [
+        ("12345", 0, 0, []), ("12345", 1, 1, ["i1"]), ("None", 0, 0, []), ("None", 1, 1, ["i1"])]
+
+
 def test_benchmark_of_nothing(spark, documents):
     items = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(documents([(1, "a b"), (2, None)]), items) == [(True, 1, 2, 0, []), (True, 2, 0, 0, [])]
@@ -202,6 +226,15 @@ def test_long_chain_and_repeats(spark):
     assert out.count() == 43
 
 
+def test_messages_at_one_turn_have_parents_of_their_own(spark):
+    rows = [(1, 0, "user", "first words"), (1, 1, "user", "> first words\nreply"), (1, 1, "assistant", "unrelated"),
+            (1, 1, "user", "another"), (1, 2, "user", "> unrelated\nto the unrelated one"), (1, 3, "user", "> reply\nend")]
+    out = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.text, r.n_quotes, r.parent_turn, r.thread, r.depth) for r in out) == sorted([
+        ("first words", 0, None, 0, 0), ("reply", 1, 0, 0, 1), ("unrelated", 0, None, 1, 0), ("another", 0, None, 1, 0),
+        ("to the unrelated one", 1, 1, 1, 1), ("end", 1, 1, 0, 2)])
+
+
 def test_conversations_of_nothing(spark):
     assert talk(spark, []) == {}
     table = spark.createDataFrame([(1, 0, "u", "a", "x")], "conv_id long, turn long, role string, text string, conv string")

@@ -12,7 +12,8 @@ is its rarest word. Steps, all of them DataFrame expressions:
 5. exact comparison of the words.
 
 Words are runs of ASCII digits, letters (A-Z lower-cased) and characters beyond ASCII. A null text has no words. Rows are
-told apart by a hash of id and text, so repeated rows and null ids keep their rows. Items of one id count once.
+told apart by a hash of id and text, nulls included, so repeated rows and null ids keep their rows. Items of one id count
+once.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def words_of(text: Column) -> Column:
 
 
 def row_key(id_column: str, text: str) -> Column:
-    return F.xxhash64(F.col(id_column).cast("string"), F.col(text))
+    """Nulls are hashed as such, as a plain hash leaves them out."""
+    return F.xxhash64(F.col(id_column).isNull(), F.col(text).isNull(), F.col(id_column).cast("string"), F.col(text))
 
 
 def item_windows(items: DataFrame, id_column: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -27,7 +27,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _row(id_column: str, text: str) -> Column:
-    return F.xxhash64(F.col(id_column).cast("string"), F.col(text))
+    return F.xxhash64(F.col(id_column).isNull(), F.col(text).isNull(), F.col(id_column).cast("string"), F.col(text))
 
 
 def _lines(text: Column) -> Column:

@@ -20,6 +20,7 @@ values of their own. Rows are told apart by nothing: each gets its own verdict.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tidemark.session import materialize
 
 LEAST_WORDS = 50
 SUBSET = 0.75
-STEPS = 8                 # at most; steps end when no determinant falls any more
+STEPS = 100               # far more than are ever taken: steps end when no determinant falls any more
 LEAST_ROWS = 50
 ACCURACY = 10_000
 CONFIDENCE = 0.99999
@@ -187,18 +188,26 @@ def estimate(rows: DataFrame) -> DataFrame:
                 .where(F.col("determinant") < F.col("was") - 1e-9).limit(1).count())
         now = after
         if step and not fell:
-            break
+            return now
+    warnings.warn(f"determinants still fell after {STEPS} steps", stacklevel=2)
     return now
 
 
 def judge(docs: DataFrame, language: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """``docs`` without the text, with the statistics, ``base_failed``, ``distance`` (null if that) and ``kept``."""
-    measured = with_statistics(docs, text).withColumn("base_failed", base_failed())
+    """``docs`` without the text, with the statistics, ``base_failed``, ``distance`` (null if that) and ``kept``.
+
+    Columns of these names are replaced; all others stay, whatever they are called.
+    """
+    made = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (text, *made)])
+    apart = docs.select(own.alias("__own"), F.col(language).alias("__language"), F.col(source).alias("__source"),
+                        F.col(text).alias("__text"))
+    measured = with_statistics(apart, "__text").withColumn("base_failed", base_failed())
     measured = materialize(measured.withColumns(
         {name: F.when(~F.col("base_failed"), column) for name, column in _vector().items()}), "statistics")
-    passed = _cells(measured.where(~F.col("base_failed")), language, source)
+    passed = _cells(measured.where(~F.col("base_failed")), "__language", "__source")
     found = _distances(passed, estimate(passed.select("cell", *NAMES))).drop("cell")
     failed = measured.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
     limit = chi_square_quantile(CONFIDENCE, _N)
-    return found.unionByName(failed).drop(*NAMES).withColumn(
-        "kept", F.coalesce(~F.col("base_failed") & (F.col("distance") <= limit), F.lit(False)))
+    verdict = F.coalesce(~F.col("base_failed") & (F.col("distance") <= limit), F.lit(False)).alias("kept")
+    return found.unionByName(failed).select("__own.*", *made[:-1], verdict)

@@ -8,7 +8,9 @@ to the first message of another conversation that holds it. A passage that nobod
 
 A message replies to the message that its first linked passage of level 1 quotes, if that is in its conversation.
 ``thread`` is the turn at which the chain of replies begins, ``depth`` the number of replies up to it. Ordered by
-``thread`` and ``turn``, every message comes after the one it replies to. A line that ends in ``wrote:`` directly before a
+``thread`` and ``turn``, every message comes after the one it replies to. Links and chains are those of messages, not of
+turns: of several messages at one turn, only those that quote have a parent, each its own. Of equal passages at one turn, that of
+the message with the least hash is the original. A line that ends in ``wrote:`` directly before a
 quote is part of the quote.
 
 Rows that are equal in all of conversation, turn, role and text are one message. Null texts are empty and stay null in
@@ -77,17 +79,20 @@ def _sized(small: DataFrame) -> DataFrame:
 
 
 def _held(parsed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``hash``, ``conv`` and the first ``turn`` that holds the passage as its text, a paragraph or a line."""
+    """``hash``, ``conv`` and ``original``: turn and message of the first that holds the passage as its text, a paragraph or
+    a line."""
     own = F.filter("lines", lambda x: (x["level"] == 0) & ~x["intro"])
     joined = F.array_join(F.transform(own, lambda x: x["content"]), "\n")
     units = F.concat(F.array(joined), F.split(joined, r"\n\s*\n", -1), F.split(joined, "\n", -1))
     hashes = F.array_distinct(F.transform(F.filter(F.transform(units, normal), lambda u: u != ""), lambda u: F.sha2(u, 256)))
-    rows = parsed.where("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode(hashes).alias("hash"))
-    return rows.join(_sized(wanted), "hash", "left_semi").groupBy("hash", "conv").agg(F.min("turn").alias("original"))
+    rows = parsed.where("conv IS NOT NULL AND turn IS NOT NULL").select(
+        "conv", "turn", "message", F.explode(hashes).alias("hash"))
+    return rows.join(_sized(wanted), "hash", "left_semi").groupBy("hash", "conv").agg(
+        F.min(F.struct("turn", "message")).alias("original"))
 
 
 def links(parsed: DataFrame) -> DataFrame:
-    """Each quoted passage with its original: ``message``, ``number``, ``level``, ``to_conv``, ``to_turn``."""
+    """Each quoted passage with its original: ``message``, ``number``, ``level``, ``to_conv``, ``to_turn``, ``to_message``."""
     quotes = materialize(_quotes(parsed), "quotes")
     wanted = quotes.select("hash").union(quotes.select(F.col("line_hash").alias("hash"))).distinct()
     held = materialize(_held(parsed, wanted), "originals")
@@ -97,27 +102,29 @@ def links(parsed: DataFrame) -> DataFrame:
         same = held.select(F.col("hash").alias(kind), "conv", F.col("original").alias(f"same_{kind}"))
         far = anywhere.select(F.col("hash").alias(kind), F.col("first").alias(f"far_{kind}"))
         found = found.join(same, [kind, "conv"], "left").join(far, kind, "left")
-    earlier = [F.when(F.col(f"same_{k}") < F.col("turn"), F.struct(F.col("conv"), F.col(f"same_{k}").alias("original")))
+    earlier = [F.when(F.col(f"same_{k}.turn") < F.col("turn"), F.struct(F.col("conv"), F.col(f"same_{k}").alias("original")))
                for k in ("hash", "line_hash")]
     other = [F.when(F.col(f"far_{k}.conv") != F.col("conv"), F.col(f"far_{k}")) for k in ("hash", "line_hash")]
     to = F.coalesce(earlier[0], other[0], earlier[1], other[1])
     return found.select("message", "conv", "turn", "number", "level", to.alias("to")).select(
         "message", "conv", "turn", "number", "level", F.col("to.conv").alias("to_conv"),
-        F.col("to.original").alias("to_turn"))
+        F.col("to.original.turn").alias("to_turn"), F.col("to.original.message").alias("to_message"))
 
 
 def _threads(replies: DataFrame) -> DataFrame:
-    """``conv``, ``turn``, ``thread`` and ``depth`` of replies (``conv``, ``turn``, ``parent``), by pointer doubling."""
-    now = materialize(replies.select("conv", "turn", F.col("parent").alias("thread"), F.lit(1).cast("long").alias("depth")),
-                      "threads")
+    """``message``, ``thread`` (turn of the first of its chain) and ``depth`` of replies (``message``, ``parent``,
+    ``parent_turn``), by pointer doubling."""
+    now = materialize(replies.select("message", F.col("parent").alias("up"), F.col("parent_turn").alias("thread"),
+                                     F.lit(1).cast("long").alias("depth")), "threads")
     while True:
-        above = now.select("conv", F.col("turn").alias("thread"), F.col("thread").alias("up"), F.col("depth").alias("more"))
-        after = materialize(now.join(above, ["conv", "thread"], "left").select(
-            "conv", "turn", F.coalesce("up", "thread").alias("thread"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("up").isNotNull().alias("moved")), "threads")
+        above = now.select(F.col("message").alias("up"), F.col("up").alias("next"), F.col("thread").alias("far"),
+                           F.col("depth").alias("more"))
+        after = materialize(now.join(above, "up", "left").select(
+            "message", F.coalesce("next", "up").alias("up"), F.coalesce("far", "thread").alias("thread"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")), "threads")
         now = after.drop("moved")
         if not after.where("moved").limit(1).count():
-            return now
+            return now.drop("up")
 
 
 def conversations(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -130,16 +137,13 @@ def conversations(messages: DataFrame, conversation: str = "conv_id", turn: str
     found = materialize(links(parsed), "quote-links")
     counted = found.groupBy("message").agg(F.count(F.lit(1)).alias("n_quotes"), F.count("to_conv").alias("n_linked"))
     inside = found.where("level = 1 AND to_conv = conv")
-    # one reply per conversation and turn, of the first passage; of several messages at one turn the first parent
-    parents = inside.groupBy("message", "conv", "turn").agg(F.min(F.struct("number", "to_turn")).alias("first")).select(
-        "message", "conv", "turn", F.col("first.to_turn").alias("parent"))
-    replies = materialize(parents.groupBy("conv", "turn").agg(F.min("parent").alias("parent")), "replies")
-    threads = _threads(replies).join(replies, ["conv", "turn"])
+    replies = materialize(inside.groupBy("message").agg(F.min(F.struct("number", "to_turn", "to_message")).alias("first")).select(
+        "message", F.col("first.to_turn").alias("parent_turn"), F.col("first.to_message").alias("parent")), "replies")
+    threads = _threads(replies).join(replies.drop("parent"), "message")
     base = parsed.select("message", "conv", "turn", "role", _own_text().alias("text"))
     zero = F.lit(0).cast("long")
     return (base.join(_sized(materialize(counted, "quote-counts")), "message", "left")
-            .join(_sized(materialize(threads, "threads")), ["conv", "turn"], "left")
+            .join(_sized(materialize(threads, "threads")), "message", "left")
             .select(F.col("conv").alias(conversation), F.col("turn").alias(turn), F.col("role").alias(role),
                     F.col("text").alias(text), F.coalesce("n_quotes", zero).alias("n_quotes"),
-                    F.coalesce("n_linked", zero).alias("n_linked"), F.col("parent").alias("parent_turn"),
-                    F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", zero).alias("depth")))
+                    F.coalesce("n_linked", zero).alias("n_linked"), "parent_turn", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", zero).alias("depth")))

@@ -55,11 +55,10 @@ SHARDS = 4            # gradient updates, each over the rows of one shard
 PRIOR = 20.0          # occurrences of a feature at which its first weights count half
 SHARE = 0.5           # of the log ratio that a first weight takes, as features overlap
 STEP, DAMPING = 0.5, 10.0
-CHUNK = 4096          # tokens worked on at once
+CHUNK = 1024          # tokens worked on at once: their 64 outcomes stay in the cache of a core
 _TABLE = (CLASS_ROWS + WORD_ROWS) * 64        # both tables, one after the other
 _PART = 1 << 16                               # numbers of a table sent as one row
 _SALTS = 4
-_SCANS_PER_TABLE = 8                          # scan partitions that one task takes in turn, with one table for all
 _NONE = -1e30
 _NO_RANK = np.iinfo(np.int64).max
 
@@ -99,16 +98,29 @@ class Tokens:
         return one, two
 
 
-def _features(one: np.ndarray, two: np.ndarray, cls: np.ndarray | None = None) -> list[np.ndarray]:
-    """Feature rows of the word before, of the one before that, and of both: of all classes, or of the given nodes."""
-    keys = (one, two ^ np.uint64(0x5BD1E995), one * np.uint64(31) + spans.mix(two))
-    if cls is not None and len(cls) and cls[0] >= CLASSES_OF_WORDS:        # nodes below classes come by themselves
+def _keys(one: np.ndarray, two: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Keys of the word before, of the one before that, and of both; and their hashes."""
+    keys = [one, two ^ np.uint64(0x5BD1E995), one * np.uint64(31) + spans.mix(two)]
+    return keys, [_hashed(k) for k in keys]
+
+
+def _hashed(keys: np.ndarray) -> np.ndarray:
+    return (spans.mix(keys) >> np.uint64(40)).view(np.int64)
+
+
+def _rows_of(keys: list[np.ndarray], hashes: list[np.ndarray], cls: np.ndarray | None = None) -> list[np.ndarray]:
+    """Feature rows (their numbers are powers of two) of all classes, or of the given nodes."""
+    if cls is None:
+        return [h & (CLASS_ROWS - 1) for h in hashes]
+    if len(cls) and cls[0] >= CLASSES_OF_WORDS:        # nodes below classes come by themselves
         node = spans.mix(cls.astype(np.uint64) + np.uint64(7))
-        return [CLASSES_OF_WORDS * OWN_ROWS + (spans.mix(k ^ node) >> np.uint64(40)).astype(np.int64) % SHARED_ROWS
-                for k in keys]
-    rows = CLASS_ROWS if cls is None else OWN_ROWS
-    found = [(spans.mix(k) >> np.uint64(40)).astype(np.int64) % rows for k in keys]
-    return found if cls is None else [cls * rows + f for f in found]
+        return [CLASSES_OF_WORDS * OWN_ROWS + (_hashed(k ^ node) & (SHARED_ROWS - 1)) for k in keys]
+    return [cls * OWN_ROWS + (h & (OWN_ROWS - 1)) for h in hashes]
+
+
+def _features(one: np.ndarray, two: np.ndarray, cls: np.ndarray | None = None) -> list[np.ndarray]:
+    """Feature rows after the words ``one`` and ``two`` places before."""
+    return _rows_of(*_keys(one, two), cls)
 
 
 @dataclass
@@ -179,40 +191,77 @@ class Model:
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         return (self.weights[:CLASS_ROWS * 64].reshape(CLASS_ROWS, 64), self.weights[CLASS_ROWS * 64:].reshape(WORD_ROWS, 64))
 
+    def levels(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """Offset, weights and biases of the classes, of the words of direct classes, and of the nodes of the trees, which have
+        fewer outcomes."""
+        by_class, by_word = self.tables()
+        few = self.tree.branches
+        return [(0, by_class, self.class_bias), (_offset(1), by_word, self.word_bias),
+                (_offset(1), np.ascontiguousarray(by_word[:, :few]), np.ascontiguousarray(self.word_bias[:, :few]))]
+
     def classes(self, tokens: Tokens, rank: np.ndarray) -> np.ndarray:
         return np.where(rank < self.tree.often, self.tree.classes(rank), CLASSES_OF_WORDS + tokens.endings)
 
 
-def _softmax(bias: np.ndarray, table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    """Log probabilities of 64 outcomes for each row of feature numbers."""
-    logits = table[features[0]]
+_scratch: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _held(number: int, rows: int, width: int) -> np.ndarray:
+    """Memory that is used again for every chunk, so that a chunk stays in the cache."""
+    if (number, width) not in _scratch or len(_scratch[number, width]) < rows:
+        _scratch[number, width] = np.empty((max(rows, CHUNK), width), np.float32)
+    return _scratch[number, width][:rows]
+
+
+def _logits(bias: np.ndarray, table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """Bias plus weights, for each row of feature numbers; in memory that the next call uses again.
+
+    They need no shift before ``exp``: biases are logarithms of shares, and no sum of three weights reaches 60."""
+    rows, width = len(features[0]), table.shape[1]
+    out, more = _held(0, rows, width), _held(1, rows, width)
+    np.take(table, features[0], axis=0, out=out, mode="clip")
     for f in features[1:]:
-        logits += table[f]
-    logits += bias
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+        np.take(table, f, axis=0, out=more, mode="clip")
+        out += more
+    out += bias
+    return out
+
+
+def _softmax(bias: np.ndarray, table: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """Log probabilities of all outcomes for each row of feature numbers."""
+    logits = _logits(bias, table, features).copy()
+    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
+def _chosen(bias: np.ndarray, table: np.ndarray, features: list[np.ndarray], outcome: np.ndarray) -> np.ndarray:
+    """Log probability of one outcome for each row of feature numbers."""
+    logits = _logits(bias, table, features)
+    own = logits[np.arange(len(logits)), outcome]
+    np.exp(logits, out=logits)
+    return own - np.log(logits @ np.ones(logits.shape[1], np.float32))
 
 
 def _passes(model: Model, tokens: Tokens, rank: np.ndarray):
-    """Chunks of the softmaxes of classes and of nodes: table, token numbers, features, bias, outcome."""
+    """Chunks of the softmaxes of classes and of nodes: token numbers, offset and table, bias, features, outcome."""
     cls = model.classes(tokens, rank)
-    one, two = tokens.before()
+    keys, hashes = _keys(*tokens.before())
+    levels = model.levels()
+    offset, table, bias = levels[0]
     for a in range(0, len(cls), CHUNK):
-        at = np.arange(a, min(a + CHUNK, len(cls)))
-        yield 0, at, _features(one[at], two[at]), model.class_bias, cls[at]
-    for of, node, place in model.tree.steps(rank):
+        at = slice(a, a + CHUNK)
+        yield at, offset, table, bias, _rows_of(keys, [h[at] for h in hashes]), cls[at]
+    for i, (of, node, place) in enumerate(model.tree.steps(rank)):
+        offset, table, bias = levels[min(i, 1) + 1]
         for a in range(0, len(of), CHUNK):
             at, own = of[a:a + CHUNK], node[a:a + CHUNK]
-            yield 1, at, _features(one[at], two[at], own), model.word_bias[own], place[a:a + CHUNK]
+            yield at, offset, table, bias[own], _rows_of([k[at] for k in keys], [h[at] for h in hashes], own), place[a:a + CHUNK]
 
 
 def log_probabilities(model: Model, tokens: Tokens, rank: np.ndarray) -> np.ndarray:
     """Natural logarithm of the modelled part of each token's probability (all but the count of an infrequent one)."""
     out = np.zeros(len(tokens.hashes))
-    tables = model.tables()
-    for level, at, features, bias, outcome in _passes(model, tokens, rank):
-        out[at] += _softmax(bias, tables[level], features)[np.arange(len(at)), outcome]
+    for at, _, table, bias, features, outcome in _passes(model, tokens, rank):
+        out[at] += _chosen(bias, table, features, outcome)
     return out
 
 
@@ -287,8 +336,9 @@ def _empty_model(counts: DataFrame) -> Model:
     mass = np.concatenate([by_node[:CLASSES_OF_WORDS].sum(axis=1), tokens + distinct + 1.0])
     with np.errstate(divide="ignore"):
         model.class_bias = np.maximum(np.log(mass / mass.sum()), _NONE).astype(np.float32)
-        model.word_bias = np.maximum(np.log(by_node / np.maximum(by_node.sum(axis=1, keepdims=True), 1)),
-                                     _NONE).astype(np.float32)
+        of_node = by_node.sum(axis=1, keepdims=True)
+        shares = np.log(by_node / np.maximum(of_node, 1))
+        model.word_bias = np.where(of_node > 0, np.maximum(shares, _NONE), 0).astype(np.float32)   # 0: a node without words
     return model
 
 
@@ -350,12 +400,13 @@ def _occurrences(shared):
             tokens = Tokens.of(batch.column("text"))
             rank = model.look_up(tokens.hashes)[1]
             cls = model.classes(tokens, rank)
-            one, two = tokens.before()
-            keys = [f * 64 + cls for f in _features(one, two)]
+            keys, hashes = _keys(*tokens.before())
+            cells = [f * 64 + cls for f in _rows_of(keys, hashes)]
             for at, node, place in model.tree.steps(rank):
-                keys += [_offset(1) + f * 64 + place for f in _features(one[at], two[at], node)]
-            for k in keys:
-                table += np.bincount(k, minlength=_TABLE).astype(np.float32)
+                cells += [_offset(1) + f * 64 + place
+                          for f in _rows_of([k[at] for k in keys], [h[at] for h in hashes], node)]
+            for c in cells:
+                np.add.at(table, c, np.float32(1))
         return table
     return work
 
@@ -365,17 +416,16 @@ def _gradient(shared):
         table = np.zeros(_TABLE, np.float32)
         for batch in spans.pieces(batches, "text", 4 << 20):
             model = shared.value
-            tables = model.tables()
             tokens = Tokens.of(batch.column("text"))
             rank = model.look_up(tokens.hashes)[1]
-            for level, at, features, bias, outcome in _passes(model, tokens, rank):
-                slope = -np.exp(_softmax(bias, tables[level], features))
-                slope[np.arange(len(at)), outcome] += 1
-                sums = table[_offset(level):][:(CLASS_ROWS, WORD_ROWS)[level] * 64].reshape(-1, 64)
-                for f in features:
-                    order = np.argsort(f, kind="stable")
-                    rows, starts = _runs(f[order])
-                    sums[rows] += np.add.reduceat(slope[order], starts, axis=0)
+            for _, offset, weights, bias, features, outcome in _passes(model, tokens, rank):
+                slope = _logits(bias, weights, features)
+                np.exp(slope, out=slope)
+                outcomes = np.arange(slope.shape[1])
+                slope /= -(slope @ np.ones(len(outcomes), np.float32))[:, None]
+                slope[np.arange(len(outcome)), outcome] += 1
+                for f in features:          # flat, as numpy adds fast in one dimension only
+                    np.add.at(table, ((f * 64 + offset)[:, None] + outcomes).ravel(), slope.ravel())
         return table
     return work
 
@@ -386,7 +436,7 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
     if not model.n:
         return model
     context = rows.sparkSession.sparkContext
-    tasks = max(1, -(-rows.select("text").rdd.getNumPartitions() // _SCANS_PER_TABLE))
+    tasks = context.defaultParallelism        # a table for each core, which takes several scan partitions in turn
     seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # a model has a fixed size
     scale = np.zeros(_TABLE, np.float32)
     for level, n_rows in ((0, CLASS_ROWS), (1, CLASSES_OF_WORDS * OWN_ROWS)):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from oracle.sql import statement
 from tidemark import Warehouse
-from tidemark.functions import cents_to_dollars, fiscal_quarter, safe_divide, surrogate_key
+from tidemark.functions import cents_to_dollars, fiscal_quarter, safe_divide, strict_date, surrogate_key
 from tidemark.operators import Partitioning, Table, drop_pii
 from tidemark.plans import commerce, finance, semantic, staging
 from tidemark.plans.checks import DEFAULT_CHECKS, VALUE_CHECKS
@@ -206,6 +206,24 @@ def _orders_full_refresh(spark, sf_dir):
     return now.relation("int_orders_enriched")
 
 
+def _orders_upsert_from_csv(spark, sf_dir):
+    """Orders come in CSV files: a history of pending ones, then new files with the later days."""
+    folder, root = work_path(spark, "incoming"), work_path(spark, "warehouse")
+    feeds = retail_tables.feeds(spark, sf_dir)
+    orders = feeds.pop("raw_orders")
+    day = strict_date(F.col("order_date"), orders.schema["order_date"].dataType)
+    feeds["raw_orders"] = orders.where(day < F.lit(CUT)).withColumn("status", F.lit("pending"))
+    for feed, rows in feeds.items():
+        rows.write.option("header", True).csv(f"{folder}/{feed}.csv")
+    before = Warehouse.from_csv(spark, root, folder, as_of=AS_OF)
+    before.refresh_finance_daily()
+    before.refresh_orders()
+    orders.where(day >= F.lit(CUT)).write.mode("append").option("header", True).csv(f"{folder}/raw_orders.csv")
+    after = Warehouse.from_csv(spark, root, folder, as_of=AS_OF)
+    after.refresh_orders()
+    return after.relation("int_orders_enriched")
+
+
 def _customer_360_upsert(spark, sf_dir):
     then, now = _with_history(spark, sf_dir)
     _load_history(then, now)
@@ -341,6 +359,7 @@ def queries() -> dict[str, Query]:
         "accepted_values_report": _checked(VALUE_CHECKS),
         "high_water_mark": _high_water_mark,
         "orders_upsert": _orders_upsert,
+        "orders_upsert_from_csv": _orders_upsert_from_csv,
         "orders_full_refresh": _orders_full_refresh,
         "customer_360_upsert": _customer_360_upsert,
         "fx_restatement": _fx_restatement,

@@ -335,6 +335,13 @@ RELATIONS = {
                coalesce(new.order_status, old.order_status) AS order_status, old.region, new.currency_code
         FROM (SELECT * FROM stg_history_orders) old
              FULL JOIN (SELECT * FROM stg_dated_orders WHERE order_date >= {OVERLAP}) new USING (order_id)""",
+    "csv_orders": f"""
+        SELECT * REPLACE ('pending' AS status) FROM raw_orders
+        WHERE order_id IN (SELECT order_id FROM stg_orders WHERE order_date < {CUT})
+        UNION ALL
+        SELECT * FROM raw_orders WHERE order_id IN (SELECT order_id FROM stg_orders WHERE order_date >= {CUT})""",
+    "stg_csv_orders": _stg_orders("csv_orders"),
+    "orders_upsert_from_csv": _enriched("stg_csv_orders", "int_finance_daily"),
     "orders_full_refresh": "SELECT * FROM enriched_dated",
     "orders_stream_upsert": "SELECT * FROM enriched_dated",
     "orders_stream_out_of_order": "SELECT * FROM enriched_dated",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import days_between, now_or, null_if_zero, strict_date, text_flag, title_case, today_or
 from tidemark.operators.privacy import pii
+from tidemark.operators.tables import HIDDEN
 
 PRICE = "decimal(12,2)"
 AMOUNT = "decimal(12,4)"
@@ -21,6 +22,9 @@ def _text(column: str) -> Column:
 
 
 def _date(raw: DataFrame, column: str) -> Column:
+    """The typed date that a feed's table keeps beside the text, if it does."""
+    if f"{HIDDEN}{column}" in raw.columns:
+        return F.col(f"{HIDDEN}{column}")
     return strict_date(F.col(column), raw.schema[column].dataType)
 
 

@@ -13,7 +13,8 @@ from tidemark.operators.tables import NULL_PARTITION, Partitioning, Table
 from tidemark.plans import commerce, finance, semantic, staging
 from tidemark.plans.checks import DEFAULT_CHECKS
 from tidemark.session import materialize, temporary
-from tidemark.sources.feeds import load_seed, read_csv_feeds
+from tidemark.sources.feeds import load_feed
+from tidemark.sources.schemas import FEEDS
 
 SEED_LAYER = "seeds"
 
@@ -54,27 +55,32 @@ DAILY = "int_finance_daily"
 class Warehouse:
     """Relations under ``root``, built from the four raw feeds.
 
+    ``feed_tables`` are the tables that hold feeds, if they do: then only months of a feed that are others than before, or
+    that a bound lets through, are read.
+
     ``as_of`` stands in for today in the day counts; left out, it is the run date. ``run_ts`` stands in for the clock
     in the run stamps. ``customer_buckets``, if given, must be the number that the customer table was written with; left
     out, it is read from the table, or follows from the number of customers when the table is first written.
     """
 
     def __init__(self, spark: SparkSession, root: str, feeds: dict[str, DataFrame], as_of: dt.date | None = None,
-                 customer_buckets: int | None = None, run_ts: dt.datetime | None = None):
+                 customer_buckets: int | None = None, run_ts: dt.datetime | None = None,
+                 feed_tables: dict[str, Table] | None = None):
         self.spark = spark
         self.root = root
         self.feeds = feeds
         self.as_of = as_of
         self.run_ts = run_ts
         self.customer_buckets = customer_buckets
+        self.feed_tables = feed_tables or {}
 
     @classmethod
     def from_csv(cls, spark: SparkSession, root: str, folder: str, **options) -> Warehouse:
-        """Load the CSV feeds into tables first, then read those."""
-        feeds = {
-            feed: load_seed(raw, f"{root}/{SEED_LAYER}/{feed}") for feed, raw in read_csv_feeds(spark, folder).items()
-        }
-        return cls(spark, root, feeds, **options)
+        """Load the CSV feeds into tables first, then read those; of feeds that grow, only new files."""
+        with temporary(spark):
+            tables = {feed: load_feed(spark, feed, f"{folder}/{feed}.csv", f"{root}/{SEED_LAYER}/{feed}") for feed in FEEDS}
+        feeds = {feed: table.read(hidden=True) for feed, table in tables.items()}
+        return cls(spark, root, feeds, feed_tables=tables, **options)
 
     # -- relations -------------------------------------------------------------------------------------------
 
@@ -155,7 +161,20 @@ class Warehouse:
             self.table(name).expire(keep)
 
     def refresh_finance_daily(self) -> None:
-        self.table(DAILY).overwrite(finance.daily_state(self.stg_transactions()))
+        """From all transactions, or, of a feed kept by month, from the months that are others than at the last run."""
+        table, feed = self.table(DAILY), self.feed_tables.get("raw_transactions")
+        if feed is None:
+            table.overwrite(finance.daily_state(self.stg_transactions()), {})
+            return
+        loads, seen = feed.loads(), table.seen()
+        if not table.exists() or not seen:
+            table.overwrite(finance.daily_state(self.stg_transactions()), loads)
+            return
+        months = _moved(loads, seen)
+        if months:
+            fresh = finance.daily_state(staging.stg_transactions(feed.read(months, hidden=True), self.run_ts))
+            month = F.coalesce(F.date_format("rate_date", "yyyy-MM"), F.lit(NULL_PARTITION))
+            table.overwrite(table.read(hidden=True).where(~month.isin(months)).unionByName(fresh), loads)
 
     def refresh_orders(self, full_refresh: bool = False) -> None:
         """Orders dated on or after the latest day in the table; all of them on the first run or a full refresh.
@@ -168,7 +187,15 @@ class Warehouse:
             return
         latest = table.max_of("order_date", latest_partition_only=True)
         if latest is not None:
-            self.upsert_orders(self.stg_orders().where(F.col("order_date") >= F.lit(latest)))
+            self.upsert_orders(self.orders_since(latest))
+
+    def orders_since(self, day: dt.date) -> DataFrame:
+        """Staged orders dated on or after a day; of a feed kept by month, the months before are not opened."""
+        orders, feed = self.stg_orders(), self.feed_tables.get("raw_orders")
+        if feed is not None:
+            months = [p for p in feed.partitions() if p != NULL_PARTITION and p >= f"{day:%Y-%m}"]
+            orders = staging.stg_orders(feed.read(months, hidden=True), self.run_ts)
+        return orders.where(F.col("order_date") >= F.lit(day))
 
     def upsert_orders(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None,
                       versions: DataFrame | None = None) -> DataFrame | None:
@@ -251,15 +278,19 @@ class Warehouse:
             month = F.date_format("rate_date", "yyyy-MM")
             found = [row[0] for row in days.select(month).distinct().collect()]        # months
             months = [NULL_PARTITION if m is None else m for m in found]
-            theirs = F.date_format("transaction_date", "yyyy-MM").isin([m for m in found if m is not None])
-            if None in found:
-                theirs = theirs | F.col("transaction_date").isNull()
             if months:
-                fact.replace(months, self._transaction_facts(self.stg_transactions().where(theirs)), seen_now)
+                fact.replace(months, self._transaction_facts(self._transactions_of(months)), seen_now)
         copy = self.table("dummy_test")
         if copy.loads() != _named_by_copy(fact):
             copy.copy_of(fact)
 
+    def _transactions_of(self, months: list[str]) -> DataFrame:
+        feed = self.feed_tables.get("raw_transactions")
+        if feed is not None:
+            return staging.stg_transactions(feed.read(months, hidden=True), self.run_ts)
+        month = F.coalesce(F.date_format("transaction_date", "yyyy-MM"), F.lit(NULL_PARTITION))
+        return self.stg_transactions().where(month.isin(months))
+
     def _transaction_facts(self, transactions: DataFrame) -> DataFrame:
         return finance.fct_transactions(transactions, self.relation(DAILY), self.run_ts)
 
@@ -288,7 +319,8 @@ class Warehouse:
                 affected = lookup(orders.read(months), dated, ["order_date", "currency_code"], spread="order_id", how="inner")
                 repriced = commerce.repriced(affected, F.col("new_rate"), self.run_ts)
                 orders.upsert(repriced.drop("new_rate"), "order_id")
-            self.table(DAILY).overwrite(daily)
+            feed = self.feed_tables.get("raw_transactions")
+            self.table(DAILY).overwrite(daily, feed.loads() if feed else {})
             there = [name for name in ("fct_orders", "fct_transactions") if self.table(name).exists()]
             if there:
                 self.refresh_facts(*there)

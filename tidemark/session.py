@@ -81,3 +81,14 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever Spark can write one."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def file_states(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """Length and time of writing of each file, wherever Spark can read one."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = {}
+    for file in files:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(file))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        found[file] = f"{status.getLen()}:{status.getModificationTime()}"
+    return found

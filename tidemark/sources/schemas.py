@@ -38,3 +38,14 @@ FEEDS = {
     "raw_products": RAW_PRODUCTS,
     "raw_transactions": RAW_TRANSACTIONS,
 }
+
+# The date of each feed, which arrives as text.
+DAYS = {
+    "raw_orders": "order_date",
+    "raw_customers": "signup_date",
+    "raw_products": "launch_date",
+    "raw_transactions": "transaction_date",
+}
+
+#: Feeds that grow day by day; their tables are kept by month.
+GROWING = ("raw_orders", "raw_transactions")

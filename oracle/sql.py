@@ -59,7 +59,7 @@ def _raw_orders(day: str) -> str:
 
 
 def _stg_orders(source: str) -> str:
-    typed = source != "raw_orders"
+    typed = source not in ("raw_orders", "csv_orders")      # those two have dates as text
     return f"""
         SELECT order_id, customer_id, product_id,
                {"order_date" if typed else _day("order_date")} AS order_date,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib.util
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,12 +16,14 @@ from pyspark.sql import functions as F
 from oracle.sql import statement
 from tidemark import Warehouse
 from tidemark.functions import cents_to_dollars, fiscal_quarter, safe_divide, strict_date, surrogate_key
-from tidemark.operators import Partitioning, Table, drop_pii
+from tidemark.operators import Check, Partitioning, Table, drop_pii
+from tidemark.operators.quality import ACCEPTED, NOT_NULL, UNIQUE
 from tidemark.plans import commerce, finance, semantic, staging
 from tidemark.plans.checks import DEFAULT_CHECKS, VALUE_CHECKS
-from tidemark.plans.warehouse import ORDER_MONTH
+from tidemark.plans.warehouse import ORDER_MONTH, STAGING_NAMESPACES
 from tidemark.session import materialize, work_path
 from tidemark.sources import load_seed, read_feed_csv, retail_tables
+from tidemark.sources.feeds import load_feed
 from tidemark.streaming import SEQUENCE, stream_orders
 
 AS_OF = dt.date(2001, 8, 15)
@@ -29,12 +32,16 @@ OVERLAP = dt.date(2001, 5, 1)
 RUN_TS = dt.datetime(2001, 8, 15, 2, 0, 0)
 RESTATED_FROM = "2000-01-01"
 
+ORDER_CHECKS = [Check("customer_id", UNIQUE), Check("product_name", NOT_NULL), Check("order_date", NOT_NULL),
+                Check("order_status", ACCEPTED, ("completed", "pending"))]
+
 STAMPS = ("_dbt_loaded_at", "_dbt_updated_at", "dw_updated_at")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Queries whose models get the run stamp.
-STAMPED = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "int_orders_enriched", "int_customer_360",
+STAMPED = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "catalog_stg_orders", "catalog_stg_customers",
+           "catalog_stg_products", "catalog_stg_transactions", "int_orders_enriched", "int_customer_360",
            "int_customer_360_idle", "int_customer_360_many_channels", "fct_orders", "dim_customer", "fct_transactions",
            "dummy_test", "pii_free_customers")
 
@@ -129,6 +136,18 @@ def _fct_transactions(spark, sf_dir):
         _stg_transactions(spark, sf_dir), materialize(_daily(spark, sf_dir), "int_finance_daily"), RUN_TS)
 
 
+def _in_catalog(feed: str, view: str) -> Query:
+    """A staging view over the stored feed, read by name from another session."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, root = work_path(spark, feed), work_path(spark, "warehouse")
+        getattr(retail_tables, feed)(spark, sf_dir).write.option("header", True).csv(folder)
+        tables = {feed: load_feed(spark, feed, folder, f"{root}/{feed}")}
+        prefix = f"q{uuid.uuid4().hex[:12]}_"
+        Warehouse(spark, root, {}, AS_OF, run_ts=RUN_TS, feed_tables=tables).register_staging(prefix)
+        return spark.newSession().table(f"{prefix}{STAGING_NAMESPACES[view]}.{view}")
+    return query
+
+
 # -- expressions ---------------------------------------------------------------------------------------------------
 
 def _cents(spark, sf_dir):
@@ -166,6 +185,16 @@ def _checked(checks: dict) -> Query:
     return query
 
 
+def _checked_by_change(spark, sf_dir):
+    """The report after an incremental run, from evidence kept at the check before it and that of new partitions."""
+    then, now = _with_history(spark, sf_dir)
+    _load_history(then, now)
+    checks = {"int_orders_enriched": DEFAULT_CHECKS["int_orders_enriched"] + ORDER_CHECKS}
+    now.check(checks, by_change=True).count()
+    now.refresh_orders()
+    return now.check(checks, by_change=True)
+
+
 def _high_water_mark(spark, sf_dir):
     return _stg_orders(spark, sf_dir).agg(F.max("order_date").alias("latest_order_date"))
 
@@ -338,6 +367,10 @@ def queries() -> dict[str, Query]:
         "stg_customers": _stg_customers,
         "stg_products": _stg_products,
         "stg_transactions": _stg_transactions,
+        "catalog_stg_orders": _in_catalog("raw_orders", "stg_orders"),
+        "catalog_stg_customers": _in_catalog("raw_customers", "stg_customers"),
+        "catalog_stg_products": _in_catalog("raw_products", "stg_products"),
+        "catalog_stg_transactions": _in_catalog("raw_transactions", "stg_transactions"),
         "int_finance_daily": _daily,
         "int_orders_enriched": _enriched,
         "int_customer_360": _customer_360,
@@ -357,6 +390,7 @@ def queries() -> dict[str, Query]:
         "pii_free_customers": lambda spark, sf_dir: drop_pii(_stg_customers(spark, sf_dir)),
         "data_quality_report": _checked(DEFAULT_CHECKS),
         "accepted_values_report": _checked(VALUE_CHECKS),
+        "data_quality_by_change": _checked_by_change,
         "high_water_mark": _high_water_mark,
         "orders_upsert": _orders_upsert,
         "orders_upsert_from_csv": _orders_upsert_from_csv,

@@ -401,6 +401,18 @@ def _accepted() -> str:
 
 RELATIONS["data_quality_report"] = _quality()
 RELATIONS["accepted_values_report"] = _accepted()
+RELATIONS["data_quality_by_change"] = "\nUNION ALL ".join(
+    _report_line("int_orders_enriched", column, test, failures) for column, test, failures in (
+        ("order_id", "unique", "SELECT count(*) - count(DISTINCT order_id) FROM orders_upsert"),
+        ("order_id", "not_null", "SELECT count(*) - count(order_id) FROM orders_upsert"),
+        ("customer_id", "unique", "SELECT count(*) FROM (SELECT customer_id FROM orders_upsert "
+                                  "WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(*) > 1)"),
+        ("product_name", "not_null", "SELECT count(*) - count(product_name) FROM orders_upsert"),
+        ("order_date", "not_null", "SELECT count(*) - count(order_date) FROM orders_upsert"),
+        ("order_status", "accepted_values", "SELECT count(DISTINCT order_status) FROM orders_upsert "
+                                            "WHERE order_status NOT IN ('completed', 'pending')")))
+for _view in ("stg_orders", "stg_customers", "stg_products", "stg_transactions"):
+    RELATIONS[f"catalog_{_view}"] = f"SELECT * FROM {_view}"
 
 
 def _needs(name: str, seen: list[str]) -> list[str]:
@@ -415,7 +427,8 @@ def _needs(name: str, seen: list[str]) -> list[str]:
 #: The run stamp of the models, and the column that holds it.
 RUN_TS = "'2001-08-15 02:00:00'"
 _STAMP_COLUMNS = {
-    "_dbt_loaded_at": ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "pii_free_customers"),
+    "_dbt_loaded_at": ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "pii_free_customers",
+                       "catalog_stg_orders", "catalog_stg_customers", "catalog_stg_products", "catalog_stg_transactions"),
     "_dbt_updated_at": ("int_orders_enriched", "int_customer_360", "int_customer_360_idle",
                         "int_customer_360_many_channels", "fct_orders"),
     "dw_updated_at": ("dim_customer", "fct_transactions", "dummy_test"),

@@ -51,3 +51,36 @@ def test_one_scan_and_few_jobs(spark, tmp_path):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert set(found.values()) == {0} and len(found) == 12
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("checks")) < 10
+
+
+def test_checks_by_change_read_new_partitions_only(spark, tmp_path, monkeypatch):
+    checks = [Check("k", UNIQUE), Check("k", NOT_NULL), Check("v", NOT_NULL), Check("v", ACCEPTED, ("a", "b"))]
+    rows = lambda *values: spark.createDataFrame(values, "k string, day string, v string")
+    for partitioning in (Partitioning("month", "substring(day, 1, 7)"), None):
+        name = "by month" if partitioning else "whole"
+        table = Table(spark, str(tmp_path / name), partitioning)
+        report = lambda: check_relations(
+            {"t": table.read()}, {"t": checks}, {"t": keep_evidence(table, checks, str(tmp_path / f"{name} evidence"))})
+        full = lambda: check_relations({"t": table.read()}, {"t": checks})
+        same = lambda: sorted(map(str, report().collect())) == sorted(map(str, full().collect()))
+        table.overwrite(rows(("x", "2024-01-01", "a"), ("x", "2024-02-01", "c"), (None, None, "a"), ("z", "2024-02-03", None)))
+        assert same()
+        read, asked = Table.read, []
+        monkeypatch.setattr(Table, "read", lambda self, p=None, **k: (asked.append((self.path, p, k)), read(self, p, **k))[1])
+        if partitioning:
+            table.replace(["2024-02"], rows(("y", "2024-02-01", "d"), ("y", "2024-02-02", "c")))
+        else:
+            table.overwrite(rows(("y", "2024-02-01", "d"), ("y", "2024-02-02", "c")))
+        report()
+        assert [p for path, p, k in asked if path == table.path and k] == ([["2024-02"]] if partitioning else [[""]])
+        asked.clear()
+        report()
+        assert not [p for path, p, k in asked if path == table.path and k]          # nothing new, nothing read
+        monkeypatch.undo()
+        assert same()
+        if partitioning:
+            table.replace(["2024-02"], rows())
+            assert same()
+        assert sorted(map(str, check_relations({"t": table.read()}, {"t": checks[:1]}, {
+            "t": keep_evidence(table, checks[:1], str(tmp_path / f"{name} evidence"))}).collect())) == sorted(
+            map(str, check_relations({"t": table.read()}, {"t": checks[:1]}).collect()))

@@ -12,7 +12,8 @@ WORD_BREAKS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>\t\n\r\f\x0b"
 EXTRA_TRUE = "on"
 EXTRA_FALSE = "off"
 
-_AFTER_BREAK = "(?<=[" + re.sub(r"([\\\[\]^&-])", r"\\\1", WORD_BREAKS) + "])"
+#: A place behind a break, as a regular expression.
+AFTER_BREAK = "(?<=[" + re.sub(r"([\\\[\]^&-])", r"\\\1", WORD_BREAKS) + "])"
 
 
 def title_case(text: Column) -> Column:
@@ -21,7 +22,7 @@ def title_case(text: Column) -> Column:
     Spark's ``initcap`` starts a word after a space only, so the text is cut behind every other break and each part
     gets its own.
     """
-    return F.array_join(F.transform(F.split(text, _AFTER_BREAK, -1), F.initcap), "")
+    return F.array_join(F.transform(F.split(text, AFTER_BREAK, -1), F.initcap), "")
 
 
 def text_flag(text: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import fits_broadcast
+from tidemark.operators.tables import Partitioning, Table
 from tidemark.session import materialize
 
 NOT_NULL, UNIQUE, ACCEPTED = "not_null", "unique", "accepted_values"
@@ -25,24 +26,36 @@ class Check:
     test: str
     values: tuple[str, ...] = ()
 
+    @property
+    def name(self) -> str:
+        return f"{self.test}({self.column}{''.join(f', {value}' for value in self.values)})"
 
-def check_relations(relations: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
+
+def check_relations(relations: dict[str, DataFrame], checks: dict[str, list[Check]],
+                    kept: dict[str, DataFrame] | None = None) -> DataFrame:
     """Columns: relation, column_name, test, failures.
 
     Each relation is scanned once: a row gives, for each check, what the check has to count (see :func:`_evidence`), and
     all evidence is counted in one aggregation that combines before the shuffle. Only where a hash repeats, the values
-    behind it are counted in a second scan of that column.
+    behind it are counted in a second scan of that column. A relation whose evidence is ``kept`` (see :func:`keep_evidence`)
+    is not scanned.
     """
     numbered = [(name, check) for name, listed in checks.items() for check in listed]
+    kept = kept or {}
     scans = []
-    for name in checks:
-        evidence = [_evidence(i, check) for i, (of, check) in enumerate(numbered) if of == name]
-        if evidence:
-            scans.append(relations[name].select(F.inline(F.array(*evidence))).where("hash IS NOT NULL"))
+    for name, listed in checks.items():
+        own = [(i, check) for i, (of, check) in enumerate(numbered) if of == name]
+        if listed and name in kept:
+            numbers = F.create_map(*[F.lit(x) for i, check in own for x in (check.name, i)])
+            scans.append(kept[name].select(numbers[F.col("test")].alias("check"), "hash", "n"))
+        elif listed:
+            evidence = [_evidence(F.lit(i), check) for i, check in own]
+            scans.append(relations[name].select(F.inline(F.array(*evidence))).where("hash IS NOT NULL")
+                         .withColumn("n", F.lit(1).cast("long")))
     spark = next(iter(relations.values())).sparkSession
     if not scans:
         return spark.createDataFrame([], REPORT)
-    counted = reduce(DataFrame.unionByName, scans).groupBy("check", "hash").agg(F.count(F.lit(1)).alias("n"))
+    counted = reduce(DataFrame.unionByName, scans).groupBy("check", "hash").agg(F.sum("n").alias("n"))
     is_unique = F.col("check").isin([i for i, (_, c) in enumerate(numbered) if c.test == UNIQUE])
     counted = materialize(counted.where(~is_unique | (F.col("n") > 1)), "check_evidence")
     totals = {row["check"]: row for row in counted.groupBy("check").agg(
@@ -58,7 +71,40 @@ def check_relations(relations: dict[str, DataFrame], checks: dict[str, list[Chec
     return reduce(DataFrame.unionByName, [spark.createDataFrame(known, REPORT), *suspected])
 
 
-def _evidence(number: int, check: Check) -> Column:
+def keep_evidence(source: Table, checks: list[Check], path: str) -> DataFrame:
+    """What the checks have to count in a stored table (``test``, ``hash``, ``n``), kept for each of its partitions.
+
+    Only partitions that are others than at the last check are read; other checks than then read all of them again.
+    """
+    kept = Table(source.spark, path, Partitioning("of_partition", "part"))
+    names = "|".join(sorted(check.name for check in checks))
+    state = {_label(p): load for p, load in source.loads().items()} | {_CHECKS: names}
+    seen = kept.seen()
+    if not kept.exists() or seen.get(_CHECKS) != names:
+        kept.overwrite(_by_partition(source, None, checks), state)
+    else:
+        moved = {p for p in {*state, *seen} if state.get(p) != seen.get(p)}
+        if moved:
+            partitions = [p for p in source.partitions() if _label(p) in moved]
+            kept.replace(sorted(moved), _by_partition(source, partitions, checks), state)
+    return kept.read()
+
+
+_CHECKS = "checks"
+
+
+def _label(partition: str) -> str:
+    return partition or "all"
+
+
+def _by_partition(source: Table, partitions: list[str] | None, checks: list[Check]) -> DataFrame:
+    rows = source.read(partitions, labelled="part").withColumn("part", F.when(F.col("part") == "", "all").otherwise(F.col("part")))
+    evidence = F.array(*[_evidence(F.lit(check.name), check) for check in checks])
+    found = rows.select("part", F.inline(evidence)).where("hash IS NOT NULL")
+    return found.groupBy("part", F.col("check").alias("test"), "hash").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _evidence(number: Column, check: Check) -> Column:
     """What a row adds to a check: a missing value, a value outside the set, or (unique) any value; by its hash."""
     value = F.col(check.column)
     if check.test == NOT_NULL:
@@ -67,7 +113,7 @@ def _evidence(number: int, check: Check) -> Column:
         hashed = F.when(~value.isin(*check.values), F.xxhash64(value))
     else:
         hashed = F.when(value.isNotNull(), F.xxhash64(value))
-    return F.struct(F.lit(number).alias("check"), hashed.alias("hash"))
+    return F.struct(number.alias("check"), hashed.alias("hash"))
 
 
 def _line(name: str, check: Check, failures: Column) -> list[Column]:

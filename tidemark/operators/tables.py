@@ -84,9 +84,14 @@ class Table:
         snapshot = self._snapshot()
         return dict(snapshot["seen"]) if snapshot else {}
 
-    def read(self, partitions: list[str] | None = None, hidden: bool = False) -> DataFrame:
-        """The current rows, or those of some partitions only."""
-        return self._rows(self._existing(), partitions, hidden=hidden)
+    def read(self, partitions: list[str] | None = None, hidden: bool = False, labelled: str | None = None) -> DataFrame:
+        """The current rows, or those of some partitions only; ``labelled``: with the name of their partition as a column."""
+        if labelled is None:
+            return self._rows(self._existing(), partitions, hidden=hidden)
+        rows = self._rows(self._existing(), partitions, keep_partition=True, hidden=hidden)
+        if not self.partitioning:
+            return rows.withColumn(labelled, F.lit(_WHOLE))
+        return rows.withColumn(labelled, F.coalesce(self.partitioning.name, F.lit(NULL_PARTITION)))
 
     def read_at(self, number: int, hidden: bool = False) -> DataFrame:
         """The rows of a snapshot that has not expired."""
@@ -222,9 +227,9 @@ class Table:
             self._log.create(f"{load}.old", {"load": load})      # to be looked at again, once its snapshots are gone
         for n in numbers[:-keep]:
             self._log.remove(n)
-        for load in sorted((old | {note["load"] for note in self._log.others(".old")}) - live):
-            delete(self.spark, f"{self.path}/data/load={load}")
-            delete(self.spark, f"{self.path}/index/load={load}")
+        gone = (old | {note["load"] for note in self._log.others(".old")}) - live
+        self._delete_loads(gone)
+        for load in gone:
             self._log.drop(f"{load}.old")
 
     # -- snapshots -------------------------------------------------------------------------------------------
@@ -259,6 +264,7 @@ class Table:
         while True:
             last = self._snapshot()
             if _number(last) != _number(base) and not self._apart(base, last, touched, delta, key):
+                self._delete_loads({load for load in loads.values() if not load.startswith(_FOREIGN)})
                 return False
             others = {} if touched is None or last is None else {p: x for p, x in last["loads"].items() if p not in touched}
             same_key = last is not None and (key is None or last["key"] == key)
@@ -271,6 +277,11 @@ class Table:
             if self._log.commit(content):
                 return True
 
+    def _delete_loads(self, loads: set[str]) -> None:
+        for load in sorted(loads):
+            delete(self.spark, f"{self.path}/data/load={load}")
+            delete(self.spark, f"{self.path}/index/load={load}")
+
     def _apart(self, base: dict | None, last: dict, touched: set[str] | None, delta: DataFrame | None, key: str | None) -> bool:
         """Whether what was committed since ``base`` has nothing to do with a write."""
         if base is None or touched is None or any(base[k] != last[k] for k in ("schema", "partitioning")):

@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup
-from tidemark.operators.quality import Check, check_relations
+from tidemark.operators.quality import Check, check_relations, keep_evidence
 from tidemark.operators.tables import NULL_PARTITION, Partitioning, Table
-from tidemark.plans import commerce, finance, semantic, staging
+from tidemark.plans import commerce, finance, semantic, staging, staging_sql
 from tidemark.plans.checks import DEFAULT_CHECKS
 from tidemark.session import materialize, temporary
 from tidemark.sources.feeds import load_feed
 from tidemark.sources.schemas import FEEDS
 
-SEED_LAYER = "seeds"
+SEED_LAYER, EVIDENCE_LAYER = "seeds", "evidence"
 
 # The namespace of each stored relation.
 TABLES = {
@@ -31,6 +31,14 @@ TABLES = {
 VIEWS = ("stg_orders", "stg_customers", "stg_products", "stg_transactions", "sem_revenue_metrics",
          "sem_customer_kpis", "sem_finance_summary")
 
+# The namespace of each staging view.
+STAGING_NAMESPACES = {
+    "stg_orders": "commerce_staging",
+    "stg_customers": "commerce_staging",
+    "stg_products": "commerce_staging",
+    "stg_transactions": "finance_staging",
+}
+
 # The namespace of each business view.
 VIEW_NAMESPACES = {
     "sem_revenue_metrics": "commerce_semantic",
@@ -130,20 +138,36 @@ class Warehouse:
         for name in (*TABLES, *VIEWS):
             self.relation(name).createOrReplaceTempView(name)
 
-    def register(self) -> None:
-        """Make the stored tables and the business views readable in the catalog, in the namespace of their layer.
+    def register(self, prefix: str = "") -> None:
+        """Make the stored tables and the business views readable in the catalog, in the namespace of their layer; and, if
+        the feeds are held in tables, those and the staging views over them.
 
-        They outlive the session wherever the catalog does, and show the tables as they are now.
+        They outlive the session wherever the catalog does, and show the tables as they are now. ``prefix`` is put before
+        each namespace.
         """
         for namespace in {*TABLES.values(), *VIEW_NAMESPACES.values()}:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{namespace}")
         for name, namespace in TABLES.items():
-            self.table(name).register(f"{namespace}.{name}")
+            self.table(name).register(f"{prefix}{namespace}.{name}")
         for name, namespace in VIEW_NAMESPACES.items():
             source, names = semantic.VIEWS[name]
             columns = ", ".join(f"`{column}` AS `{label}`" for column, label in names.items())
-            self.spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{name} AS SELECT {columns} "
-                           f"FROM {TABLES[source]}.{source}")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {prefix}{namespace}.{name} AS SELECT {columns} "
+                           f"FROM {prefix}{TABLES[source]}.{source}")
+        if self.feed_tables:
+            self.register_staging(prefix)
+
+    def register_staging(self, prefix: str = "") -> None:
+        """The tables of the feeds, and the staging views as SQL over them, in the catalog."""
+        for namespace in {SEED_LAYER, *STAGING_NAMESPACES.values()}:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{namespace}")
+        for view, namespace in STAGING_NAMESPACES.items():
+            feed, _ = staging_sql.SOURCES[view]
+            if feed not in self.feed_tables:
+                continue
+            self.feed_tables[feed].register(f"{prefix}{SEED_LAYER}.{feed}")
+            text = staging_sql.select(view, f"{prefix}{SEED_LAYER}.{feed}__files", self.as_of, self.run_ts)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {prefix}{namespace}.{view} AS {text}")
 
     # -- runs ------------------------------------------------------------------------------------------------
 
@@ -159,6 +183,12 @@ class Warehouse:
         """Delete what only snapshots before the last ``keep`` of each table name."""
         for name in (*TABLES, *STATE):
             self.table(name).expire(keep)
+        for name in TABLES:
+            evidence = Table(self.spark, f"{self.root}/{EVIDENCE_LAYER}/{name}")
+            if evidence.exists():
+                evidence.expire(keep)
+        for table in self.feed_tables.values():
+            table.expire(keep)
 
     def refresh_finance_daily(self) -> None:
         """From all transactions, or, of a feed kept by month, from the months that are others than at the last run."""
@@ -331,9 +361,13 @@ class Warehouse:
 
     # -- checks ----------------------------------------------------------------------------------------------
 
-    def check(self, checks: dict[str, list[Check]] | None = None) -> DataFrame:
+    def check(self, checks: dict[str, list[Check]] | None = None, by_change: bool = False) -> DataFrame:
+        """The report of the checks. ``by_change``: of stored tables, evidence is kept for each partition, and only partitions
+        that were written since the last such check are read."""
         checks = DEFAULT_CHECKS if checks is None else checks
-        return check_relations({name: self.relation(name) for name in checks}, checks)
+        kept = {name: keep_evidence(self.table(name), listed, f"{self.root}/{EVIDENCE_LAYER}/{name}")
+                for name, listed in checks.items() if by_change and listed and name in TABLES}
+        return check_relations({name: self.relation(name) for name in checks}, checks, kept)
 
 
 def _moved(loads: dict[str, str], seen: dict[str, str]) -> list[str]:

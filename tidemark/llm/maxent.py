@@ -59,6 +59,7 @@ CHUNK = 1024          # tokens worked on at once: their 64 outcomes stay in the
 _TABLE = (CLASS_ROWS + WORD_ROWS) * 64        # both tables, one after the other
 _PART = 1 << 16                               # numbers of a table sent as one row
 _SALTS = 4
+_SCANS_PER_TABLE = 6                          # scan partitions that one task takes in turn, with one table for all
 _NONE = -1e30
 _NO_RANK = np.iinfo(np.int64).max
 
@@ -436,7 +437,7 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
     if not model.n:
         return model
     context = rows.sparkSession.sparkContext
-    tasks = context.defaultParallelism        # a table for each core, which takes several scan partitions in turn
+    tasks = max(1, -(-rows.select("text").rdd.getNumPartitions() // _SCANS_PER_TABLE))
     seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # a model has a fixed size
     scale = np.zeros(_TABLE, np.float32)
     for level, n_rows in ((0, CLASS_ROWS), (1, CLASSES_OF_WORDS * OWN_ROWS)):

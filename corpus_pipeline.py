@@ -33,11 +33,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays: the one of the smallest id (all with a null id)."""
+    """One row of each class of near-duplicates stays: that of the smallest id, rows with a null id last.
+
+    Rows are known by a hash of id and text, so that each of several texts of one id, and each text without an id, is in a
+    class; of rows equal in both one stays."""
     on_workers(spark)
-    classes = forest.join(docs.select("doc_id", "text")).select("doc_id", "class_id").distinct()
-    dropped = classes.where("doc_id <> class_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.withColumn("__row", contamination.row_key("doc_id", "text"))
+    ids = materialize(rows.groupBy("__row", "doc_id").agg(F.count(F.lit(1)).alias("times")), "row-ids")
+    classes = forest.join(rows.select("__row", "text"), "__row").select("__row", "class_id").distinct()
+    members = materialize(classes.join(ids, "__row"), "class-members")
+    stays = members.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")).select(
+        F.col("first.__row").alias("__row"))
+    dropped = members.join(stays, "__row", "left_anti").select("__row")
+    kept = rows.join(dropped, "__row", "left_anti")
+    repeated = ids.where("times > 1").select("__row")
+    once = kept.join(repeated, "__row", "left_semi").groupBy("__row").agg(F.min(F.struct(*COLUMNS)).alias("own"))
+    return kept.join(repeated, "__row", "left_anti").select(*COLUMNS).unionByName(once.select("own.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,9 @@ from tidemark.llm import queries
 from tidemark.session import materialize
 
 SF = "/root/testdata/sf0.001"
-DEALT = {1: "op1_", 2: "op2_", 3: "op3_", 4: "op4_", 5: "op5_", 6: "op6_", 7: "op7_", 8: "op8_", 9: "op9_", 10: "op10_"}
+DEALT = {1: "op1_", 2: "op2_", 3: "op3_", 4: "op4_", 5: "op5_", 6: "op6_", 7: "op7_", 8: "op8_", 9: "op9_", 10: "op10_",
+         11: "op11_", 12: "op12_", 13: "op13_"}
+PER_ROW = [name for name in queries.queries() if not name.startswith(("op11_", "op12_"))]    # those two have tests of their own
 
 
 def test_queries_are_registered():
@@ -22,7 +24,7 @@ def test_queries_are_registered():
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", list(queries.queries()))
+@pytest.mark.parametrize("name", PER_ROW)
 def test_query_returns_a_row_per_row(spark, name):
     table = "conversations" if name.startswith("op6_") else "documents"
     assert queries.queries()[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
@@ -69,6 +71,20 @@ def test_stages(spark, tmp_path):
     assert sorted(map(tuple, last.collect())) == sorted(map(tuple, docs.collect()))
 
 
+def test_one_row_of_a_class_stays_whatever_its_id(spark, tmp_path):
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(60))
+    near = text(1) + " more"
+    rows = [(5, text(1)), (5, text(1)), (9, near), (None, text(1)), (None, text(2)), (None, text(2)), (7, text(3)), (7, text(4)),
+            (3, text(4)), (8, text(5)), (None, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", f"s{i}", 1) for i, (d, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text), r.source) for r in out.collect()) == sorted([
+        ("5", text(1), "s0"), ("None", text(2), "s4"), ("7", text(3), "s6"), ("3", text(4), "s8"), ("8", text(5), "s9"),
+        ("None", "", "s10"), ("None", "None", "s11")])
+
+
 def test_empty_table(spark, tmp_path):
     folder = str(tmp_path)
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{folder}/documents.parquet")

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
-from tidemark.operators import Check, check_relations
-from tidemark.operators.quality import ACCEPTED, NOT_NULL, UNIQUE
+from tidemark.operators import Check, Partitioning, Table, check_relations
+from tidemark.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, keep_evidence
 from tidemark.plans.checks import DEFAULT_CHECKS, VALUE_CHECKS
 
 

@@ -90,10 +90,9 @@ def _daily(spark, sf_dir):
 
 
 def _enriched_from(spark, sf_dir, orders: DataFrame) -> DataFrame:
-    return commerce.int_orders_enriched(
-        orders, materialize(_stg_customers(spark, sf_dir), "stg_customers"),
-        materialize(_stg_products(spark, sf_dir), "stg_products"),
-        materialize(_daily(spark, sf_dir), "int_finance_daily"), RUN_TS)
+    """Customers and products are projections of their feeds, cheaper to read again than to write; the rates are not."""
+    return commerce.int_orders_enriched(orders, _stg_customers(spark, sf_dir), _stg_products(spark, sf_dir),
+                                        materialize(_daily(spark, sf_dir), "int_finance_daily"), RUN_TS)
 
 
 def _enriched(spark, sf_dir):

@@ -356,7 +356,8 @@ class Warehouse:
                 self.refresh_facts(*there)
 
     def _enriched(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-        customers, products = self.stored_sides() if sides is None else sides
+        # once, a projection of a feed is cheaper to read again (to measure it, then to join it) than to write
+        customers, products = (self.stg_customers(), self.stg_products()) if sides is None else sides
         return commerce.int_orders_enriched(orders, customers, products, self.relation(DAILY), self.run_ts)
 
     # -- checks ----------------------------------------------------------------------------------------------

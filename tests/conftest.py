@@ -11,7 +11,6 @@ def make_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.default.parallelism", "2")
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "512")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.log.level", "ERROR")

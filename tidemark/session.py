@@ -31,8 +31,6 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
         "spark.sql.shuffle.partitions": n,
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
-        # a table's folders, one a partition, are listed by the driver: a job for that costs more than some hundred listings
-        "spark.sql.sources.parallelPartitionDiscovery.threshold": "512",
     }
 
 

@@ -168,6 +168,8 @@ class Tree:
 
 @dataclass
 class Model:
+    """Weight tables of a fixed size, and the words in classes, which grow with the vocabulary: 28 bytes each."""
+
     n: int                                     # training tokens
     distinct: int
     hashes: np.ndarray                         # known tokens, sorted
@@ -438,7 +440,7 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
         return model
     context = rows.sparkSession.sparkContext
     tasks = max(1, -(-rows.select("text").rdd.getNumPartitions() // _SCANS_PER_TABLE))
-    seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # a model has a fixed size
+    seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # see Model
     scale = np.zeros(_TABLE, np.float32)
     for level, n_rows in ((0, CLASS_ROWS), (1, CLASSES_OF_WORDS * OWN_ROWS)):
         part = slice(_offset(level), _offset(level) + n_rows * 64)
@@ -601,7 +603,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     release(spark)
     model = train(learning, counts)
     release(spark)
-    dealt = rows.mapInArrow(_score(spark.sparkContext.broadcast(model), n), blocks.SCHEMA)      # of a fixed size
+    dealt = rows.mapInArrow(_score(spark.sparkContext.broadcast(model), n), blocks.SCHEMA)
     first = counts.select("bucket", F.lit(0).alias("part"), "n", "payload").union(_with_part(dealt, n, 1))
     sums = blocks.gather(first, n, "part").mapInArrow(_look_up_rare(n), blocks.SCHEMA)
     found = blocks.gather(_with_part(sums, n, 0), n, "part").mapInArrow(

@@ -64,7 +64,8 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
                         run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per order, with its customer, its product and the daily rate of its currency.
 
-    ``daily`` should be a stored table: it is measured first, then joined.
+    ``daily`` should be a stored table: it is measured first, then joined. Columns of ``orders`` whose names begin with two
+    underscores are carried along.
     """
     customer_part = customers.select(
         "customer_id", "customer_segment", F.col("country_code").alias("customer_country"), "days_since_signup")
@@ -99,6 +100,7 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
         "gross_margin_pct",
         *[column.alias(name) for name, column in _measures().items()],
         now_or(run_ts).alias("_dbt_updated_at"),
+        *[c for c in orders.columns if c.startswith("__")],
     )
 
 

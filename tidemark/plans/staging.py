@@ -28,7 +28,8 @@ def _date(raw: DataFrame, column: str) -> Column:
     return strict_date(F.col(column), raw.schema[column].dataType)
 
 
-def stg_orders(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+def stg_orders(raw: DataFrame, run_ts: dt.datetime | None = None, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``carried``: columns that come along as they are."""
     return raw.where(F.col("order_id").isNotNull()).select(
         _text("order_id"),
         _text("customer_id"),
@@ -40,6 +41,7 @@ def stg_orders(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
         F.lower("channel").alias("order_channel"),
         F.upper("region").alias("region"),
         now_or(run_ts).alias("_dbt_loaded_at"),
+        *carried,
     )
 
 

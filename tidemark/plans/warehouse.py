@@ -227,17 +227,12 @@ class Warehouse:
             orders = staging.stg_orders(feed.read(months, hidden=True), self.run_ts)
         return orders.where(F.col("order_date") >= F.lit(day))
 
-    def upsert_orders(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None,
-                      versions: DataFrame | None = None) -> DataFrame | None:
+    def upsert_orders(self, orders: DataFrame, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame | None:
         """Enrich staged orders and replace or add them by order id.
 
-        ``versions`` has the ``order_id`` of each, with ``VERSION`` and ``DIGEST``: see :meth:`Table.upsert`, also for what
-        is returned.
+        They may carry ``VERSION`` and ``DIGEST``: see :meth:`Table.upsert`, also for what is returned.
         """
-        enriched = self._enriched(orders, sides)
-        if versions is not None:
-            enriched = enriched.join(versions, "order_id")
-        return self.table("int_orders_enriched").upsert(enriched, "order_id")
+        return self.table("int_orders_enriched").upsert(self._enriched(orders, sides), "order_id")
 
     def stored_sides(self) -> tuple[DataFrame, DataFrame]:
         """Staged customers and products, computed once and stored."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
+from tidemark.operators.joins import lookup
 from tidemark.operators.tables import DIGEST, VERSION
 from tidemark.plans import staging
 from tidemark.plans.warehouse import Warehouse
@@ -18,12 +19,14 @@ SEQUENCE = "arrived"
 def latest_versions(orders: DataFrame, sequence: str = SEQUENCE) -> tuple[DataFrame, DataFrame]:
     """The last version of each order by ``sequence``, and orders whose last versions tie but differ.
 
-    Equal rows are one version. Tied orders are in the second result only, with all their tied versions.
+    Equal rows are one version. Tied orders are in the second result only, with all their tied versions. The versions are
+    found once and stored, as both results are read more than once.
     """
-    versions = orders.distinct()
+    # dealt by order once: both the distinct rows and the windows can stay there
+    versions = orders.repartition("order_id").distinct()
     last = Window.partitionBy("order_id").orderBy(F.col(sequence).desc_nulls_last())
     ranked = versions.withColumn("__rank", F.rank().over(last)).where("__rank = 1").drop("__rank")
-    ties = ranked.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
+    ties = materialize(ranked.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("order_id"))), "batch")
     return ties.where("__n = 1").drop("__n"), ties.where("__n > 1").drop("__n")
 
 
@@ -50,13 +53,12 @@ def stream_orders(warehouse: Warehouse, raw_orders: DataFrame, checkpoint: str,
         if sequence is None:
             warehouse.upsert_orders(staging.stg_orders(batch), sides=sides)
             return
-        arrived = materialize(batch.where(F.col("order_id").isNotNull()), "batch")
-        last, tied = latest_versions(arrived, sequence)
-        versions = last.select(F.col("order_id").cast("string").alias("order_id"), F.col(sequence).alias(VERSION),
-                               _digest(last, sequence).alias(DIGEST))
-        unclear = warehouse.upsert_orders(staging.stg_orders(last.drop(sequence)), sides, versions)
+        last, tied = latest_versions(batch.where(F.col("order_id").isNotNull()), sequence)
+        versions = {VERSION: F.col(sequence), DIGEST: _digest(last, sequence)}
+        staged = staging.stg_orders(last.withColumns(versions).drop(sequence), carried=(VERSION, DIGEST))
+        unclear = warehouse.upsert_orders(staged, sides)
         if unclear is not None:
-            tied = tied.unionByName(last.join(unclear.select("order_id"), "order_id", "left_semi"))
+            tied = tied.unionByName(lookup(last, unclear.select("order_id"), ["order_id"], spread=None, how="left_semi"))
         if conflicts is not None:
             tied.write.mode("overwrite").parquet(f"{conflicts}/batch={number}")
         elif not tied.isEmpty():

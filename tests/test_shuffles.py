@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+import pytest
+
+from tests.feeds import customer, feeds, order, product, transaction
+from tidemark import Warehouse
 from tidemark.operators import Table
 from tidemark.operators.tables import DIGEST, VERSION, Partitioning
 from tidemark.streaming.orders import latest_versions
 
 
+@pytest.fixture
+def gathered(spark, monkeypatch):
+    """Columns of the rows that were gathered by partition."""
+    kind = type(spark.range(1))
+    found, hint = [], kind.hint
+
+    def noted(self, name, *parameters):
+        if name == "rebalance":
+            found.append(set(self.columns))
+        return hint(self, name, *parameters)
+
+    monkeypatch.setattr(kind, "hint", noted)
+    return found
+
+
 def test_versions_of_a_batch_are_found_once(spark):
     rows = [("1", 1, "a"), ("1", 2, "b"), ("1", 2, "b"), ("2", 1, "a"), ("3", 1, "a"), ("3", 1, "b"), ("3", None, "c")]
     last, tied = latest_versions(spark.createDataFrame(rows, "order_id string, arrived int, status string"))
@@ -29,3 +50,19 @@ def test_versions_are_judged_without_their_rows(spark, tmp_path, monkeypatch):
     assert sorted(table.read().collect(), key=str) == sorted(
         [("1", "a1"), ("2", "a2"), ("3", "b8"), ("4", "c4"), (None, "c5")], key=str)
     assert ("versions", ["id", "__verdict"]) in stored
+
+
+def test_facts_are_gathered_narrow_or_not_at_all(spark, tmp_path, gathered):
+    raw = feeds(spark, orders=[order("1", "C1", "P1", "2024-01-05", "250"), order("2", "C1", "P1", "2024-02-05", "20"),
+                               order("3", None, "P1", "never", "20")],
+                customers=[customer("C1")], products=[product("P1", "1", "2")],
+                transactions=[transaction("t1", "1", "2024-01-05", "250"), transaction("t2", "2", None, "20")])
+    warehouse = Warehouse(spark, str(tmp_path), raw, dt.date(2024, 7, 1))
+    warehouse.refresh_finance_daily()
+    warehouse.refresh_orders()
+    gathered.clear()
+    warehouse.refresh_facts()
+    assert len(gathered) == 1 and "transaction_sk" not in gathered[0]
+    assert warehouse.table("fct_orders").partitions() == ["2024-01", "2024-02", "__HIVE_DEFAULT_PARTITION__"]
+    assert warehouse.table("fct_transactions").partitions() == ["2024-01", "__HIVE_DEFAULT_PARTITION__"]
+    assert warehouse.relation("fct_orders").count() == 3 and warehouse.relation("dummy_test").count() == 2

@@ -158,25 +158,27 @@ class Table:
 
     # -- writing ---------------------------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame, seen: dict[str, str] | None = None, key: str | None = None) -> None:
+    def overwrite(self, df: DataFrame, seen: dict[str, str] | None = None, key: str | None = None,
+                  gathered: bool = False) -> None:
         """Replace all rows; the table then has the partitioning it is opened with.
 
         ``seen`` is kept with the table: the :meth:`loads` of another table that the rows were made from. ``key`` is the
-        column that later upserts go by; its index is written along.
+        column that later upserts go by; its index is written along. ``gathered``: rows of a partition lie together already,
+        as in a table with the same partitions, and are not shuffled for it.
         """
         base = self._snapshot()
-        loads, index = self._write(df, key)
+        loads, index = self._write(df, key, gathered)
         if not self._commit(base, loads, index, df.schema, seen, key):
             raise CommitConflict(f"{self.path} was written by another while its rows were replaced")
 
     def replace(self, partitions: list[str], df: DataFrame, seen: dict[str, str] | None = None,
-                key: str | None = None) -> None:
-        """Replace the rows of some partitions; all rows of ``df`` have to lie in them."""
+                key: str | None = None, gathered: bool = False) -> None:
+        """Replace the rows of some partitions; all rows of ``df`` have to lie in them. ``gathered``: as in :meth:`overwrite`."""
         base = self._existing()
         self._same_partitioning(base)
         schema = _schema(base)
         new = [f for f in df.schema.fields if f.name not in schema.fieldNames()]
-        loads, index = self._write(_as_stored(df, schema), key) if partitions else ({}, {})
+        loads, index = self._write(_as_stored(df, schema), key, gathered) if partitions else ({}, {})
         if not set(loads) <= set(partitions):
             raise ValueError(f"rows of other partitions: {sorted(set(loads) - set(partitions))}")
         if not self._commit(base, loads, index, T.StructType([*schema.fields, *new]), seen, key, set(partitions)):
@@ -364,7 +366,7 @@ class Table:
         folder = load[len(_FOREIGN):] if load.startswith(_FOREIGN) else f"{self.path}/data/load={load}"
         return f"{folder}/{self.partitioning.name}={partition}" if self.partitioning else folder
 
-    def _write(self, df: DataFrame, key: str | None = None) -> tuple[dict[str, str], dict[str, list[int]]]:
+    def _write(self, df: DataFrame, key: str | None = None, gathered: bool = False) -> tuple[dict[str, str], dict[str, list[int]]]:
         """Write ``df`` to a new folder and return the folder of each partition written, and the range of its keys."""
         load = f"l{uuid.uuid4().hex[:16]}"
         folder = f"{self.path}/data/load={load}"
@@ -373,8 +375,8 @@ class Table:
             return {_WHOLE: load}, {}
         name = self.partitioning.name
         # The names of the partitions, at most, are read back. REBALANCE gathers each partition into few files and lets AQE split a partition that is much larger.
-        (df.withColumn(name, F.expr(self.partitioning.value).cast("string")).hint("rebalance", F.col(name))
-         .write.partitionBy(name).parquet(folder))
+        named = df.withColumn(name, F.expr(self.partitioning.value).cast("string"))
+        (named if gathered else named.hint("rebalance", F.col(name))).write.partitionBy(name).parquet(folder)
         stored = T.StructType([*df.schema.fields, T.StructField(name, T.StringType())])
         written = self.spark.read.schema(stored).option("basePath", folder).parquet(folder)
         files = written.inputFiles()

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup
+from tidemark.operators.joins import fits_broadcast, lookup
 from tidemark.operators.quality import Check, check_relations, keep_evidence
 from tidemark.operators.tables import NULL_PARTITION, Partitioning, Table
 from tidemark.plans import commerce, finance, semantic, staging, staging_sql
@@ -285,11 +285,11 @@ class Warehouse:
         fact, orders = self.table("fct_orders"), self.table("int_orders_enriched")
         loads = orders.loads()
         if full_refresh or not _follows(fact):
-            fact.overwrite(commerce.fct_orders(orders.read()), loads)
+            fact.overwrite(commerce.fct_orders(orders.read()), loads, gathered=True)
             return
         months = _moved(loads, fact.seen())
         if months:
-            fact.replace(months, commerce.fct_orders(orders.read(months)), loads)
+            fact.replace(months, commerce.fct_orders(orders.read(months)), loads, gathered=True)
 
     def _refresh_transaction_facts(self, full_refresh: bool = False) -> None:
         """Months with a day whose stored figures or digests are others than when the fact was last written."""
@@ -297,14 +297,16 @@ class Warehouse:
         number, seen = daily.number(), int(fact.seen().get(DAILY, 0))
         seen_now = {DAILY: str(number)}
         if full_refresh or not _follows(fact) or seen not in daily.numbers():
-            fact.overwrite(self._transaction_facts(self.stg_transactions()), seen_now)
+            rows, gathered = self._transaction_facts(self.stg_transactions())
+            fact.overwrite(rows, seen_now, gathered=gathered)
         elif seen != number:
             days = finance.changed_days(daily.read_at(seen, hidden=True), daily.read_at(number, hidden=True))
             month = F.date_format("rate_date", "yyyy-MM")
             found = [row[0] for row in days.select(month).distinct().collect()]        # months
             months = [NULL_PARTITION if m is None else m for m in found]
             if months:
-                fact.replace(months, self._transaction_facts(self._transactions_of(months)), seen_now)
+                rows, gathered = self._transaction_facts(self._transactions_of(months))
+                fact.replace(months, rows, seen_now, gathered=gathered)
         copy = self.table("dummy_test")
         if copy.loads() != _named_by_copy(fact):
             copy.copy_of(fact)
@@ -316,8 +318,15 @@ class Warehouse:
         month = F.coalesce(F.date_format("transaction_date", "yyyy-MM"), F.lit(NULL_PARTITION))
         return self.stg_transactions().where(month.isin(months))
 
-    def _transaction_facts(self, transactions: DataFrame) -> DataFrame:
-        return finance.fct_transactions(transactions, self.relation(DAILY), self.run_ts)
+    def _transaction_facts(self, transactions: DataFrame) -> tuple[DataFrame, bool]:
+        """The facts, and whether they are gathered by month: before their keys and daily figures make them wide, if these can
+        then be joined without another shuffle."""
+        daily = self.relation(DAILY)
+        gathered = fits_broadcast(daily)
+        if gathered:
+            month = F.date_format("transaction_date", "yyyy-MM")
+            transactions = transactions.withColumn("__month", month).hint("rebalance", F.col("__month")).drop("__month")
+        return finance.fct_transactions(transactions, daily, self.run_ts), gathered
 
     def restate_rates(self) -> None:
         """Rebuild the daily rates, reprice the stored orders whose rate changed, appeared or went away, and bring the fact

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm import brute
-from tidemark.llm import language, maxent
+from tidemark.llm import language, maxent, spans
 
 SF = "/root/testdata/sf0.01"
 
@@ -79,6 +80,26 @@ def test_nothing_to_learn_from(spark):
     assert language.identify(docs.limit(0)).count() == 0
 
 
+def test_a_large_batch_is_worked_on_in_small_pieces():
+    rng = np.random.default_rng(5)
+    words = np.array(["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(2, 9, 5000)])
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(900)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    model = language.Model(["aa", "bb", "cc"], rng.random((1 << language.FEATURE_BITS, 3)).astype(np.float32),
+                           np.ones((len(language._NAMES) + 1, 3), bool))
+
+    def labelled(limit):
+        tracemalloc.start()
+        found = [language._label(model, piece.column("text"))[:2] for piece in spans.pieces([batch], "text", limit)]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return [value for columns in found for value in zip(*(c.to_pylist() for c in columns))], peak
+
+    small, least = labelled(language.PIECE_BYTES)
+    large, most = labelled(spans.PIECE_BYTES)
+    assert small == large and least < most / 2
+
+
 # -- language model ------------------------------------------------------------------------------------------------
 
 def tokens(text):

@@ -244,6 +244,7 @@ def encode(df: DataFrame, path: str, text: str = "text", places: bool = True, de
                 columns.append(_binary(*own.decode(ids, before)))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         own.forget()      # the worker lives on, and what it runs next needs the memory
+        pa.default_memory_pool().release_unused()
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text)).mapInArrow(run, schema)
 

@@ -31,6 +31,7 @@ FEATURE_BITS = 16
 GRAMS = (1, 2, 3, 4)
 SWITCH = 12.0                  # cost of changing the language between two words, in nats
 RUN = 128
+PIECE_BYTES = 1 << 18          # texts worked on at once: a piece needs several hundred bytes of memory for each of its own
 SCRIPT_SHARE = 0.002           # a language uses a script if this share of its letters is in it
 
 # First code point and script of ranges of letters (Unicode blocks).
@@ -119,7 +120,7 @@ def train(docs: DataFrame, text: str = "text", language: str = "lang", key: str
     sample = known.where(place < share).select(F.col(language).alias("lang"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in spans.pieces(batches, "text"):
+        for batch in spans.pieces(batches, "text", PIECE_BYTES):
             data, offsets = spans.buffers(batch.column("text"))
             padded, begins, number, first = _distinct_words(data, offsets)
             own = pd.Index(languages).get_indexer(batch.column("lang").to_pandas())[spans.owners(first)]
@@ -260,7 +261,7 @@ def label(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)     # 2^16 features x languages, 4 bytes each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in spans.pieces(batches, text):
+        for batch in spans.pieces(batches, text, PIECE_BYTES):
             columns = [batch.column(name) for name in kept] + _label(shared.value, batch.column(text))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 

@@ -10,6 +10,7 @@ from tests.feeds import customer, feeds, order, product, transaction
 from tidemark import Warehouse
 from tidemark.operators import Table
 from tidemark.operators.tables import DIGEST, VERSION, Partitioning
+from tidemark.plans import commerce
 from tidemark.streaming.orders import latest_versions
 
 
@@ -66,3 +67,25 @@ def test_facts_are_gathered_narrow_or_not_at_all(spark, tmp_path, gathered):
     assert warehouse.table("fct_orders").partitions() == ["2024-01", "2024-02", "__HIVE_DEFAULT_PARTITION__"]
     assert warehouse.table("fct_transactions").partitions() == ["2024-01", "__HIVE_DEFAULT_PARTITION__"]
     assert warehouse.relation("fct_orders").count() == 3 and warehouse.relation("dummy_test").count() == 2
+
+
+def test_customer_figures_by_month_are_not_sorted(spark):
+    orders = spark.createDataFrame(
+        [], "order_id string, customer_id string, order_date date, order_channel string, region string, order_amount_usd "
+            "decimal(12,2), recognized_revenue_usd decimal(12,2), gross_profit_usd decimal(12,2), is_completed boolean, "
+            "is_returned boolean, is_cancelled boolean")
+    parts = commerce.customer_order_parts(orders)
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_totals_of_a_customer_with_several_channels_in_a_month(spark, tmp_path):
+    orders = [order("1", "C1", "P1", "2024-01-05", "10", channel="online", region="us"),
+              order("2", "C1", "P1", "2024-01-06", "20", channel="phone", region="eu"),
+              order("3", "C1", "P1", "2024-02-06", "30", channel="mail", region="uk")]
+    raw = feeds(spark, orders=orders, customers=[customer("C1")], products=[product("P1", "1", "2")])
+    warehouse = Warehouse(spark, str(tmp_path), raw, dt.date(2024, 7, 1))
+    warehouse.run()
+    assert warehouse.table("customer_order_parts").read().count() == 3
+    row = warehouse.relation("int_customer_360").first()
+    assert (row.total_orders, row.lifetime_revenue_usd, row.preferred_channel, row.primary_region) == (3, 60, "phone", "US")

@@ -142,9 +142,13 @@ def _merged(parts: DataFrame, *by: str) -> DataFrame:
 
 
 def customer_order_parts(orders: DataFrame) -> DataFrame:
-    """One row per customer and month of orders, from which :func:`customer_totals` makes the totals."""
+    """One row per customer, month of orders, channel and region, from which :func:`customer_totals` makes the totals.
+
+    Merging them to a row per customer and month would take a sort for the text maxima and another shuffle, and the totals
+    are merged from whatever rows there are.
+    """
     month = F.date_format("order_date", "yyyy-MM").alias("order_month")
-    return _merged(_gathered(orders.select("*", month), "customer_id", "order_month"), "customer_id", "order_month")
+    return _gathered(orders.select("*", month), "customer_id", "order_month")
 
 
 def customer_totals(parts: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 
@@ -11,6 +12,8 @@ from tidemark import Warehouse
 from tidemark.operators import Table
 from tidemark.operators.tables import DIGEST, VERSION, Partitioning
 from tidemark.plans import commerce
+from tidemark.plans import warehouse as warehouse_module
+from tidemark.session import side_by_side
 from tidemark.streaming.orders import latest_versions
 
 
@@ -89,3 +92,55 @@ def test_totals_of_a_customer_with_several_channels_in_a_month(spark, tmp_path):
     assert warehouse.table("customer_order_parts").read().count() == 3
     row = warehouse.relation("int_customer_360").first()
     assert (row.total_orders, row.lifetime_revenue_usd, row.preferred_channel, row.primary_region) == (3, 60, "phone", "US")
+
+
+def test_independent_steps_run_at_the_same_time(spark):
+    both, ended = threading.Barrier(2, timeout=30), []
+
+    def step(number):
+        both.wait()
+        if number == 0:
+            raise ValueError("the first step")
+        ended.append(spark.range(10).count())
+
+    with pytest.raises(ValueError, match="the first step"):
+        side_by_side(spark, lambda: step(0), lambda: step(1))
+    assert ended == [10]
+
+
+def test_transaction_facts_are_written_beside_the_orders(spark, tmp_path, monkeypatch):
+    both, threads = threading.Barrier(2, timeout=60), set()
+
+    def noted(name):
+        own = getattr(Warehouse, name)
+
+        def run(self, *args, **kwargs):
+            threads.add(threading.get_ident())
+            both.wait()
+            return own(self, *args, **kwargs)
+        monkeypatch.setattr(Warehouse, name, run)
+
+    noted("refresh_orders")
+    noted("_refresh_transaction_facts")
+    raw = feeds(spark, orders=[order("1", "C1", "P1", "2024-01-05", "10")], customers=[customer("C1")],
+                products=[product("P1", "1", "2")], transactions=[transaction("t1", "1", "2024-01-05", "250")])
+    warehouse = Warehouse(spark, str(tmp_path), raw, dt.date(2024, 7, 1))
+    warehouse.run()
+    assert len(threads) == 2
+    assert warehouse.relation("fct_orders").count() == warehouse.relation("dummy_test").count() == 1
+
+
+def test_feeds_are_loaded_at_the_same_time(spark, tmp_path, monkeypatch):
+    all_four, load = threading.Barrier(4, timeout=60), warehouse_module.load_feed
+
+    def waiting(*args):
+        all_four.wait()
+        return load(*args)
+
+    raw = feeds(spark, orders=[order("1", "C1", "P1", "2024-01-05", "10")], customers=[customer("C1")],
+                products=[product("P1", "1", "2")], transactions=[transaction("t1", "1", "2024-01-05", "250")])
+    for name, rows in raw.items():
+        rows.write.option("header", True).csv(f"{tmp_path}/incoming/{name}.csv")
+    monkeypatch.setattr(warehouse_module, "load_feed", waiting)
+    warehouse = Warehouse.from_csv(spark, f"{tmp_path}/root", f"{tmp_path}/incoming", as_of=dt.date(2024, 7, 1))
+    assert {name: rows.count() for name, rows in warehouse.feeds.items()} == dict.fromkeys(raw, 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidemark.operators.quality import Check, check_relations, keep_evidence
 from tidemark.operators.tables import NULL_PARTITION, Partitioning, Table
 from tidemark.plans import commerce, finance, semantic, staging, staging_sql
 from tidemark.plans.checks import DEFAULT_CHECKS
-from tidemark.session import materialize, temporary
+from tidemark.session import materialize, side_by_side, temporary
 from tidemark.sources.feeds import load_feed
 from tidemark.sources.schemas import FEEDS
 
@@ -86,7 +87,9 @@ class Warehouse:
     def from_csv(cls, spark: SparkSession, root: str, folder: str, **options) -> Warehouse:
         """Load the CSV feeds into tables first, then read those; of feeds that grow, only new files."""
         with temporary(spark):
-            tables = {feed: load_feed(spark, feed, f"{folder}/{feed}.csv", f"{root}/{SEED_LAYER}/{feed}") for feed in FEEDS}
+            loaded = side_by_side(spark, *[
+                partial(load_feed, spark, feed, f"{folder}/{feed}.csv", f"{root}/{SEED_LAYER}/{feed}") for feed in FEEDS])
+        tables = dict(zip(FEEDS, loaded))
         feeds = {feed: table.read(hidden=True) for feed, table in tables.items()}
         return cls(spark, root, feeds, feed_tables=tables, **options)
 
@@ -173,11 +176,16 @@ class Warehouse:
 
     def run(self, full_refresh: bool = False) -> None:
         """Bring all tables up to date; ``full_refresh`` rebuilds the incremental ones too."""
-        with temporary(self.spark):
-            self.refresh_finance_daily()
+        def commerce_tables() -> None:
             self.refresh_orders(full_refresh)
             self.refresh_customers(full_refresh)
-            self.refresh_star_schema(full_refresh)
+            self._refresh_customer_dimension()
+            self.refresh_facts("fct_orders", full_refresh=full_refresh)
+
+        with temporary(self.spark):
+            self.refresh_finance_daily()
+            # neither needs what the other writes
+            side_by_side(self.spark, commerce_tables, lambda: self.refresh_facts("fct_transactions", full_refresh=full_refresh))
 
     def expire(self, keep: int = 2) -> None:
         """Delete what only snapshots before the last ``keep`` of each table name."""
@@ -270,9 +278,12 @@ class Warehouse:
 
     def refresh_star_schema(self, full_refresh: bool = False) -> None:
         """The customer dimension, and the facts: of those, the months whose orders, or whose transactions, are others."""
-        self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360"), self.run_ts))
+        self._refresh_customer_dimension()
         self.refresh_facts(full_refresh=full_refresh)
 
+    def _refresh_customer_dimension(self) -> None:
+        self.table("dim_customer").overwrite(commerce.dim_customer(self.relation("int_customer_360"), self.run_ts))
+
     def refresh_facts(self, *names: str, full_refresh: bool = False) -> None:
         """Bring fact tables up to date (none named: both); the copy of the transactions goes with them."""
         if not names or "fct_orders" in names:

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import dates
 from tidemark.functions import (cents_to_dollars, days_between, exact_avg, exact_sum, fiscal_quarter, null_if_zero,
                                 safe_divide, strict_date, surrogate_key, text_flag, title_case)
 
@@ -108,3 +109,15 @@ def test_exact_sum_refuses_more_digits_than_it_can_hold(spark):
     frame = spark.sql("SELECT cast('12345678901234567.89' AS decimal(20,2)) AS x")
     with pytest.raises(Exception, match="more than 15 digits"):
         frame.agg(exact_sum(F.col("x"), 2)).collect()
+
+
+def test_plain_dates_skip_the_pattern_and_nothing_else_does(spark):
+    texts = ["2024-01-05", "2024-13-45", "2024-01-1 ", "2024-01-1T", "2024-1 -01", "2024-0T-01", "+024-01-01", "-024-01-01",
+             " 024-01-01", "2024-1-123", "20240-1-01", "2024-01-0\u0661", "abcd-ef-g1", "2024-01-05 10:00", "2024-1-5", "2024", "", None]
+    value = F.col("t")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        strict_date(value, T.StringType()).alias("now"),
+        F.when(value.rlike(dates.DATE_PATTERN), value.try_cast("date")).alias("by_pattern"),
+        F.coalesce(dates._plain(value), F.lit(False)).alias("plain"), "t").collect()
+    assert [row.now for row in rows] == [row.by_pattern for row in rows]
+    assert [row.t for row in rows if row.plain][0] == "2024-01-05" and sum(row.now is not None for row in rows) == 3

@@ -144,3 +144,33 @@ def test_feeds_are_loaded_at_the_same_time(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warehouse_module, "load_feed", waiting)
     warehouse = Warehouse.from_csv(spark, f"{tmp_path}/root", f"{tmp_path}/incoming", as_of=dt.date(2024, 7, 1))
     assert {name: rows.count() for name, rows in warehouse.feeds.items()} == dict.fromkeys(raw, 1)
+
+
+def test_restated_orders_are_looked_for_in_their_own_months(spark, tmp_path, monkeypatch):
+    orders = [order("1", "C1", "P1", "2024-01-05", "10", currency="eur"), order("2", "C1", "P1", "2024-02-05", "10", currency="eur"),
+              order("3", "C1", "P1", "2024-01-07", "10", currency="eur")]
+    paid = lambda rate: [transaction("t1", "1", "2024-01-05", "250", currency="eur", rate=rate)]
+    make = lambda rate: Warehouse(spark, str(tmp_path), feeds(
+        spark, orders=orders, customers=[customer("C1")], products=[product("P1", "1", "2")], transactions=paid(rate)),
+        dt.date(2024, 7, 1))
+    make("1.5").run()
+    searched, holding = [], Table._holding
+    monkeypatch.setattr(Table, "_holding", lambda self, *a, **k: searched.append(self.path) or holding(self, *a, **k))
+    after = make("2.5")
+    before = after.table("int_orders_enriched").loads()
+    after.restate_rates()
+    assert not searched
+    loads = after.table("int_orders_enriched").loads()
+    assert loads["2024-02"] == before["2024-02"] and loads["2024-01"] != before["2024-01"]
+    rates = {row.order_id: float(row.fx_rate) for row in after.relation("fct_orders").collect()}
+    assert rates == {"1": 2.5, "2": 1.0, "3": 1.0}
+
+
+def test_rows_taken_from_an_older_snapshot_are_searched_for(spark, tmp_path):
+    rows = lambda *values: spark.createDataFrame(values, "id string, day string, v int")
+    table = Table(spark, str(tmp_path), Partitioning("month", "substring(day, 1, 7)"))
+    table.overwrite(rows(("a", "2024-01-05", 1), ("b", "2024-02-05", 2)), key="id")
+    number = table.number()
+    table.upsert(rows(("a", "2024-03-05", 3)), "id")                 # another moves the row
+    table.upsert(rows(("a", "2024-01-05", 9)), "id", taken_at=number)
+    assert sorted(map(tuple, table.read().collect())) == [("a", "2024-01-05", 9), ("b", "2024-02-05", 2)]

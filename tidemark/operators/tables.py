@@ -93,9 +93,9 @@ class Table:
             return rows.withColumn(labelled, F.lit(_WHOLE))
         return rows.withColumn(labelled, F.coalesce(self.partitioning.name, F.lit(NULL_PARTITION)))
 
-    def read_at(self, number: int, hidden: bool = False) -> DataFrame:
-        """The rows of a snapshot that has not expired."""
-        return self._rows(self._log.read(number), None, hidden=hidden)
+    def read_at(self, number: int, hidden: bool = False, partitions: list[str] | None = None) -> DataFrame:
+        """The rows of a snapshot that has not expired, or those of some of its partitions only."""
+        return self._rows(self._log.read(number), partitions, hidden=hidden)
 
     def changes(self, since: int, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
         """The rows that differ from those of snapshot ``since``, with ``change``: insert, update (the row as it is now) or
@@ -184,7 +184,8 @@ class Table:
         if not self._commit(base, loads, index, T.StructType([*schema.fields, *new]), seen, key, set(partitions)):
             raise CommitConflict(f"{self.path}: another has written partitions that were replaced")
 
-    def upsert(self, delta: DataFrame, key: str, seen: dict[str, str] | None = None) -> DataFrame | None:
+    def upsert(self, delta: DataFrame, key: str, seen: dict[str, str] | None = None,
+               taken_at: int | None = None) -> DataFrame | None:
         """Replace rows with a key in ``delta``, add the others; columns new in ``delta`` are appended.
 
         A key that occurs twice in ``delta`` is an error, in the first load as in later ones. ``seen``: as in
@@ -193,11 +194,16 @@ class Table:
         If ``delta`` has ``VERSION`` and ``DIGEST``, a row replaces a stored one only if its version is larger (a null is
         the smallest) or the stored one came without. An equal version with an equal digest has been seen; with
         another digest it is left out and returned, as nothing tells which of the two is right.
+
+        ``taken_at`` is the number of the snapshot that the rows of ``delta`` were taken from, if they were and no value that
+        decides their partition was changed: on that snapshot, no other partition is searched for their keys.
         """
         delta = materialize(delta, "delta")
         self._reject_repeated(delta, key)
         for _ in range(ATTEMPTS):
-            done, ties = self._upsert_on(self._snapshot(), delta, key, seen)
+            snapshot = self._snapshot()
+            at_home = taken_at is not None and _number(snapshot) == taken_at
+            done, ties = self._upsert_on(snapshot, delta, key, seen, at_home)
             if done:
                 return ties
         raise CommitConflict(f"{self.path}: others kept writing the same rows, {ATTEMPTS} times")
@@ -296,20 +302,20 @@ class Table:
     # -- parts -----------------------------------------------------------------------------------------------
 
     def _upsert_on(self, snapshot: dict | None, delta: DataFrame, key: str,
-                   seen: dict[str, str] | None) -> tuple[bool, DataFrame | None]:
+                   seen: dict[str, str] | None, at_home: bool = False) -> tuple[bool, DataFrame | None]:
         if snapshot is None:
             return self._commit(None, *self._write(delta, key), delta.schema, seen, key), None
         self._same_partitioning(snapshot)
         schema = _schema(snapshot)
         delta = _as_stored(delta, schema)
-        touched, ties = self._touched(snapshot, delta, key), None
+        touched, ties = self._touched(snapshot, delta, key, at_home), None
         if VERSION in delta.columns and VERSION in schema.fieldNames():
             stale = self._stale(snapshot, delta, key, touched)
             tied = stale.where("__verdict = 'tie'").select(key)
             ties = lookup(delta, tied, [key], spread=None, how="left_semi")
             if not stale.isEmpty():
                 delta = lookup(delta, stale.select(key), [key], spread=None, how="left_anti")
-                touched = self._touched(snapshot, delta, key)
+                touched = self._touched(snapshot, delta, key, at_home)
         new = [f for f in delta.schema.fields if f.name not in schema.fieldNames()]
         if not touched:
             if new or seen is not None:
@@ -387,15 +393,16 @@ class Table:
             index = {p: ranges.get(None if p == NULL_PARTITION else p, []) for p in found}
         return {p: load for p in found}, index
 
-    def _touched(self, snapshot: dict, delta: DataFrame, key: str) -> set[str]:
-        """Partitions that gain rows from ``delta`` or hold a row it replaces (at most all partitions' names)."""
+    def _touched(self, snapshot: dict, delta: DataFrame, key: str, at_home: bool = False) -> set[str]:
+        """Partitions that gain rows from ``delta`` or hold a row it replaces (at most all partitions' names). ``at_home``: they
+        are the same."""
         if not self.partitioning:
             return {_WHOLE} if not delta.isEmpty() else set()
         value, at = F.expr(self.partitioning.value).cast("string"), keyindex.place(key, delta.schema[key].dataType)
         found = delta.groupBy(value.alias("__partition")).agg(F.min(at).alias("low"), F.max(at).alias("high")).collect()
         own = {NULL_PARTITION if row[0] is None else row[0] for row in found}
         known = [row for row in found if row["low"] is not None]
-        if self.partitioning.fixed or not known:
+        if self.partitioning.fixed or at_home or not known:
             return own
         span = min(row["low"] for row in known), max(row["high"] for row in known)
         return own | self._holding(snapshot, delta, key, [p for p in snapshot["loads"] if p not in own], span)

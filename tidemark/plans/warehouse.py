@@ -358,12 +358,13 @@ class Warehouse:
                         F.coalesce("rate_after", F.lit(commerce.NO_RATE)).alias("new_rate")), "changed_rates")
 
             orders = self.table("int_orders_enriched")
+            taken_at = orders.number()
             dated = changed.where(F.col("order_date").isNotNull())
             months = [row[0] for row in dated.select(F.expr(ORDER_MONTH)).distinct().collect()]
             if months:
-                affected = lookup(orders.read(months), dated, ["order_date", "currency_code"], spread="order_id", how="inner")
+                affected = lookup(orders.read_at(taken_at, partitions=months), dated, ["order_date", "currency_code"], spread="order_id", how="inner")
                 repriced = commerce.repriced(affected, F.col("new_rate"), self.run_ts)
-                orders.upsert(repriced.drop("new_rate"), "order_id")
+                orders.upsert(repriced.drop("new_rate"), "order_id", taken_at=taken_at)
             feed = self.feed_tables.get("raw_transactions")
             self.table(DAILY).overwrite(daily, feed.loads() if feed else {})
             there = [name for name in ("fct_orders", "fct_transactions") if self.table(name).exists()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -216,6 +217,48 @@ def test_every_training_row_is_in_a_gradient_update(documents, monkeypatch):
     assert sorted(t for shard in read[1:] for t in shard) == sorted(read[0]) and len(read[0]) == 100
 
 
+def test_sums_go_through_no_files_and_models_leave_the_executors(documents, monkeypatch):
+    docs = documents([(i, f"a b{i % 7} c{i}") for i in range(100)]).selectExpr("xxhash64(doc_id) AS row", "text")
+    written, models, keep = [], [], maxent.materialize
+    monkeypatch.setattr(maxent, "materialize", lambda df, name: written.append(name) or keep(df, name))
+    for name in ("_occurrences", "_gradient"):
+        plain = getattr(maxent, name)
+        monkeypatch.setattr(maxent, name, lambda shared, plain=plain: models.append(shared) or plain(shared))
+    maxent.train(docs, maxent.count_tokens(docs))
+    assert written == ["token-counts", "frequent-tokens"]
+    assert len(models) == 1 + maxent.SHARDS and not any(os.path.exists(shared._path) for shared in models)
+
+
+def test_tables_of_several_tasks_are_summed_into_one(spark):
+    def work(batches):
+        table = np.zeros(maxent._TABLE, np.float32)
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                table[[i, maxent._PART + i, maxent._TABLE - 1]] += 1
+        return table
+    expected = np.zeros(maxent._TABLE)
+    for i in range(40):
+        expected[[i, maxent._PART + i, maxent._TABLE - 1]] += 1
+    assert (maxent._sum_tables(spark.range(0, 40, 1, 10), 5, work) == expected).all()
+
+
+def test_hashing_needs_little_memory_whatever_the_piece():
+    words = [b"x" * 100_000] + [b"w%d" % (i % 1000) for i in range(800_000)] + [b"y" * 100_000]
+    data, offsets = spans.buffers(pa.array([b" ".join(words)], pa.binary()))
+    starts, ends, _ = spans.words(data, offsets)
+    spans.hash_spans(data, starts[:1], ends[:1])        # what is kept for all further calls
+    tracemalloc.start()
+    try:
+        hashes = spans.hash_spans(data, starts, ends)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 16 * len(data)
+    alone = [spans.hash_spans(*spans.buffers(pa.array([w], pa.binary()))[:1], np.array([0]), np.array([len(w)]))[0]
+             for w in words[:5] + words[-5:]]
+    assert [*hashes[:5], *hashes[-5:]] == alone
+
+
 def test_model_of_nothing(documents):
     assert scored(documents([])) == []
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)

@@ -57,8 +57,7 @@ SHARE = 0.5           # of the log ratio that a first weight takes, as features
 STEP, DAMPING = 0.5, 10.0
 CHUNK = 1024          # tokens worked on at once: their 64 outcomes stay in the cache of a core
 _TABLE = (CLASS_ROWS + WORD_ROWS) * 64        # both tables, one after the other
-_PART = 1 << 16                               # numbers of a table sent as one row
-_SALTS = 4
+_PART = 1 << 14                               # numbers of a table sent as one row
 _SCANS_PER_TABLE = 6                          # scan partitions that one task takes in turn, with one table for all
 _NONE = -1e30
 _NO_RANK = np.iinfo(np.int64).max
@@ -350,17 +349,16 @@ def _empty_model(counts: DataFrame) -> Model:
 def _sum_tables(rows: DataFrame, tasks: int, work) -> np.ndarray:
     """Sum over all tasks of the table that ``work`` makes from batches; a table has a fixed size.
 
-    A task sends its whole table, so fewer tasks than the scan has partitions make them.
+    A task sends its whole table, so fewer tasks than the scan has partitions make them. The sum, one table whatever the
+    number of tasks, comes to the driver without files between.
     """
     def run(batches: Batches) -> Batches:
-        from pyspark import TaskContext
         table = work(batches)
-        salt = TaskContext.get().partitionId() % _SALTS
         for i in range(0, _TABLE, _PART):
             part = table[i:i + _PART]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i // _PART * _SALTS + salt], pa.int32()), pa.array([len(part)], pa.int32()),
+                    [pa.array([i // _PART], pa.int32()), pa.array([len(part)], pa.int32()),
                      pa.array([part.astype(np.float32).tobytes()], pa.binary())], names=["bucket", "n", "payload"])
 
     def add(batches: Batches) -> Batches:
@@ -382,15 +380,24 @@ def _sum_tables(rows: DataFrame, tasks: int, work) -> np.ndarray:
 
     out = np.zeros(_TABLE)
     made = rows.coalesce(tasks).mapInArrow(run, blocks.SCHEMA)
-    summed = materialize(blocks.gather(made, blocks.bucket_count(rows)).mapInArrow(add, blocks.SCHEMA), "weight-sums")
-    del made
+    summed = blocks.gather(made, min(blocks.bucket_count(rows), -(-_TABLE // _PART))).mapInArrow(add, blocks.SCHEMA)
+    for row in summed.collect():                 # one table, of a fixed size
+        at = row["bucket"] * _PART
+        out[at:at + row["n"]] = np.frombuffer(row["payload"], np.float32)
+    del made, summed
     release(rows.sparkSession)
-    for row in summed.toLocalIterator():         # the table's parts, _SALTS times at most
-        at = row["bucket"] // _SALTS * _PART
-        out[at:at + row["n"]] += np.frombuffer(row["payload"], np.float32)
     return out
 
 
+def _sum_with(model: Model, rows: DataFrame, tasks: int, work) -> np.ndarray:
+    """The sum of tables of a ``work`` that needs the model, which leaves the executors afterwards."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)     # see Model
+    try:
+        return _sum_tables(rows, tasks, work(shared))
+    finally:
+        shared.destroy()
+
+
 def _offset(level: int) -> int:
     return level * CLASS_ROWS * 64
 
@@ -398,7 +405,7 @@ def _offset(level: int) -> int:
 def _occurrences(shared):
     def work(batches: Batches) -> np.ndarray:
         table = np.zeros(_TABLE, np.float32)
-        for batch in spans.pieces(batches, "text", 4 << 20):
+        for batch in spans.pieces(batches, "text"):
             model = shared.value
             tokens = Tokens.of(batch.column("text"))
             rank = model.look_up(tokens.hashes)[1]
@@ -417,7 +424,7 @@ def _occurrences(shared):
 def _gradient(shared):
     def work(batches: Batches) -> np.ndarray:
         table = np.zeros(_TABLE, np.float32)
-        for batch in spans.pieces(batches, "text", 4 << 20):
+        for batch in spans.pieces(batches, "text"):
             model = shared.value
             tokens = Tokens.of(batch.column("text"))
             rank = model.look_up(tokens.hashes)[1]
@@ -438,9 +445,8 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
     model = _empty_model(counts)
     if not model.n:
         return model
-    context = rows.sparkSession.sparkContext
     tasks = max(1, -(-rows.select("text").rdd.getNumPartitions() // _SCANS_PER_TABLE))
-    seen = _sum_tables(rows.select("text"), tasks, _occurrences(context.broadcast(model)))   # see Model
+    seen = _sum_with(model, rows.select("text"), tasks, _occurrences)
     scale = np.zeros(_TABLE, np.float32)
     for level, n_rows in ((0, CLASS_ROWS), (1, CLASSES_OF_WORDS * OWN_ROWS)):
         part = slice(_offset(level), _offset(level) + n_rows * 64)
@@ -455,7 +461,7 @@ def train(rows: DataFrame, counts: DataFrame) -> Model:
     scale[-SHARED_ROWS * 64:] = np.maximum(shared, shared.mean(axis=1, keepdims=True)).ravel()
     for turn in range(SHARDS):
         shard = rows.where(F.pmod(F.xxhash64("row"), F.lit(SHARDS)) == turn)
-        slope = _sum_tables(shard.select("text"), tasks, _gradient(context.broadcast(model)))
+        slope = _sum_with(model, shard.select("text"), tasks, _gradient)
         model.weights += np.clip(STEP * slope / (scale / SHARDS + DAMPING), -1, 1).astype(np.float32)
     return model
 

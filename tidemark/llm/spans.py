@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20    # texts worked on at once; one longer text is a piece of its own
+HASHED_BYTES = 1 << 16   # bytes of spans hashed at once; one longer span comes by itself
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _codes: dict[int, tuple[np.ndarray, np.uint64]] = {}
 _powers: dict[int, np.ndarray] = {}
@@ -90,13 +91,20 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
         power = np.full(max(longest, 64), base, np.uint64)
         power[0] = 1
         power = _powers[seed] = np.multiply.accumulate(power)
-    before = np.cumsum(lengths) - lengths
-    inner = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
-    if len(inner) == len(data):
-        values = code[data] * power[inner]
-    else:
-        values = code[data[inner + np.repeat(starts, lengths)]] * power[inner]
-    return mix(np.add.reduceat(values, before) + lengths.astype(np.uint64) * _GOLDEN)
+    through = np.cumsum(lengths)
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):      # a run of spans at a time, as each byte needs five numbers
+        done = int(through[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(through, done + HASHED_BYTES, side="right")))
+        size = lengths[first:last]
+        before = through[first:last] - size - done
+        inner = np.arange(int(through[last - 1]) - done) - np.repeat(before, size)
+        values = power[inner]
+        values *= code[data[inner + np.repeat(starts[first:last], size)]]
+        out[first:last] = np.add.reduceat(values, before)
+        first = last
+    return mix(out + lengths.astype(np.uint64) * _GOLDEN)
 
 
 def windows(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:

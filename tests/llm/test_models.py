@@ -225,10 +225,26 @@ def test_sums_go_through_no_files_and_models_leave_the_executors(documents, monk
         plain = getattr(maxent, name)
         monkeypatch.setattr(maxent, name, lambda shared, plain=plain: models.append(shared) or plain(shared))
     maxent.train(docs, maxent.count_tokens(docs))
-    assert written == ["token-counts", "frequent-tokens"]
+    assert written == ["token-counts"]
     assert len(models) == 1 + maxent.SHARDS and not any(os.path.exists(shared._path) for shared in models)
 
 
+def test_only_tokens_as_frequent_as_those_known_go_to_the_driver(documents, monkeypatch):
+    monkeypatch.setattr(maxent, "KNOWN", 5)
+    monkeypatch.setattr(maxent, "FREQUENT", 3)
+    times = {f"w{i}": 25 - i for i in range(25)}             # 6 words of 20 or more
+    docs = documents([(i, w) for w, n in times.items() for i in range(n)]).select("text")
+    counts, asked, plain = maxent.count_tokens(docs), [], maxent._of_count
+    monkeypatch.setattr(maxent, "_of_count", lambda least: asked.append(least) or plain(least))
+    model = maxent._empty_model(counts)
+    assert asked == [20] and model.tree.often == 7 and model.n == 2 * sum(times.values()) and model.distinct == 26
+    assert sorted(model.counts) == [20, 21, 22, 23, 24, 25, 325]
+    monkeypatch.setattr(maxent, "KNOWN", 10)
+    assert sorted(maxent._empty_model(counts).counts) == [*range(17, 26), 325] and asked == [20, 17]
+    monkeypatch.setattr(maxent, "KNOWN", 100)
+    assert len(maxent._empty_model(counts).counts) == 26 and asked == [20, 17, 1]
+
+
 def test_tables_of_several_tasks_are_summed_into_one(spark):
     def work(batches):
         table = np.zeros(maxent._TABLE, np.float32)

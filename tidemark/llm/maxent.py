@@ -295,17 +295,24 @@ def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[starts], starts
 
 
-def _most_frequent(batches: Batches) -> Batches:
-    """Per bucket: totals by ending class, and the tokens that may be among the most frequent of all."""
-    for _, (hashes, ending, count) in blocks.whole_buckets(batches, ["<i8", "i1", "<i8"]):
-        top = np.lexsort((hashes, -count))[:max(KNOWN, int((count >= LEAST_COUNT).sum()))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.full(2 * ENDINGS, -1), np.zeros(len(top), int)]).astype(np.int32)),
-             pa.array(np.concatenate([np.arange(2 * ENDINGS), hashes[top]])),
-             pa.array(np.concatenate([np.bincount(ending, count, ENDINGS), np.bincount(ending, minlength=ENDINGS),
-                                      count[top]]).astype(np.int64)),
-             pa.array(np.concatenate([np.zeros(2 * ENDINGS, int), ending[top]]).astype(np.int32))],
-            names=["kind", "hash", "n", "ending"])
+def _totals(most: int):
+    """Per bucket: tokens and distinct tokens of each ending class, and distinct tokens by their count, up to ``most``."""
+    def run(batches: Batches) -> Batches:
+        for _, (_, ending, count) in blocks.whole_buckets(batches, ["<i8", "i1", "<i8"]):
+            sums = np.concatenate([np.bincount(ending, count, ENDINGS), np.bincount(ending, minlength=ENDINGS),
+                                   np.bincount(np.minimum(count, most), minlength=most + 1)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], names=["place", "n"])
+    return run
+
+
+def _of_count(least: int):
+    """The tokens of ``least`` or more occurrences."""
+    def run(batches: Batches) -> Batches:
+        for _, (hashes, ending, count) in blocks.whole_buckets(batches, ["<i8", "i1", "<i8"]):
+            kept = count >= least
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[kept]), pa.array(count[kept]),
+                                              pa.array(ending[kept].astype(np.int32))], names=["hash", "n", "ending"])
+    return run
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
@@ -315,13 +322,17 @@ def count_tokens(rows: DataFrame) -> DataFrame:
 
 
 def _empty_model(counts: DataFrame) -> Model:
-    found = materialize(counts.mapInArrow(_most_frequent, "kind int, hash long, n long, ending int"), "frequent-tokens")
-    totals = np.zeros(2 * ENDINGS, np.int64)
-    for row in found.where("kind = -1").groupBy("hash").agg(F.sum("n").alias("n")).collect():     # 2 rows per ending
-        totals[row["hash"]] = row["n"]
-    words = found.where("kind = 0")
-    n_often = max(FREQUENT, words.where(F.col("n") >= LEAST_COUNT).count())
-    top = words.orderBy(F.desc("n"), "hash").limit(max(KNOWN, n_often)).toPandas()
+    found = np.zeros(2 * ENDINGS + LEAST_COUNT + 1, np.int64)
+    sums = counts.mapInArrow(_totals(LEAST_COUNT), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    for row in sums.collect():                   # as many rows as ``found`` has places
+        found[row["place"]] = row["n"]
+    totals, by_count = found[:2 * ENDINGS], found[2 * ENDINGS:]
+    n_often = max(FREQUENT, int(by_count[-1]))
+    most = max(KNOWN, n_often)
+    # only tokens of the counts that the most frequent ones have go to the driver
+    enough = np.flatnonzero(np.cumsum(by_count[::-1])[::-1] >= most)
+    frequent = counts.mapInArrow(_of_count(max(int(enough.max(initial=0)), 1)), "hash long, n long, ending int")
+    top = frequent.orderBy(F.desc("n"), "hash").limit(most).toPandas()
     # the end of a text is always a frequent token, whatever its count
     end = top["hash"].to_numpy() == np.int64(END)
     top = pd.concat([top[end], top[~end]]) if end.any() and end.argmax() >= n_often else top

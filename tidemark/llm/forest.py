@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import spans
 from tidemark.llm.components import components
-from tidemark.session import materialize
+from tidemark.session import file_count, materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, DEPTH = 24, 8
@@ -35,6 +35,7 @@ TARGET = 0.9999
 BLOCK = 512
 SLACK = 6.0          # standard deviations that an estimate may fall short by before the pair is given up
 PAIRS_AT_ONCE = 1 << 16
+ROW_BYTES = TREES * DEPTH + 64    # of a signature with its numbers, at most
 _FACTORS = (np.random.default_rng(1).integers(0, 1 << 62, TREES * DEPTH, np.uint64) << np.uint64(1)) + np.uint64(1)
 
 Batches = Iterator[pa.RecordBatch]
@@ -76,11 +77,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Per document with words: ``doc``, ``tag`` (its text's hash), its set's fingerprint (``one``, ``two``), ``size`` and
-    ``signature`` (a byte per min-hash)."""
+    """Per document with words: ``doc``, ``tag`` (its text's hash), its set's fingerprint (``one``, ``two``), ``size``,
+    ``signature`` (a byte per min-hash) and the text's ``n_bytes``."""
     def run(batches: Batches) -> Batches:
         for batch in spans.pieces(batches, "text", 1 << 20):
-            hashes, first = shingles(*spans.buffers(batch.column("text")))
+            data, offsets = spans.buffers(batch.column("text"))
+            hashes, first = shingles(data, offsets)
             some = np.flatnonzero(np.diff(first))
             least = np.zeros((len(some), TREES * DEPTH), np.uint8)
             if len(some):
@@ -93,10 +95,11 @@ def signatures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc").take(pa.array(some)), batch.column("tag").take(pa.array(some)), pa.array(spans.signed(spans.mix(one))),
                  pa.array(spans.signed(spans.mix(two))), pa.array(np.array([len(s) for s in sets], np.int32)),
-                 pa.array([x.tobytes() for x in least], pa.binary())], names=["doc", "tag", "one", "two", "size", "signature"])
+                 pa.array([x.tobytes() for x in least], pa.binary()), pa.array(np.diff(offsets)[some].astype(np.int64))],
+                names=["doc", "tag", "one", "two", "size", "signature", "n_bytes"])
 
     found = _texts(docs, id_column, text).mapInArrow(
-        run, "doc long, tag long, one long, two long, size int, signature binary")
+        run, "doc long, tag long, one long, two long, size int, signature binary, n_bytes long")
     rest = [c for c in found.columns if c != "doc"]
     return found.groupBy("doc").agg(F.min(F.struct(*rest)).alias("least")).select("doc", "least.*")
 
@@ -237,13 +240,17 @@ def _grouped(rows: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, members: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Verified links of the members, summed up per member and group (see :func:`_links`); each link is in one group."""
+    """Verified links of the members, summed up per member and smallest member reached in a group (see :func:`_links`); each
+    link is in one group."""
     # only members that share a shortest prefix can be in a pair at all
-    near = materialize(_buckets(members, SHORTEST).select("doc").distinct(), "near")
-    signed = materialize(members.join(near, "doc"), "near-members")
+    near = _buckets(members, SHORTEST).select("doc").distinct()
+    files = file_count(members.sparkSession, ROW_BYTES * members.count())
+    signed = materialize(members.join(near, "doc"), "near-members", files)
+    n_bytes = signed.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     # a merge join whatever the size, so that the plan is the same for small and large tables
     texts = materialize(_texts(docs, id_column, text).join(signed.select("doc", "tag").hint("merge"), ["doc", "tag"])
-                        .dropDuplicates(["doc"]).select("doc", "text"), "near-texts")
+                        .dropDuplicates(["doc"]).select("doc", "text"), "near-texts",
+                        file_count(members.sparkSession, n_bytes))
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     found: DataFrame | None = None
     for depth in range(DEPTH, SHORTEST - 1, -1):
@@ -254,9 +261,9 @@ def links(docs: DataFrame, members: DataFrame, id_column: str, text: str) -> Dat
                           "block", "tree", "doc"))
         rows = spread.join(signed.select("doc", "size", "signature"), "doc").select(
             "bucket", "low", "high", "block", "tree", "doc", "size", "signature")
-        paired = materialize(_grouped(rows).mapInArrow(_members_of_pairs(depth), _MEMBER), "paired")
-        new = materialize(_grouped(paired.join(texts, "doc").select(*paired.columns, "text")).mapInArrow(
-            _links(depth), _LINKED), "links")
+        paired = _grouped(rows).mapInArrow(_members_of_pairs(depth), _MEMBER)
+        verified = _grouped(paired.join(texts, "doc").select(*paired.columns, "text")).mapInArrow(_links(depth), _LINKED)
+        new = materialize(verified.groupBy("doc", "root").agg(F.sum("n_links").alias("n_links")), "links", files)
         found = new if found is None else found.unionByName(new)
     return found
 
@@ -267,11 +274,15 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     ``copy_id`` is the smallest id with an equal shingle set; ``n_links`` counts the other such sets of similarity 0.8 or
     more; ``class_id`` is the smallest id reached over such links. Without words all are the own id and 0.
     """
-    signed = materialize(signatures(docs, id_column, text), "signatures")
+    files = file_count(docs.sparkSession, ROW_BYTES * docs.count())
+    signed = materialize(signatures(docs, id_column, text), "signatures", files)
     # written down, so that the join has a shuffle of its own, in which Spark splits a class of very many copies
-    classes = materialize(signed.groupBy("one", "two").agg(F.min("doc").alias("copy")), "classes")
-    copies = materialize(signed.join(classes, ["one", "two"]).select("doc", "tag", "size", "signature", "copy"), "copies")
-    members = copies.where("doc = copy").select("doc", "tag", "size", "signature")
+    classes = materialize(signed.groupBy("one", "two").agg(
+        F.min(F.struct("doc", "tag", "size", "signature", "n_bytes")).alias("least")).select("one", "two", "least.*"),
+        "classes", files)
+    copies = signed.select("doc", "one", "two").join(
+        classes.select("one", "two", F.col("doc").alias("copy")), ["one", "two"])
+    members = classes.drop("one", "two")
     linked = links(docs, members, id_column, text)
     degrees = linked.groupBy("doc").agg(F.sum("n_links").alias("n_links")).withColumnRenamed("doc", "copy")
     roots = components(linked.select("doc", "root")).select(F.col("node").alias("copy"), "root")

@@ -13,6 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 << 20
+TARGET_FILE_BYTES = 32 << 20
 _local_dirs: dict[str, str] = {}
 _recorded: list[list[str]] = []
 
@@ -60,11 +61,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared}/tidemark/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back; lost executors do not lose it."""
+def file_count(spark: SparkSession, n_bytes: int) -> int:
+    """Enough files that each holds about one target size, and no fewer than the cores."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_bytes // TARGET_FILE_BYTES))
+
+
+def materialize(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; lost executors do not lose it.
+
+    With ``files``, for rows that come out of a shuffle, its partitions are merged to so many tasks and files: a small result
+    is not written as a file per shuffle partition."""
     path = work_path(df.sparkSession, name)
     for paths in _recorded[-1:]:
         paths.append(path)
+    if files is not None:
+        df = df.coalesce(files)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

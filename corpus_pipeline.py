@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, contamination, forest, language, lines
 from tidemark.llm.queries import on_workers, vocabulary
-from tidemark.session import materialize
+from tidemark.session import file_count, materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -39,9 +39,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     class; of rows equal in both one stays."""
     on_workers(spark)
     rows = docs.withColumn("__row", contamination.row_key("doc_id", "text"))
-    ids = materialize(rows.groupBy("__row", "doc_id").agg(F.count(F.lit(1)).alias("times")), "row-ids")
+    files = file_count(spark, 32 * docs.count())    # four longs a row
+    ids = materialize(rows.groupBy("__row", "doc_id").agg(F.count(F.lit(1)).alias("times")), "row-ids", files)
     classes = forest.join(rows.select("__row", "text"), "__row").select("__row", "class_id").distinct()
-    members = materialize(classes.join(ids, "__row"), "class-members")
+    members = materialize(classes.join(ids, "__row"), "class-members", files)
     stays = members.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")).select(
         F.col("first.__row").alias("__row"))
     dropped = members.join(stays, "__row", "left_anti").select("__row")

@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tests.llm import brute
+from tidemark import session
 from tidemark.llm import components, forest, lines, spans, substring
 
 
@@ -196,6 +198,29 @@ def test_similar_with_ties_and_nulls(documents):
     assert forest.join(documents([])).count() == 0
 
 
+def test_small_steps_write_few_files(spark, documents):
+    """A file per core, not one per shuffle partition: each file costs an executor helper processes."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    docs = documents(mixed(3), lang=("string", "en"), source=("string", "s"), n_chars=("long", 1))
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        with session.temporary(spark):
+            corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+            files = [len(spark.read.parquet(path).inputFiles()) for path in session._recorded[-1]]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(files) > 10 and max(files) <= spark.sparkContext.defaultParallelism
+
+
+def test_files_follow_the_bytes(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert session.file_count(spark, 0) == cores
+    assert session.file_count(spark, 10 * cores * session.TARGET_FILE_BYTES) == 10 * cores
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)] + [
